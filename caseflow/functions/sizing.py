@@ -1,0 +1,24 @@
+"""Size checks that gate broadcast joins.
+
+A broadcast hint skips Spark's own size estimate, so it is only given behind a
+bounded check: read at most ``max_rows + 1`` rows of the side and broadcast
+only when it fits.  Otherwise the plan keeps a shuffle join, which AQE may
+still turn into a broadcast once it has measured the real size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads no more than max_rows+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when the bounded row check passes, else ``df`` unchanged."""
+    return F.broadcast(df) if fits_in_rows(df, max_rows) else df

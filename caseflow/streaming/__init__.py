@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this engine rebuilds are batch-only: they have no watermarks,
+event-time windows, stateful operators or late-data handling, and real-time
+ingestion is out of their scope.  The Monday "week" is a calendar bucket
+computed in batch.  This package is intentionally empty so that no streaming
+behaviour is invented.
+"""
