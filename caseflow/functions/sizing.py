@@ -22,3 +22,19 @@ def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when the bounded row check passes, else ``df`` unchanged."""
     return F.broadcast(df) if fits_in_rows(df, max_rows) else df
+
+
+def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy row work over at least ``min_partitions`` tasks.
+
+    A scan yields one task per file block; a few large files (or one parquet
+    row group) can leave most cores idle for per-row text work.  Only then is
+    the frame repartitioned (by ``keys`` if given, else round-robin, which
+    Spark makes retry-safe by sorting first).  A scan that already has enough
+    splits, as on a cluster reading many blocks, is returned unchanged: no
+    extra shuffle at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from caseflow.fixed import ENGLISH_STOP_WORDS, THEME_LABEL_SEP, THEME_OTHER
 from caseflow.functions.columns import strip_ws
+from caseflow.functions.sizing import ensure_parallelism
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -51,7 +52,9 @@ def theme_text(df: DataFrame, min_chars: int = 15) -> DataFrame:
 
 
 def usable_texts(df: DataFrame, min_chars: int = 15) -> DataFrame:
-    return theme_text(df, min_chars).filter("usable").drop("usable")
+    """Usable texts, spread by ticket id so tokenising uses every core; the
+    per-document term counts then need no further shuffle."""
+    return ensure_parallelism(theme_text(df, min_chars).filter("usable").drop("usable"), "ticket_id")
 
 
 def add_terms(df: DataFrame, stop_words: list[str] = ENGLISH_STOP_WORDS) -> DataFrame:
@@ -64,7 +67,10 @@ def add_terms(df: DataFrame, stop_words: list[str] = ENGLISH_STOP_WORDS) -> Data
 
 def vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
     """M5: ``term, document_frequency, corpus_frequency`` of the kept vocabulary."""
-    per_doc = terms.select("ticket_id", F.explode("terms").alias("term")).groupBy("ticket_id", "term").agg(
+    # explode_outer + an explicit filter: plain explode makes Spark infer a
+    # ``size(terms) > 0`` filter and push the whole tokeniser below the shuffle.
+    exploded = terms.select("ticket_id", F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
+    per_doc = exploded.groupBy("ticket_id", "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
     stats = per_doc.groupBy("term").agg(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.functions.columns import clean_text
+from caseflow.functions.sizing import ensure_parallelism
 from caseflow.operators import themes as th
 from caseflow.operators.goal import baseline_split
 from caseflow.operators.quality import canonical_by_source, raw_by_source
@@ -55,7 +56,7 @@ def _on(getter: Callable[[PipelineResult], DataFrame]) -> Callable[[SparkSession
 
 def document_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX4 tickets with the P6 text clean applied."""
-    d = fixtures.document_tickets(spark, sf_dir)
+    d = ensure_parallelism(fixtures.document_tickets(spark, sf_dir), "ticket_id")
     return d.withColumns({"customer_message": clean_text("customer_message"), "agent_notes": clean_text("agent_notes")})
 
 

@@ -10,7 +10,7 @@ consumers, so callers that run several outputs should pass
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,20 +28,47 @@ from caseflow.sources.policy import Policy, as_policy
 from caseflow.sources.tables import load_inputs
 
 
-@dataclass
 class PipelineResult:
-    raw: DataFrame
-    tickets: DataFrame
-    counters: DataFrame
-    quality: DataFrame
-    weekly_metrics: DataFrame
-    leaderboard: DataFrame
-    opportunities: DataFrame
-    channel_metrics: DataFrame
-    category_metrics: DataFrame
-    repeat_contacts: DataFrame
-    business_goal: DataFrame
-    policy: Policy
+    """Lazy outputs of one pipeline run; each output is planned on first use."""
+
+    def __init__(self, raw_tickets: DataFrame, agents: DataFrame | None, policy: Policy, reuse=None):
+        self.policy = policy
+        self._agents = agents
+        self.raw, tickets, self.counters = enriched_tickets(raw_tickets, policy)
+        self.tickets = reuse(tickets) if reuse is not None else tickets
+
+    # Canonical tickets carry one row per id, so distinct id counts are plain counts.
+    @cached_property
+    def quality(self) -> DataFrame:
+        return quality_report(self.raw, self.tickets, self.counters)
+
+    @cached_property
+    def weekly_metrics(self) -> DataFrame:
+        return weekly_metrics(self.tickets, ids_unique=True)
+
+    @cached_property
+    def leaderboard(self) -> DataFrame:
+        return tier1_leaderboard(self.tickets, self._agents, self.policy, ids_unique=True)
+
+    @cached_property
+    def repeat_contacts(self) -> DataFrame:
+        return repeat_contacts(self.tickets)
+
+    @cached_property
+    def opportunities(self) -> DataFrame:
+        return opportunities(self.tickets, self.repeat_contacts, self.policy, ids_unique=True)
+
+    @cached_property
+    def channel_metrics(self) -> DataFrame:
+        return channel_metrics(self.tickets, self.policy, ids_unique=True)
+
+    @cached_property
+    def category_metrics(self) -> DataFrame:
+        return category_metrics(self.tickets, self.policy, ids_unique=True)
+
+    @cached_property
+    def business_goal(self) -> DataFrame:
+        return business_goal(self.weekly_metrics, self.opportunities, self.policy)
 
 
 def enriched_tickets(raw_tickets: DataFrame, policy: Policy | dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -57,28 +84,7 @@ def build(
     policy: Policy | dict | None = None,
     reuse: Callable[[DataFrame], DataFrame] | None = None,
 ) -> PipelineResult:
-    p = as_policy(policy)
-    raw, tickets, counters = enriched_tickets(raw_tickets, p)
-    if reuse is not None:
-        tickets = reuse(tickets)
-    # Canonical tickets carry one row per id, so distinct id counts are plain counts.
-    weekly = weekly_metrics(tickets, ids_unique=True)
-    repeat = repeat_contacts(tickets)
-    opps = opportunities(tickets, repeat, p, ids_unique=True)
-    return PipelineResult(
-        raw=raw,
-        tickets=tickets,
-        counters=counters,
-        quality=quality_report(raw, tickets, counters),
-        weekly_metrics=weekly,
-        leaderboard=tier1_leaderboard(tickets, agents, p, ids_unique=True),
-        opportunities=opps,
-        channel_metrics=channel_metrics(tickets, p, ids_unique=True),
-        category_metrics=category_metrics(tickets, p, ids_unique=True),
-        repeat_contacts=repeat,
-        business_goal=business_goal(weekly, opps, p),
-        policy=p,
-    )
+    return PipelineResult(raw_tickets, agents, as_policy(policy), reuse)
 
 
 def run_pipeline(spark: SparkSession, data_dir: str, policy: Policy | dict | None = None, reuse=None) -> PipelineResult:
