@@ -39,13 +39,18 @@ def keep_best(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def with_read_order(df: DataFrame) -> DataFrame:
+    """Frames from sources carry ``_ingest_order``; others get the order Spark
+    reads them in (partition, then row), taken before any shuffle."""
+    return df if INGEST_COL in df.columns else df.withColumn(INGEST_COL, F.monotonically_increasing_id())
+
+
 def canonical_tickets(raw: DataFrame) -> DataFrame:
     """A2: the canonical ticket table (helper columns dropped, P23)."""
+    raw = with_read_order(raw)
     data_cols = [c for c in raw.columns if c != INGEST_COL]
     work = raw.withColumns({_PRIO: source_priority(), _COMPLETE: completeness(data_cols)})
-    order = [F.col(_PRIO).desc(), F.col(_COMPLETE).desc()]
-    if INGEST_COL in raw.columns:
-        order.append(F.col(INGEST_COL).asc())
+    order = [F.col(_PRIO).desc(), F.col(_COMPLETE).desc(), F.col(INGEST_COL).asc()]
     order.append(F.xxhash64(*[F.col(c) for c in data_cols]).asc())
     return keep_best(work, "ticket_id", order).drop(_PRIO, _COMPLETE, INGEST_COL)
 

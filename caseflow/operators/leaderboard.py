@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from caseflow.fixed import ROSTER_ALIASES, TIER1_TEAMS, TIER_CODES
 from caseflow.functions.columns import safe_ratio, strip_ws
 from caseflow.functions.sizing import DEFAULT_BROADCAST_ROWS, fits_in_rows
-from caseflow.operators.dedupe import keep_best
+from caseflow.operators.dedupe import keep_best, with_read_order
 from caseflow.sources.policy import Policy, as_policy
 from caseflow.sources.tables import INGEST_COL
 
@@ -23,14 +23,14 @@ def normalize_roster(agents: DataFrame | None) -> DataFrame | None:
     for target, candidates in ROSTER_ALIASES.items():
         found = next((c for c in candidates if c in agents.columns), None)
         cols[target] = (F.col(found) if found else F.lit(None)).cast("string")
-    extra = [INGEST_COL] if INGEST_COL in agents.columns else []
-    return agents.select(*[v.alias(k) for k, v in cols.items()], *extra)
+    agents = with_read_order(agents)
+    return agents.select(*[v.alias(k) for k, v in cols.items()], INGEST_COL)
 
 
 def first_per_agent(roster: DataFrame) -> DataFrame:
     """The first roster row per agent_id in input order (NULL ids form one group)."""
-    order = [F.col(INGEST_COL).asc()] if INGEST_COL in roster.columns else []
-    order.append(F.xxhash64(*[F.col(c) for c in ROSTER_COLUMNS]).asc())
+    roster = with_read_order(roster)
+    order = [F.col(INGEST_COL).asc(), F.xxhash64(*[F.col(c) for c in ROSTER_COLUMNS]).asc()]
     return keep_best(roster, "agent_id", order).select(*ROSTER_COLUMNS)
 
 
