@@ -33,6 +33,9 @@ def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = N
     Spark makes retry-safe by sorting first).  A scan that already has enough
     splits, as on a cluster reading many blocks, is returned unchanged: no
     extra shuffle at scale.
+
+    Call it on a scan (before any exchange): counting the partitions of a
+    plan with shuffles would run those shuffles early under AQE.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:

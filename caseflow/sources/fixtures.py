@@ -12,11 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseflow.functions.sizing import ensure_parallelism
 from caseflow.sources.tables import INGEST_COL
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    # Few large files (one row group each here) would leave cores idle for the
+    # per-row work; a cluster scan with many splits is left untouched.
+    return ensure_parallelism(df) if spread else df
 
 
 def _add_minutes(ts: Column, n: Column) -> Column:
@@ -125,7 +129,7 @@ def document_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``labels`` covers a subset of documents and grows with them, so this is a
     plain equi-join and Spark/AQE choose the strategy from measured sizes.
     """
-    d = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = _table(spark, sf_dir, "documents", spread=True).select("doc_id", "text", "lang")
     lab = _table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = d.join(lab, "doc_id", "left")
     doc = F.col("doc_id")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.fixed import NA_TOKENS
+from caseflow.functions.sizing import ensure_parallelism
 
 INGEST_COL = "_ingest_order"
 TABLE_NAMES = ("tickets", "agents", "customers", "orders", "products")
@@ -66,7 +67,8 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame | Non
     for ext, reader in (("parquet", lambda p: with_ingest_order(spark.read.parquet(p))), ("csv", lambda p: read_csv_table(spark, p))):
         path = f"{base}/{name}.{ext}"
         if _exists(spark, path):
-            return reader(path)
+            # ingest order is taken at the scan, before any spreading shuffle
+            return ensure_parallelism(reader(path))
     return None
 
 
