@@ -29,8 +29,8 @@ def complete_schema(df: DataFrame, columns: Sequence[tuple[str, str]] = TICKET_C
     return df.withColumns(missing) if missing else df
 
 
-def _as_timestamp(df: DataFrame, name: str, formats: Sequence[str]) -> Column:
-    dtype = df.schema[name].dataType
+def _as_timestamp(schema: T.StructType, name: str, formats: Sequence[str]) -> Column:
+    dtype = schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, T.TimestampNTZType):
         return c
@@ -39,8 +39,8 @@ def _as_timestamp(df: DataFrame, name: str, formats: Sequence[str]) -> Column:
     return parse_timestamp(c, formats)
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
+def _as_number(schema: T.StructType, name: str) -> Column:
+    dtype = schema[name].dataType
     if isinstance(dtype, T.NumericType):
         return nan_to_null(F.col(name).cast("double"))
     return parse_number(F.col(name))
@@ -56,11 +56,12 @@ def normalize_tickets(df: DataFrame, timestamp_formats: Sequence[str] = DEFAULT_
     Output: the 21 ticket columns in canonical order, then any extra columns.
     """
     df = complete_schema(df)
+    schema = df.schema
     exprs: dict[str, Column] = {}
     for name in TIMESTAMP_COLUMNS:
-        exprs[name] = _as_timestamp(df, name, timestamp_formats)
+        exprs[name] = _as_timestamp(schema, name, timestamp_formats)
     for name in NUMERIC_COLUMNS:
-        exprs[name] = _as_number(df, name)
+        exprs[name] = _as_number(schema, name)
     exprs["csat_score"] = F.nullif(exprs["csat_score"], F.lit(0.0))
     for name in STRIPPED_COLUMNS:
         exprs[name] = strip_ws(F.col(name).cast("string"))

@@ -19,6 +19,7 @@ from caseflow.operators.goal import baseline_split
 from caseflow.operators.quality import canonical_by_source, raw_by_source
 from caseflow.plans import snapshot
 from caseflow.plans.pipeline import PipelineResult, from_driver_tables
+from caseflow.session import materialize
 from caseflow.sources import fixtures
 
 ENRICHED_COLUMNS = [
@@ -42,13 +43,15 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
-def _pipe(spark: SparkSession, sf_dir: str) -> PipelineResult:
-    return from_driver_tables(spark, sf_dir)
+def _pipe(spark: SparkSession, sf_dir: str, shared: bool = False) -> PipelineResult:
+    """``shared``: the query reads the canonical tickets from several branches,
+    so they are checkpointed once instead of being re-derived per branch."""
+    return from_driver_tables(spark, sf_dir, reuse=materialize if shared else None)
 
 
-def _on(getter: Callable[[PipelineResult], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _on(getter: Callable[[PipelineResult], DataFrame], shared: bool = False) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_doubles(getter(_pipe(spark, sf_dir)))
+        return round_doubles(getter(_pipe(spark, sf_dir, shared)))
 
     return run
 
@@ -89,7 +92,7 @@ def _theme_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _evidence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _pipe(spark, sf_dir)
+    r = _pipe(spark, sf_dir, shared=True)
     themes = th.complaint_themes(document_tickets(spark, sf_dir))
     return snapshot.evidence_pack(
         r.quality, r.business_goal, r.weekly_metrics, r.opportunities, r.channel_metrics,
@@ -102,23 +105,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ticket_enrichment": _on(lambda r: r.tickets.select(*ENRICHED_COLUMNS)),
         "canonical_tickets": _on(lambda r: r.tickets.select(*ENRICHED_COLUMNS[:21])),
         "duplicate_counters": _on(lambda r: r.counters),
-        "quality_report_long": _on(lambda r: r.quality),
-        "source_value_counts": _on(_source_value_counts),
+        "quality_report_long": _on(lambda r: r.quality, shared=True),
+        "source_value_counts": _on(_source_value_counts, shared=True),
         "weekly_metrics": _on(lambda r: r.weekly_metrics),
         "channel_metrics": _on(lambda r: r.channel_metrics),
         "category_metrics": _on(lambda r: r.category_metrics),
-        "repeat_contacts": _on(lambda r: r.repeat_contacts),
-        "opportunities": _on(lambda r: r.opportunities),
+        "repeat_contacts": _on(lambda r: r.repeat_contacts, shared=True),
+        "opportunities": _on(lambda r: r.opportunities, shared=True),
         "tier1_leaderboard": _on(lambda r: r.leaderboard),
         "goal_baseline_split": _on(
             lambda r: baseline_split(r.weekly_metrics).select(
                 "week_start", "total_contacts", "sla_breaches", "n_weeks", "period", "eligible", "weekly_rate"
             )
         ),
-        "business_goal": _on(lambda r: r.business_goal),
+        "business_goal": _on(lambda r: r.business_goal, shared=True),
         "top_breach_channel": _on(lambda r: snapshot.top_breach_channel(r.channel_metrics)),
-        "top_opportunity": _on(lambda r: snapshot.top_opportunity(r.opportunities)),
-        "latest_week_kpis": _on(lambda r: snapshot.latest_week_kpis(r.weekly_metrics, r.tickets, r.opportunities)),
+        "top_opportunity": _on(lambda r: snapshot.top_opportunity(r.opportunities), shared=True),
+        "latest_week_kpis": _on(lambda r: snapshot.latest_week_kpis(r.weekly_metrics, r.tickets, r.opportunities), shared=True),
         "top_quality_issue": _on(lambda r: snapshot.top_quality_issue(r.tickets)),
         "latest_leaderboard_80": _on(lambda r: snapshot.latest_leaderboard(r.leaderboard, 80)),
         "ticket_sample": _on(lambda r: snapshot.ticket_sample(r.tickets, 12)),

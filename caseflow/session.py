@@ -10,9 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def get_spark(master: str | None = None, app_name: str = "caseflow", shuffle_partitions: int | None = None) -> SparkSession:
+def get_spark(
+    master: str | None = None,
+    app_name: str = "caseflow",
+    shuffle_partitions: int | None = None,
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
     """Session with the settings the engine assumes (UTC, AQE, no UI)."""
     builder = SparkSession.builder.appName(app_name)
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     builder = (
