@@ -75,21 +75,21 @@ def business_goal(
     split = baseline_split(weekly, min_week_contacts)
     spark = weekly.sparkSession
 
-    counts = split.agg(F.count(F.lit(1)).cast("long").alias("n_weeks"))
-    recent = split.filter(F.col("period") == "recent").agg(
-        F.coalesce(F.sum("total_contacts"), F.lit(0)).cast("long").alias("recent_contacts"),
-        F.coalesce(F.sum("sla_breaches"), F.lit(0)).cast("long").alias("recent_breaches"),
-        F.count(F.lit(1)).cast("long").alias("recent_weeks"),
-    )
-    hist = split.filter("eligible")
-    cut = hist.agg(
-        F.count(F.lit(1)).cast("long").alias("historical_weeks"),
-        F.percentile("weekly_rate", F.lit(0.25)).alias("benchmark_cutoff_rate"),
-    )
-    best = (
-        hist.crossJoin(cut.select("benchmark_cutoff_rate"))
-        .filter(F.col("weekly_rate") <= F.col("benchmark_cutoff_rate"))
-        .agg(F.median("weekly_rate").alias("target"), F.count(F.lit(1)).cast("long").alias("benchmark_weeks"))
+    # One pass over the (calendar-bounded) weekly table: the quartile cutoff is a
+    # window aggregate, everything else a conditional aggregate of the same rows.
+    cutoff = F.percentile(F.col("weekly_rate"), F.lit(0.25)).over(Window.partitionBy())
+    split = split.withColumn("_cutoff", cutoff)
+    recent_flag = F.col("period") == "recent"
+    in_benchmark = F.col("eligible") & (F.col("weekly_rate") <= F.col("_cutoff"))
+    summary = split.agg(
+        F.count(F.lit(1)).cast("long").alias("n_weeks"),
+        F.coalesce(F.sum(F.when(recent_flag, F.col("total_contacts"))), F.lit(0)).cast("long").alias("recent_contacts"),
+        F.coalesce(F.sum(F.when(recent_flag, F.col("sla_breaches"))), F.lit(0)).cast("long").alias("recent_breaches"),
+        F.count_if(recent_flag).cast("long").alias("recent_weeks"),
+        F.count_if("eligible").cast("long").alias("historical_weeks"),
+        F.max("_cutoff").alias("benchmark_cutoff_rate"),
+        F.median(F.when(in_benchmark, F.col("weekly_rate"))).alias("target"),
+        F.count_if(in_benchmark).cast("long").alias("benchmark_weeks"),
     )
     if opportunities is None:
         obs = spark.range(1).select(*[F.lit(None).cast("double").alias(c) for c in (
@@ -102,7 +102,7 @@ def business_goal(
             _observation(opportunities, OPP_REPEAT, "current_rate").alias("repeat_current_rate"),
             _observation(opportunities, OPP_REPEAT, "modeled_exposure_inr").alias("repeat_modeled_exposure_inr"),
         )
-    g = counts.crossJoin(recent).crossJoin(cut).crossJoin(best).crossJoin(obs)
+    g = summary.crossJoin(obs)
 
     n, nh, nw = F.col("n_weeks"), F.col("historical_weeks"), F.col("recent_weeks")
     rc, rb, target = F.col("recent_contacts"), F.col("recent_breaches"), F.col("target")
