@@ -3,8 +3,8 @@
 * tokens: lower-case, maximal runs of >= 2 word characters (letters, digits,
   underscore), stop words removed, then bigrams of the remaining tokens;
 * vocabulary: terms in >= ``min_df`` documents, the ``max_features`` most
-  frequent (ties by term), built with two aggregations (per document, then per
-  term) that pre-aggregate before each shuffle;
+  frequent (ties by term), from one aggregation by term that pre-aggregates
+  before its shuffle;
 * weights: raw counts x smooth idf ``ln((1+n)/(1+df)) + 1``, L2-normalised;
 * K-Means (Spark ML) with ``n_init`` seeds, keeping the lowest training cost.
 
@@ -66,15 +66,20 @@ def add_terms(df: DataFrame, stop_words: list[str] = ENGLISH_STOP_WORDS) -> Data
 
 def vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
     """M5: ``term, document_frequency, corpus_frequency`` of the kept vocabulary."""
+    # Corpus frequency from every term, document frequency from each document's
+    # distinct terms; both streams are pre-aggregated by term before one shuffle.
     # explode_outer + an explicit filter: plain explode makes Spark infer a
     # ``size(terms) > 0`` filter and push the whole tokeniser below the shuffle.
-    exploded = terms.select("ticket_id", F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
-    per_doc = exploded.groupBy("ticket_id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
-    stats = per_doc.groupBy("term").agg(
-        F.count(F.lit(1)).cast("long").alias("document_frequency"),
-        F.sum("tf").cast("long").alias("corpus_frequency"),
+    every = terms.select(F.explode_outer("terms").alias("term"), F.lit(1).alias("_all"), F.lit(0).alias("_doc"))
+    distinct = terms.select(F.explode_outer(F.array_distinct("terms")).alias("term"), F.lit(0).alias("_all"), F.lit(1).alias("_doc"))
+    stats = (
+        every.unionByName(distinct)
+        .filter(F.col("term").isNotNull())
+        .groupBy("term")
+        .agg(
+            F.sum("_doc").cast("long").alias("document_frequency"),
+            F.sum("_all").cast("long").alias("corpus_frequency"),
+        )
     )
     return (
         stats.filter(F.col("document_frequency") >= min_df)
