@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.fixed import EVIDENCE_TICKET_COLUMNS, INTERPRETATION_RULES, NULL_KEY_LABEL
+from caseflow.operators.quality import MAP_METRICS, SCALAR_METRICS
 
 
 def top_breach_channel(channel_metrics: DataFrame) -> DataFrame:
@@ -99,6 +100,21 @@ def _json_records(df: DataFrame, order: list[Column], n: int | None) -> DataFram
     )
 
 
+def quality_json(quality_long: DataFrame) -> DataFrame:
+    """The data-quality report as one JSON object (typed scalars, per-source maps,
+    interpretation notes), from one aggregate over the few-row long table."""
+    m = F.col("metric")
+    fields = []
+    for name in SCALAR_METRICS:
+        value = F.max(F.when(m == name, F.col("value")))
+        fields.append((value if name == "canonical_temporal_anomaly_rate" else value.cast("long")).alias(name))
+    for name in MAP_METRICS:
+        entries = F.collect_list(F.when(m == name, F.struct(F.col("key"), F.col("value").cast("long"))))
+        fields.append(F.map_from_entries(F.array_sort(entries)).alias(name))
+    rules = F.create_map(*[x for k, v in INTERPRETATION_RULES.items() for x in (F.lit(k), F.lit(v))])
+    return quality_long.agg(F.to_json(F.struct(*fields, rules.alias("interpretation_rules"))).alias("json"))
+
+
 def evidence_pack(
     quality_long: DataFrame,
     goal: DataFrame,
@@ -116,9 +132,8 @@ def evidence_pack(
     The parts are 1-row aggregates of bounded heads, so the final cross join
     combines single rows only.
     """
-    rules = F.to_json(F.create_map(*[x for k, v in INTERPRETATION_RULES.items() for x in (F.lit(k), F.lit(v))]))
     parts = {
-        "data_quality": _json_records(quality_long, ["metric", F.asc_nulls_first("key")], None),
+        "data_quality": quality_json(quality_long),
         "business_goal": goal.select(F.to_json(F.struct(*goal.columns)).alias("json")),
         "weekly_metrics": _json_records(weekly, ["week_start"], 100),
         "opportunities": _json_records(opportunities, [F.desc("modeled_exposure_inr"), "opportunity"], 20),
@@ -133,4 +148,4 @@ def evidence_pack(
     for name, part in parts.items():
         part = part.select(F.col("json").alias(name))
         out = part if out is None else out.crossJoin(part)
-    return out.withColumn("interpretation_rules", rules)
+    return out
