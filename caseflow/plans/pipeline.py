@@ -31,7 +31,9 @@ from caseflow.sources.tables import load_inputs
 class PipelineResult:
     """Lazy outputs of one pipeline run; each output is planned on first use."""
 
-    def __init__(self, raw_tickets: DataFrame, agents: DataFrame | None, policy: Policy, reuse=None):
+    def __init__(self, raw_tickets: DataFrame, agents, policy: Policy, reuse=None):
+        """``agents``: the roster, ``None``, or a zero-argument callable giving
+        either (read only if the leaderboard is used)."""
         self.policy = policy
         self._agents = agents
         self.raw, tickets, self.counters = enriched_tickets(raw_tickets, policy)
@@ -48,7 +50,8 @@ class PipelineResult:
 
     @cached_property
     def leaderboard(self) -> DataFrame:
-        return tier1_leaderboard(self.tickets, self._agents, self.policy, ids_unique=True)
+        agents = self._agents() if callable(self._agents) else self._agents
+        return tier1_leaderboard(self.tickets, agents, self.policy, ids_unique=True)
 
     @cached_property
     def repeat_contacts(self) -> DataFrame:
@@ -80,7 +83,7 @@ def enriched_tickets(raw_tickets: DataFrame, policy: Policy | dict | None = None
 
 def build(
     raw_tickets: DataFrame,
-    agents: DataFrame | None,
+    agents,
     policy: Policy | dict | None = None,
     reuse: Callable[[DataFrame], DataFrame] | None = None,
 ) -> PipelineResult:
@@ -97,7 +100,7 @@ def from_driver_tables(spark: SparkSession, sf_dir: str, policy: Policy | dict |
     """From the driver's parquet tables through the FX3 ticket/roster views."""
     return build(
         fixtures.raw_tickets(spark, sf_dir),
-        fixtures.agents(spark, sf_dir),
+        lambda: fixtures.agents(spark, sf_dir),
         policy if policy is not None else Policy.default(),
         reuse,
     )
