@@ -22,7 +22,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram,
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,38 +56,74 @@ def usable_texts(df: DataFrame, min_chars: int = 15) -> DataFrame:
     return theme_text(df, min_chars).filter("usable").drop("usable")
 
 
+def _usable(df: DataFrame) -> Column:
+    return F.col("usable") if "usable" in df.columns else F.lit(True)
+
+
 def add_terms(df: DataFrame, stop_words: list[str] = ENGLISH_STOP_WORDS) -> DataFrame:
-    """M2-M4: ``terms`` = unigrams (stop words removed) followed by their bigrams."""
-    tokens = df.withColumn("_tokens", F.regexp_extract_all(F.lower(F.col("theme_text")), F.lit(TOKEN_PATTERN), 0))
+    """M2-M4: ``terms`` = unigrams (stop words removed) followed by their bigrams.
+
+    With a ``usable`` column (from :func:`theme_text`), rows that are not usable
+    get no terms and keep the flag.  Gating the tokeniser this way, instead of
+    filtering first, keeps Catalyst from pushing ``length(clean(text))`` below
+    the projection, where the text clean would run twice per row.
+    """
+    words = F.regexp_extract_all(F.lower(F.col("theme_text")), F.lit(TOKEN_PATTERN), 0)
+    tokens = df.withColumn("_tokens", F.when(_usable(df), words).otherwise(F.array().cast("array<string>")))
     kept = StopWordsRemover(inputCol="_tokens", outputCol="_kept", stopWords=list(stop_words), caseSensitive=True).transform(tokens)
     grams = NGram(n=2, inputCol="_kept", outputCol="_bigrams").transform(kept)
     return grams.withColumn("terms", F.concat("_kept", "_bigrams")).drop("_tokens", "_kept", "_bigrams")
 
 
-def vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
-    """M5: ``term, document_frequency, corpus_frequency`` of the kept vocabulary."""
-    # Corpus frequency from every term, document frequency from each document's
-    # distinct terms; both streams are pre-aggregated by term before one shuffle.
-    # explode_outer + an explicit filter: plain explode makes Spark infer a
-    # ``size(terms) > 0`` filter and push the whole tokeniser below the shuffle.
-    every = terms.select(F.explode_outer("terms").alias("term"), F.lit(1).alias("_all"), F.lit(0).alias("_doc"))
-    distinct = terms.select(F.explode_outer(F.array_distinct("terms")).alias("term"), F.lit(0).alias("_all"), F.lit(1).alias("_doc"))
-    stats = (
-        every.unionByName(distinct)
-        .filter(F.col("term").isNotNull())
-        .groupBy("term")
-        .agg(
-            F.sum("_doc").cast("long").alias("document_frequency"),
-            F.sum("_all").cast("long").alias("corpus_frequency"),
-        )
+def term_statistics(terms: DataFrame) -> DataFrame:
+    """``term, document_frequency, corpus_frequency, n_docs`` in one pass.
+
+    One generator per document yields every term occurrence (corpus frequency),
+    the document's distinct terms (document frequency) and, for a usable
+    document, one NULL-term marker; the NULL-term row's ``n_docs`` is the number
+    of documents.  Everything is pre-aggregated by term before the one shuffle,
+    so each text is tokenised once and no per-document data reaches a single task.
+    """
+
+    def tagged(arr: Column, all_: int, doc: int) -> Column:
+        return F.transform(arr, lambda t: F.struct(t.alias("term"), F.lit(all_).alias("_all"), F.lit(doc).alias("_doc")))
+
+    marker = F.array(F.lit(None).cast("string"))
+    usable = _usable(terms)
+    both = F.concat(
+        tagged(F.col("terms"), 1, 0),
+        tagged(F.array_distinct("terms"), 0, 1),
+        tagged(F.filter(marker, lambda _: usable), 0, 1),
     )
-    return (
-        stats.filter(F.col("document_frequency") >= min_df)
-        .orderBy(F.desc("corpus_frequency"), "term")
-        .limit(max_features)
+    # explode_outer: plain explode makes Spark infer a ``size(...) > 0`` filter,
+    # which evaluates the tokeniser a second time.
+    rows = terms.select(F.explode_outer(both).alias("_t")).select("_t.term", "_t._all", "_t._doc")
+    is_term = F.col("term").isNotNull()
+    return rows.groupBy("term").agg(
+        F.sum(F.when(is_term, F.col("_doc"))).cast("long").alias("document_frequency"),
+        F.sum(F.when(is_term, F.col("_all"))).cast("long").alias("corpus_frequency"),
+        F.sum(F.when(~is_term, F.col("_doc"))).cast("long").alias("n_docs"),
+    )
+
+
+def _top_terms(stats: DataFrame, min_df: int, max_features: int, keep_marker: bool) -> DataFrame:
+    keep = F.col("document_frequency") >= min_df
+    if keep_marker:
+        # The marker row sorts first; the condition mixes an aggregate output in,
+        # so no part of it is pushed below the aggregation.
+        keep = keep | F.col("term").isNull()
+    return stats.filter(keep).orderBy(F.col("term").isNull().desc(), F.desc("corpus_frequency"), "term").limit(
+        max_features + (1 if keep_marker else 0)
     )
 
 
+def vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
+    """M5: ``term, document_frequency, corpus_frequency`` of the kept vocabulary:
+    terms in >= ``min_df`` documents, the ``max_features`` most frequent (ties by term)."""
+    top = _top_terms(term_statistics(terms), min_df, max_features, keep_marker=False)
+    return top.select("term", "document_frequency", "corpus_frequency")
+
+
 def with_idf(vocab: DataFrame, n_docs: DataFrame) -> DataFrame:
     """Smooth idf ``ln((1+n)/(1+df)) + 1`` per vocabulary term."""
     return vocab.crossJoin(n_docs).withColumn(
@@ -95,6 +131,25 @@ def with_idf(vocab: DataFrame, n_docs: DataFrame) -> DataFrame:
     ).drop("n_docs")
 
 
+def vocabulary_idf(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
+    """M5 + idf from a single pass over ``terms``: ``term, document_frequency,
+    corpus_frequency, idf``.  The document count travels as the marker row of
+    the (at most ``max_features + 1`` rows) top list, spread by a window over
+    that bounded list."""
+    top = _top_terms(term_statistics(terms), min_df, max_features, keep_marker=True)
+    n = F.coalesce(F.max("n_docs").over(Window.partitionBy()), F.lit(0)).cast("double")
+    return (
+        top.withColumn("_n", n)
+        .filter(F.col("term").isNotNull())
+        .select(
+            "term",
+            "document_frequency",
+            "corpus_frequency",
+            (F.log((F.col("_n") + 1.0) / (F.col("document_frequency") + 1.0)) + 1.0).alias("idf"),
+        )
+    )
+
+
 def tfidf_features(terms: DataFrame, vocab_rows: list) -> DataFrame:
     """M6: L2-normalised TF-IDF sparse vectors in column ``features``.
 
@@ -204,9 +259,9 @@ def complaint_themes(
     table once for the K-Means passes (default: ``caseflow.session.materialize``).
     """
     spark = df.sparkSession
-    usable = usable_texts(df.select("ticket_id", "customer_message", "agent_notes", "category", "csat_score", "sla_breach", "transfers"), min_chars)
+    texts = theme_text(df.select("ticket_id", "customer_message", "agent_notes", "category", "csat_score", "sla_breach", "transfers"), min_chars)
     # M1: fewer than 10 usable texts -> empty table (bounded check).
-    n_probe = usable.limit(10).count()
+    n_probe = texts.filter("usable").limit(10).count()
     if n_probe < 10:
         return spark.createDataFrame([], THEME_SCHEMA)
 
@@ -214,15 +269,16 @@ def complaint_themes(
         from caseflow.session import materialize as reuse
     # Tokens feed both the vocabulary and the vectors: cached (recomputable) for
     # those two passes; the vectors used by every K-Means pass are checkpointed.
-    terms = add_terms(usable).persist()
-    n_docs = terms.agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
-    vocab = with_idf(vocabulary(terms, min_df, max_features), n_docs)
-    vocab_rows = vocab.orderBy("term").select("term", "idf").collect()
+    terms = add_terms(texts).persist()
+    vocab_rows = vocabulary_idf(terms, min_df, max_features).orderBy("term").select("term", "idf").collect()
     if not vocab_rows:
+        terms.unpersist()
         return spark.createDataFrame([], THEME_SCHEMA)
     vocab_index = spark.createDataFrame([(i, r["term"]) for i, r in enumerate(vocab_rows)], "idx int, term string")
 
-    features = reuse(tfidf_features(terms, vocab_rows).drop("terms", "theme_text"))
+    # Rows that are not usable are dropped after the checkpoint (a plan barrier),
+    # so the text clean is not re-run inside a pushed-down filter.
+    features = reuse(tfidf_features(terms, vocab_rows).drop("terms", "theme_text")).filter("usable").drop("usable")
     terms.unpersist()
     n_total = features.count()
     k = max(2, min(n_clusters, n_total))
@@ -233,9 +289,5 @@ def complaint_themes(
 
 def theme_vocabulary(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
     """M2-M5 as a table: ``term, document_frequency, corpus_frequency, idf``."""
-    usable = usable_texts(df.select("ticket_id", "customer_message", "agent_notes"), min_chars)
-    terms = add_terms(usable)
-    n_docs = usable.agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
-    return with_idf(vocabulary(terms, min_df, max_features), n_docs)
-
-
+    texts = theme_text(df.select("ticket_id", "customer_message", "agent_notes"), min_chars)
+    return vocabulary_idf(add_terms(texts), min_df, max_features)

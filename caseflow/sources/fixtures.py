@@ -38,7 +38,7 @@ def _unless(cond: Column, value: Column) -> Column:
 
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX3 raw tickets: helpdesk rows plus legacy_fd copies (some ids in both)."""
-    o = _table(spark, sf_dir, "orders").select(
+    o = _table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
     )
     k = F.col("o_orderkey")
