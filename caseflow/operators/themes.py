@@ -131,25 +131,30 @@ def with_idf(vocab: DataFrame, n_docs: DataFrame) -> DataFrame:
     ).drop("n_docs")
 
 
-def vocabulary_idf(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
-    """M5 + idf from a single pass over ``terms``: ``term, document_frequency,
-    corpus_frequency, idf``.  The document count travels as the marker row of
-    the (at most ``max_features + 1`` rows) top list, spread by a window over
-    that bounded list."""
+def _vocabulary_idf_counted(terms: DataFrame, min_df: int, max_features: int) -> DataFrame:
     top = _top_terms(term_statistics(terms), min_df, max_features, keep_marker=True)
-    n = F.coalesce(F.max("n_docs").over(Window.partitionBy()), F.lit(0)).cast("double")
+    # The document count travels as the marker row of the (at most
+    # ``max_features + 1`` rows) top list; a window over that bounded list spreads it.
+    n = F.coalesce(F.max("n_docs").over(Window.partitionBy()), F.lit(0))
     return (
-        top.withColumn("_n", n)
+        top.withColumn("n_docs", n)
         .filter(F.col("term").isNotNull())
         .select(
             "term",
             "document_frequency",
             "corpus_frequency",
-            (F.log((F.col("_n") + 1.0) / (F.col("document_frequency") + 1.0)) + 1.0).alias("idf"),
+            (F.log((F.col("n_docs") + 1.0) / (F.col("document_frequency") + 1.0)) + 1.0).alias("idf"),
+            "n_docs",
         )
     )
 
 
+def vocabulary_idf(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> DataFrame:
+    """M5 + idf from a single pass over ``terms``: ``term, document_frequency,
+    corpus_frequency, idf``."""
+    return _vocabulary_idf_counted(terms, min_df, max_features).drop("n_docs")
+
+
 def tfidf_features(terms: DataFrame, vocab_rows: list) -> DataFrame:
     """M6: L2-normalised TF-IDF sparse vectors in column ``features``.
 
@@ -192,20 +197,22 @@ def best_kmeans(
 
 def summarize_clusters(assigned: DataFrame, vocab_index: DataFrame, top_n: int = 8, sample_n: int = 8) -> DataFrame:
     """M8 (A18-A20, W7, W8, P30) on ``assigned`` rows (cluster, features, ...)."""
+    # A18 + A20 in one aggregation: per-theme statistics and the mean TF-IDF
+    # vector (k rows of vocabulary width); W7 then ranks the centroid terms.
     stats = assigned.groupBy("cluster").agg(
         F.count(F.lit(1)).cast("long").alias("ticket_count"),
         F.avg("csat_score").alias("avg_csat"),
         F.avg(F.coalesce(F.col("sla_breach"), F.lit(False)).cast("double")).alias("sla_breach_rate"),
         F.avg((F.coalesce(F.col("transfers"), F.lit(0.0)) > 0).cast("double")).alias("transfer_rate"),
+        Summarizer.mean(F.col("features")).alias("_mean"),
     )
-
-    # A20 + W7: mean TF-IDF vector per cluster (k rows of vocabulary width), then top terms.
-    centroids = assigned.groupBy("cluster").agg(Summarizer.mean(F.col("features")).alias("_mean"))
-    weights = centroids.select("cluster", F.posexplode(vector_to_array("_mean")).alias("idx", "weight"))
+    # The k statistic rows ride along the explode, so the aggregation runs once.
+    stat_cols = ["cluster", "ticket_count", "avg_csat", "sla_breach_rate", "transfer_rate"]
+    weights = stats.select(*stat_cols, F.posexplode(vector_to_array("_mean")).alias("idx", "weight"))
     ranked_terms = weights.join(vocab_index, "idx").withColumn(
         "_r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), F.desc("term")))
     ).filter(F.col("_r") <= top_n)
-    terms = ranked_terms.groupBy("cluster").agg(
+    themes = ranked_terms.groupBy(*stat_cols).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_r", "term"))), lambda s: s["term"]).alias("_terms")
     )
 
@@ -228,7 +235,7 @@ def summarize_clusters(assigned: DataFrame, vocab_index: DataFrame, top_n: int =
         .select("cluster", F.col("category").alias("_dominant"))
     )
 
-    out = stats.join(terms, "cluster", "left").join(samples, "cluster", "left").join(cats, "cluster", "left")
+    out = themes.join(samples, "cluster", "left").join(cats, "cluster", "left")
     category = F.coalesce(F.col("_dominant"), F.lit(THEME_OTHER))
     terms_col = F.coalesce(F.col("_terms"), F.array().cast("array<string>"))
     return out.select(
@@ -260,18 +267,15 @@ def complaint_themes(
     """
     spark = df.sparkSession
     texts = theme_text(df.select("ticket_id", "customer_message", "agent_notes", "category", "csat_score", "sla_breach", "transfers"), min_chars)
-    # M1: fewer than 10 usable texts -> empty table (bounded check).
-    n_probe = texts.filter("usable").limit(10).count()
-    if n_probe < 10:
-        return spark.createDataFrame([], THEME_SCHEMA)
-
     if reuse is None:
         from caseflow.session import materialize as reuse
     # Tokens feed both the vocabulary and the vectors: cached (recomputable) for
     # those two passes; the vectors used by every K-Means pass are checkpointed.
     terms = add_terms(texts).persist()
-    vocab_rows = vocabulary_idf(terms, min_df, max_features).orderBy("term").select("term", "idf").collect()
-    if not vocab_rows:
+    # The vocabulary pass also counts the usable texts, which gives M1 without a
+    # separate pass: fewer than 10 usable texts (or no vocabulary) -> empty table.
+    vocab_rows = _vocabulary_idf_counted(terms, min_df, max_features).orderBy("term").select("term", "idf", "n_docs").collect()
+    if not vocab_rows or vocab_rows[0]["n_docs"] < 10:
         terms.unpersist()
         return spark.createDataFrame([], THEME_SCHEMA)
     vocab_index = spark.createDataFrame([(i, r["term"]) for i, r in enumerate(vocab_rows)], "idx int, term string")
@@ -280,8 +284,7 @@ def complaint_themes(
     # so the text clean is not re-run inside a pushed-down filter.
     features = reuse(tfidf_features(terms, vocab_rows).drop("terms", "theme_text")).filter("usable").drop("usable")
     terms.unpersist()
-    n_total = features.count()
-    k = max(2, min(n_clusters, n_total))
+    k = max(2, min(n_clusters, vocab_rows[0]["n_docs"]))
     model = best_kmeans(features, k, seed, n_init)
     assigned = model.transform(features)
     return summarize_clusters(assigned, vocab_index)

@@ -59,3 +59,45 @@ def test_tokeniser_rules(spark):
     terms = th.add_terms(df).first()["terms"]
     # lower-case, >= 2 word chars, stop words out, bigrams of the kept tokens
     assert terms == ["café", "menu", "42", "x_y", "end", "café menu", "menu 42", "42 x_y", "x_y end"]
+
+
+def test_one_pass_vocabulary_equals_filtered_two_pass(spark):
+    docs = document_tickets(spark, SF_SMALL).select("ticket_id", "customer_message", "agent_notes")
+    texts = th.theme_text(docs)
+    gated = th.add_terms(texts)  # unusable rows keep the flag and get no terms
+    usable = th.usable_texts(docs)
+    n_usable = usable.count()
+    marker = th.term_statistics(gated).filter(F.col("term").isNull()).first()
+    assert marker["n_docs"] == n_usable
+    one_pass = th.vocabulary_idf(gated).orderBy("term").collect()
+    n_docs = usable.agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
+    two_pass = th.with_idf(th.vocabulary(th.add_terms(usable)), n_docs).orderBy("term").collect()
+    assert len(one_pass) == len(two_pass) > 0
+    for a, b in zip(one_pass, two_pass):
+        assert (a["term"], a["document_frequency"], a["corpus_frequency"]) == (b["term"], b["document_frequency"], b["corpus_frequency"])
+        assert abs(a["idf"] - b["idf"]) < 1e-12
+
+
+def test_term_statistics_against_brute_force(spark):
+    texts = ["refund refund late order", "late delivery refund", "ok", "order late late late", "  "]
+    rows = [(f"D{i}", t, True) for i, t in enumerate(texts)] + [("X", "refund refund", False)]
+    df = spark.createDataFrame(rows, "ticket_id string, theme_text string, usable boolean")
+    stats = {r["term"]: r for r in th.term_statistics(th.add_terms(df)).collect()}
+    local = [th.add_terms(spark.createDataFrame([(t,)], "theme_text string")).first()["terms"] for t in texts]
+    for term in {t for ts_ in local for t in ts_}:
+        assert stats[term]["corpus_frequency"] == sum(ts_.count(term) for ts_ in local)
+        assert stats[term]["document_frequency"] == sum(term in ts_ for ts_ in local)
+    assert stats[None]["n_docs"] == len(texts)  # the unusable row is not counted
+
+
+def test_nine_usable_texts_among_short_ones_gives_empty_table(spark):
+    rows = [(f"T{i}", f"my parcel number {i} arrived broken", "", "Returns", 3.0, False, 0.0) for i in range(9)]
+    rows += [(f"S{i}", "short", "", "Returns", 3.0, False, 0.0) for i in range(30)]
+    df = spark.createDataFrame(
+        rows,
+        "ticket_id string, customer_message string, agent_notes string, category string, csat_score double, sla_breach boolean, transfers double",
+    )
+    assert th.complaint_themes(df, n_init=1).count() == 0
+    more = df.union(spark.createDataFrame([("T9", "my parcel number 9 arrived broken", "", "Returns", 3.0, False, 0.0)], df.schema))
+    out = th.complaint_themes(more, n_init=1).collect()
+    assert sum(r["ticket_count"] for r in out) == 10
