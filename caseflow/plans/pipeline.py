@@ -14,7 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.operators.dedupe import reconcile_duplicates
+from caseflow.operators.dedupe import canonical_tickets, duplicate_counters, reconcile_duplicates
 from caseflow.operators.enrich import apply_policy_metrics
 from caseflow.operators.goal import business_goal
 from caseflow.operators.leaderboard import tier1_leaderboard
@@ -36,9 +36,14 @@ class PipelineResult:
         either (read only if the leaderboard is used)."""
         self.policy = policy
         self._agents = agents
-        self.raw, tickets, self.counters = enriched_tickets(raw_tickets, policy)
+        self.raw = normalize_tickets(raw_tickets)
+        tickets = apply_policy_metrics(canonical_tickets(self.raw), policy)
         self.tickets = reuse(tickets) if reuse is not None else tickets
 
+    @cached_property
+    def counters(self) -> DataFrame:
+        return duplicate_counters(self.raw)
+
     # Canonical tickets carry one row per id, so distinct id counts are plain counts.
     @cached_property
     def quality(self) -> DataFrame:
