@@ -9,6 +9,7 @@ from caseflow.fixed import ROSTER_ALIASES, TIER1_TEAMS, TIER_CODES
 from caseflow.functions.columns import safe_ratio, strip_ws
 from caseflow.functions.sizing import DEFAULT_BROADCAST_ROWS, fits_in_rows
 from caseflow.operators.dedupe import keep_best, with_read_order
+from caseflow.operators.median import exact_median as exact_median_by
 from caseflow.sources.policy import Policy, as_policy
 from caseflow.sources.tables import INGEST_COL
 
@@ -90,14 +91,17 @@ def tier1_leaderboard(
     x = x.filter(_tier_key(F.col("_r_tier")).isin(eligible) & team_key.isin(TIER1_TEAMS))
 
     ids = F.count("ticket_id") if ids_unique else F.count_distinct("ticket_id")
-    median = (
-        F.median("handle_time_hours") if exact_median else F.percentile_approx("handle_time_hours", 0.5, 10000)
-    )
-    out = x.groupBy("resolution_week_start", "agent_id", "name", "effective_team").agg(
+    keys = ["resolution_week_start", "agent_id", "name", "effective_team"]
+    aggs = [
         ids.cast("long").alias("tickets_closed"),
         F.count_if("sla_breach").cast("long").alias("sla_breaches"),
         F.avg("csat_score").alias("avg_csat"),
-        median.cast("double").alias("median_handle_time_hours"),
-    )
+    ]
+    if exact_median:
+        # Exact and memory-bounded for a hot group (see operators.median).
+        out = exact_median_by(x, keys, "handle_time_hours", "median_handle_time_hours", aggs=aggs)
+    else:
+        out = x.groupBy(*keys).agg(*aggs, F.percentile_approx("handle_time_hours", 0.5, 10000).cast("double").alias("median_handle_time_hours"))
+    out = out.select(*keys, "tickets_closed", "sla_breaches", "avg_csat", "median_handle_time_hours")
     out = out.withColumn("sla_breach_rate", safe_ratio("sla_breaches", "tickets_closed"))
     return out.orderBy("resolution_week_start", F.desc("tickets_closed"), F.asc_nulls_first("agent_id"))

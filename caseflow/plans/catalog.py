@@ -112,7 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_metrics": _on(lambda r: r.category_metrics),
         "repeat_contacts": _on(lambda r: r.repeat_contacts, shared=True),
         "opportunities": _on(lambda r: r.opportunities, shared=True),
-        "tier1_leaderboard": _on(lambda r: r.leaderboard),
+        "tier1_leaderboard": _on(lambda r: r.leaderboard, shared=True),
         "goal_baseline_split": _on(
             lambda r: baseline_split(r.weekly_metrics).select(
                 "week_start", "total_contacts", "sla_breaches", "n_weeks", "period", "eligible", "weekly_rate"
@@ -123,7 +123,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_opportunity": _on(lambda r: snapshot.top_opportunity(r.opportunities), shared=True),
         "latest_week_kpis": _on(lambda r: snapshot.latest_week_kpis(r.weekly_metrics, r.tickets, r.opportunities), shared=True),
         "top_quality_issue": _on(lambda r: snapshot.top_quality_issue(r.tickets)),
-        "latest_leaderboard_80": _on(lambda r: snapshot.latest_leaderboard(r.leaderboard, 80)),
+        "latest_leaderboard_80": _on(lambda r: snapshot.latest_leaderboard(r.leaderboard, 80), shared=True),
         "ticket_sample": _on(lambda r: snapshot.ticket_sample(r.tickets, 12)),
         "weekly_trend": _on(lambda r: snapshot.weekly_trend(r.weekly_metrics)),
         "text_clean": _text_clean,
