@@ -38,7 +38,7 @@ def _unless(cond: Column, value: Column) -> Column:
 
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX3 raw tickets: helpdesk rows plus legacy_fd copies (some ids in both)."""
-    o = _table(spark, sf_dir, "orders", spread=True).select(
+    o = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
     )
     k = F.col("o_orderkey")
@@ -104,7 +104,9 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("legacy_fd").alias("source_system"),
         (k * 2 + 1).alias(INGEST_COL),
     )
-    return helpdesk.unionByName(legacy)
+    # One spread of the union (not one per source branch, whose pushed-down
+    # filters would make two different exchanges); a no-op with many splits.
+    return ensure_parallelism(helpdesk.unionByName(legacy))
 
 
 def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
