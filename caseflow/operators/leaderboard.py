@@ -10,6 +10,7 @@ from caseflow.functions.columns import safe_ratio, strip_ws
 from caseflow.functions.sizing import DEFAULT_BROADCAST_ROWS, fits_in_rows
 from caseflow.operators.dedupe import keep_best, with_read_order
 from caseflow.operators.median import exact_median as exact_median_by
+from caseflow.session import materialize
 from caseflow.sources.policy import Policy, as_policy
 from caseflow.sources.tables import INGEST_COL
 
@@ -81,6 +82,9 @@ def tier1_leaderboard(
     if r is None:
         x = base.withColumns({"_r_name": F.lit(None).cast("string"), "_r_team": F.lit(None).cast("string"), "_r_tier": F.lit(None).cast("string")})
     else:
+        # Every branch of the exact median reads the joined rows: the de-duplicated
+        # roster (a dimension table) is checkpointed once instead of re-derived per branch.
+        r = materialize(r)
         if fits_in_rows(r, broadcast_rows):
             r = F.broadcast(r)
         x = base.join(r, base["agent_id"].eqNullSafe(r["_r_agent_id"]), how)
