@@ -1,0 +1,19 @@
+"""Scan spreading and the bounded broadcast check."""
+
+from caseflow.functions.sizing import broadcast_if_small, ensure_parallelism, fits_in_rows
+
+
+def test_spread_only_when_the_scan_is_narrow(spark):
+    wide = spark.range(0, 1000, numPartitions=8)
+    assert ensure_parallelism(wide, min_partitions=8) is wide  # enough splits: no shuffle added
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread = ensure_parallelism(narrow, min_partitions=8)
+    assert spread.rdd.getNumPartitions() == 8
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))  # rows kept whole
+
+
+def test_bounded_row_check(spark):
+    df = spark.range(0, 100)
+    assert fits_in_rows(df, 100) and not fits_in_rows(df, 99)
+    assert broadcast_if_small(df, 99) is df
+    assert broadcast_if_small(df, 100) is not df
