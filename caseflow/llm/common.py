@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +36,12 @@ def words_of(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
-def table(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
+def bounded_sample(df: DataFrame, column: str, rows: int, most_bytes: int) -> list[str]:
+    """Texts of the first ``rows`` rows, for fitting only; longer ones than ``most_bytes`` are left out.
 
-def byte_rows(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
-    """The values of a binary column one by one, without a list of all of them."""
-    for value in batch.column(name):
-        yield value.as_py()
+    A top-level limit makes Spark read as few partitions as it needs, instead of
+    sending rows of every partition to one task; at most rows * most_bytes reach
+    the driver.
+    """
+    c = F.col(column).cast("string")
+    return [r[0] for r in df.select(F.when(F.octet_length(c) <= most_bytes, c)).limit(rows).collect() if r[0]]

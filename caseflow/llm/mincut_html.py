@@ -3,8 +3,8 @@
 A page is cut into text blocks at its block elements.  A classifier gives each
 block a log-odds of being content, from cues of its ancestors (elements, roles,
 class and id words) and from its shape (length, share of linked text, sentence
-ends); the shape weights are learned by Spark from the blocks of at most ``FIT_PAGES``
-pages whose place is beyond doubt (inside ``article``/``main``, or inside ``nav``,
+ends); the shape weights are learned from the blocks of at most ``FIT_PAGES`` pages
+of up to ``FIT_BYTES`` whose place is beyond doubt (inside ``article``/``main``, or inside ``nav``,
 ``footer`` and the like).  The log-odds become terminal capacities: positive ones from
 the source, negative ones to the sink.  Adjacent blocks, and consecutive blocks of
 one container, are joined by smoothness edges that weaken with their distance in
@@ -34,7 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIT_PAGES = 2_000
+from caseflow.llm.common import bounded_sample
+
+FIT_PAGES, FIT_BYTES = 2_000, 16_384
 STRONG, FAIR, SHAPE_LIMIT = 12.0, 4.0, 2.5
 ADJACENT, SIBLING = 1.2, 0.8  # smoothness of neighbours in the page and in a container
 
@@ -241,8 +243,9 @@ def learn_shapes(df: DataFrame, html_col: str, fit_pages: int = FIT_PAGES) -> di
                         seen.update((f, side > 0) for f in shape(b))
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in seen], pa.string()), pa.array([c for _, c in seen], pa.bool_()), pa.array(list(seen.values()), pa.int64())], names=["feature", "content", "n"])
 
-    sample = df.select(F.col(html_col).cast("string").alias("_html")).limit(fit_pages).repartition(8)
-    rows = sample.mapInArrow(run, "feature string, content boolean, n long").groupBy("feature", "content").agg(F.sum("n").alias("n")).collect()
+    sample = bounded_sample(df, html_col, fit_pages, FIT_BYTES)
+    pages = df.sparkSession.createDataFrame([(x,) for x in sample], "_html string")
+    rows = pages.mapInArrow(run, "feature string, content boolean, n long").groupBy("feature", "content").agg(F.sum("n").alias("n")).collect()
     counts = {f: [float(a), float(b)] for f, (a, b) in PRIOR.items()}
     for r in rows:
         counts[r["feature"]][0 if r["content"] else 1] += r["n"]

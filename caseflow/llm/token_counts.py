@@ -34,8 +34,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseflow.llm.common import bounded_sample
+
 SAMPLE_ROWS = 2_000
-SAMPLE_BYTES = 65_536
+SAMPLE_BYTES = 16_384
 TABLE_ENTRIES = 65_536  # frequent pre-tokens in the broadcast table
 CACHE_ENTRIES = 400_000  # pre-tokens that a worker remembers, the table included
 CACHE_CHARS = 64
@@ -122,10 +124,9 @@ def chunks(values, limit: int = CHUNK_CHARS) -> Iterator[list[str]]:
 
 def frequent_lengths(df: DataFrame, text_col: str, path: str, sample_rows: int = SAMPLE_ROWS) -> dict[str, int]:
     """Lengths of the pre-tokens that are frequent in a bounded sample of rows."""
-    sample = df.select(F.col(text_col).alias("t")).limit(sample_rows).where(F.octet_length("t") <= SAMPLE_BYTES)
     seen: Counter = Counter()
-    for row in sample.toLocalIterator():
-        seen.update(p for p in pre_tokens(row["t"]) or () if len(p) <= CACHE_CHARS)
+    for text in bounded_sample(df, text_col, sample_rows, SAMPLE_BYTES):
+        seen.update(p for p in pre_tokens(text) or () if len(p) <= CACHE_CHARS)
     top = [p for p, _ in seen.most_common(TABLE_ENTRIES)]
     return dict(zip(top, library_lengths(tokenizer_at(path), top), strict=True)) if top else {}
 
