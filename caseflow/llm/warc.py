@@ -236,7 +236,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
     return spark.read.format("warc").option("files", listed).option("payload", str(payload).lower()).load()
 
 
-def round_trip(df: DataFrame, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
+def round_trip(df: DataFrame, id_col: str = "page_id", payload_col: str = "html", compression: str | None = "gzip") -> DataFrame:
     """Write ``df`` as archives in the shared folder, read them back, and describe each record.
 
     The digest and size of a response come from the payload that was read; a
@@ -244,7 +244,7 @@ def round_trip(df: DataFrame, id_col: str = "page_id", payload_col: str = "html"
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/warc-{uuid.uuid4().hex}"
-    write_archives(classify(df, id_col, payload_col), path)
+    write_archives(classify(df, id_col, payload_col), path, compression=compression)
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     responses = read_archives(spark, path).where(F.col("record_type") == "response").select(
