@@ -107,6 +107,19 @@ INTERPRETATION_RULES = {
     "canonical_temporal_anomalies": "Count of canonical tickets with invalid timestamp ordering.",
 }
 
+# Most rows of each part in the evidence pack (None keeps all).
+EVIDENCE_LIMITS = {
+    "weekly_metrics": 100, "opportunities": 20, "channel_metrics": 20, "category_metrics": 50,
+    "tier1_leaderboard_latest_weeks": 80, "complaint_themes": 20, "ticket_sample": 12,
+}
+
+# Columns that enrichment adds to the ticket columns, in order.
+ENRICHMENT_COLUMNS = [
+    "channel_key", "first_response_minutes", "resolution_time_hours", "handle_time_hours", "sla_target_minutes", "sla_breach",
+    "contact_cost_inr", "sla_penalty_exposure_inr", "transfer_cost_inr", "resolved_before_created", "first_response_before_created",
+    "resolved_before_first_response", "temporal_anomaly", "week_start", "resolution_week_start", "completed_ticket",
+]
+
 # Evidence-pack ticket columns, in order.
 EVIDENCE_TICKET_COLUMNS = [
     "ticket_id", "created_at", "channel", "category", "priority",
@@ -115,7 +128,8 @@ EVIDENCE_TICKET_COLUMNS = [
     "customer_message", "agent_notes", "source_system",
 ]
 
-# Theme label separator and the fallback category.
+# Theme label separator, the fallback category and the text of a missing ticket id.
+MISSING_ID = "<NA>"
 THEME_OTHER = "Other"
 THEME_LABEL_SEP = " — "
 

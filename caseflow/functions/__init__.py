@@ -1,16 +1 @@
-"""Column-expression helpers (all JVM-side built-ins, no Python UDFs)."""
-
-from caseflow.functions.columns import (  # noqa: F401
-    WS_CLASS,
-    clean_text,
-    days_between,
-    hours_between,
-    minutes_between,
-    nan_to_null,
-    parse_number,
-    parse_timestamp,
-    safe_ratio,
-    strip_ws,
-    true_or_false,
-    week_start,
-)
+"""Column-expression helpers (JVM-side built-ins, no Python UDFs)."""

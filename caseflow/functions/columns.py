@@ -24,17 +24,18 @@ _NUMERIC_RE = (
     + WS_CLASS + r"*$"
 )
 
+# Timestamps that begin with a year: blank or T between date and time, a fraction of up
+# to nine digits (read to the microsecond), and Z or an offset, which is taken to UTC.
+_ISO_RE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?\s?(Z|[+-]\d{1,2}(:?\d{2})?)?)?$"
+
+# Tried in order on what the expression above does not match.
 DEFAULT_TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm",
-    "yyyy/MM/dd",
+    "yyyy-MM-dd h:mm[:ss] a",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss]]",
+    "M/d/yyyy h:mm[:ss] a",
+    "MMM d, yyyy[ H:mm[:ss]]",
+    "MMM d, yyyy h:mm[:ss] a",
 )
 
 
@@ -67,10 +68,16 @@ def parse_number(c: str | Column) -> Column:
 
 
 def parse_timestamp(c: str | Column, formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS) -> Column:
-    """Coercing timestamp parse to TIMESTAMP_NTZ: first matching format wins, else NULL."""
+    """Coercing timestamp parse to TIMESTAMP_NTZ, else NULL: ISO spellings, then the first matching format.
+
+    A value with a zone becomes its UTC time; the session's zone must be UTC, as
+    :func:`caseflow.session.get_spark` sets it.
+    """
     s = strip_ws(_col(c).cast("string"))
-    tries = [F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    offset = F.regexp_replace(s, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    iso = F.when(s.rlike(_ISO_RE), F.when(s.rlike(r":.*[+-]\d{4}$"), offset).otherwise(s).try_cast("timestamp"))
+    tries = [F.when(~s.rlike(_ISO_RE), F.try_to_timestamp(s, F.lit(fmt))) for fmt in formats]
+    return F.coalesce(iso, *tries).cast("timestamp_ntz")
 
 
 def _micros(start: str | Column, end: str | Column) -> Column:

@@ -8,6 +8,7 @@ it into the report object, keeping only the keys of the path taken.
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -164,26 +165,31 @@ _AVAILABLE_KEYS = [
 ]
 
 
-def goal_as_dict(goal_row: dict[str, Any]) -> dict[str, Any]:
-    """The report object for the path taken (1-row result, collected by the sink)."""
-    r = dict(goal_row)
-    if r["available"]:
-        return {k: r[k] for k in _AVAILABLE_KEYS}
-    out: dict[str, Any] = {"available": False}
-    if r.get("eligible_weeks") is not None:
-        out["eligible_weeks"] = r["eligible_weeks"]
-    out["reason"] = r["reason"]
-    if r["reason"] == GOAL_REASON_NO_GAP:
-        out["current_sla_rate"] = r["current_sla_rate"]
-        out["historical_sla_benchmark"] = r["historical_sla_benchmark"]
-
-        def obs(metric, rate, exposure):
-            if r[rate] is None and r[exposure] is None:
-                return None
-            return {"metric": metric, "current_rate": r[rate], "modeled_exposure_inr": r[exposure]}
-
-        out["observed_opportunities"] = {
-            "transfers": obs(OPP_TRANSFERS, "transfers_current_rate", "transfers_modeled_exposure_inr"),
-            "repeat_contacts": obs(OPP_REPEAT, "repeat_current_rate", "repeat_modeled_exposure_inr"),
-        }
-    return out
+def goal_json(goal: Column) -> Column:
+    """The report object of the path taken, as JSON text; null fields of it are kept."""
+    keep = {"ignoreNullFields": "false"}
+
+    def pick(*names: str) -> list[Column]:
+        return [goal[n].alias(n) for n in names]
+
+    def seen(metric: str, rate: str, exposure: str) -> Column:
+        found = F.struct(F.lit(metric).alias("metric"), goal[rate].alias("current_rate"), goal[exposure].alias("modeled_exposure_inr"))
+        return F.when(goal[rate].isNotNull() | goal[exposure].isNotNull(), found)
+
+    observed = F.struct(
+        seen(OPP_TRANSFERS, "transfers_current_rate", "transfers_modeled_exposure_inr").alias("transfers"),
+        seen(OPP_REPEAT, "repeat_current_rate", "repeat_modeled_exposure_inr").alias("repeat_contacts"),
+    )
+    no_gap = F.struct(*pick("available", "eligible_weeks", "reason", "current_sla_rate", "historical_sla_benchmark"), observed.alias("observed_opportunities"))
+    return (
+        F.when(goal["available"], F.to_json(F.struct(*pick(*_AVAILABLE_KEYS)), keep))
+        .when(goal["reason"] == GOAL_REASON_NO_GAP, F.to_json(no_gap, keep))
+        .when(goal["eligible_weeks"].isNotNull(), F.to_json(F.struct(*pick("available", "eligible_weeks", "reason")), keep))
+        .otherwise(F.to_json(F.struct(*pick("available", "reason")), keep))
+    )
+
+
+def goal_as_dict(goal: DataFrame) -> dict[str, Any]:
+    """The report object of a 1-row goal table."""
+    row = goal.select(goal_json(F.struct(*goal.columns)).alias("json")).first()
+    return json.loads(row["json"])

@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from caseflow.fixed import ROSTER_ALIASES, TIER1_TEAMS, TIER_CODES
 from caseflow.functions.columns import safe_ratio, strip_ws
-from caseflow.functions.sizing import DEFAULT_BROADCAST_ROWS, fits_in_rows
 from caseflow.operators.dedupe import keep_best, with_read_order
-from caseflow.operators.median import exact_median as exact_median_by
-from caseflow.session import materialize
+from caseflow.operators.median import exact_median
 from caseflow.sources.policy import Policy, as_policy
 from caseflow.sources.tables import INGEST_COL
 
@@ -48,16 +46,14 @@ def tier1_leaderboard(
     agents: DataFrame | None,
     policy: Policy | dict | None = None,
     ids_unique: bool = False,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    exact_median: bool = True,
 ) -> DataFrame:
     """Closed tickets per (resolution week, agent, name, effective team).
 
     Tickets are left-joined to the de-duplicated roster with NULL-safe
     equality.  When no empty tier is eligible, an unmatched ticket can never
     qualify (its tier is ''), so the roster is first cut to eligible tiers and
-    the join becomes an inner join on a smaller side.  The roster is broadcast
-    only behind a bounded row check; otherwise it stays a shuffle join.
+    the join becomes an inner join on a smaller side.  Whether the roster is
+    broadcast is left to Spark, which knows its measured size.
     """
     p = as_policy(policy)
     eligible = p.eligible_tiers()
@@ -82,11 +78,6 @@ def tier1_leaderboard(
     if r is None:
         x = base.withColumns({"_r_name": F.lit(None).cast("string"), "_r_team": F.lit(None).cast("string"), "_r_tier": F.lit(None).cast("string")})
     else:
-        # Every branch of the exact median reads the joined rows: the de-duplicated
-        # roster (a dimension table) is checkpointed once instead of re-derived per branch.
-        r = materialize(r)
-        if fits_in_rows(r, broadcast_rows):
-            r = F.broadcast(r)
         x = base.join(r, base["agent_id"].eqNullSafe(r["_r_agent_id"]), how)
 
     effective_team = F.coalesce(F.col("_r_team"), F.col("assigned_team"))
@@ -94,18 +85,24 @@ def tier1_leaderboard(
     team_key = strip_ws(F.lower(F.coalesce(F.col("effective_team"), F.lit(""))))
     x = x.filter(_tier_key(F.col("_r_tier")).isin(eligible) & team_key.isin(TIER1_TEAMS))
 
-    ids = F.count("ticket_id") if ids_unique else F.count_distinct("ticket_id")
     keys = ["resolution_week_start", "agent_id", "name", "effective_team"]
-    aggs = [
-        ids.cast("long").alias("tickets_closed"),
-        F.count_if("sla_breach").cast("long").alias("sla_breaches"),
-        F.avg("csat_score").alias("avg_csat"),
-    ]
-    if exact_median:
-        # Exact and memory-bounded for a hot group (see operators.median).
-        out = exact_median_by(x, keys, "handle_time_hours", "median_handle_time_hours", aggs=aggs)
-    else:
-        out = x.groupBy(*keys).agg(*aggs, F.percentile_approx("handle_time_hours", 0.5, 10000).cast("double").alias("median_handle_time_hours"))
-    out = out.select(*keys, "tickets_closed", "sla_breaches", "avg_csat", "median_handle_time_hours")
+    # Exact and memory-bounded for a hot group (see operators.median); the other
+    # figures are sums that ride along.
+    sums = {
+        "sla_breaches": F.col("sla_breach").cast("long"),
+        "_csat": F.col("csat_score"),
+        "_csats": F.col("csat_score").isNotNull().cast("long"),
+        "tickets_closed": F.col("ticket_id").isNotNull().cast("long"),
+    }
+    out = exact_median(x, keys, "handle_time_hours", "median_handle_time_hours", sums)
+    if not ids_unique:
+        distinct = x.groupBy(*keys).agg(F.count_distinct("ticket_id").alias("tickets_closed"))
+        right = distinct.select(*[F.col(k).alias(f"_d_{k}") for k in keys], "tickets_closed")
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_d_{k}"))
+        out = out.drop("tickets_closed").join(right, same)
+    out = out.withColumn("avg_csat", F.try_divide("_csat", "_csats"))
+    out = out.select(*keys, F.col("tickets_closed").cast("long"), F.coalesce("sla_breaches", F.lit(0)).cast("long").alias("sla_breaches"), "avg_csat", "median_handle_time_hours")
     out = out.withColumn("sla_breach_rate", safe_ratio("sla_breaches", "tickets_closed"))
     return out.orderBy("resolution_week_start", F.desc("tickets_closed"), F.asc_nulls_first("agent_id"))

@@ -1,23 +1,13 @@
 """Exact per-group median that stays memory-bounded under skew.
 
-Spark's exact ``median``/``percentile`` keeps a value->count map per group that
-cannot spill, so one hot group (a third of all rows) must hold all of its
-distinct values in one task's memory.  Here the exact answer is found in
-three bounded steps:
-
-1. per group, a ``percentile_approx`` sketch (bounded size, merged partially)
-   brackets the two middle ranks: ``lo``/``hi`` sit ``margin`` ranks outside
-   them, so the sketch's rank error (``n / accuracy``) cannot cross the middle;
-2. every value is tagged below / inside / above ``[lo, hi]`` and counted per
-   (group, tag, value); map-side combine collapses the outer rows to one row per
-   task, so only the few distinct values inside the bracket travel on;
-3. a running count over those values (a window whose size is bounded by the
-   bracket, not the group) finds the values at the middle ranks; the median is
-   their mean (linear interpolation at rank (n-1)/2, as pandas and Spark do).
-
-A group whose bracket misses the middle ranks (the sketch guarantee makes this
-not happen) is recomputed with the plain exact ``median``, so the result is
-always exact.  NULL values are ignored; a group of only NULLs gets NULL.
+Spark's exact ``median`` keeps a value->count map per group that cannot spill.
+Here values are counted by (group, value) first, with map-side combine, which
+spreads a hot group over all tasks.  The counts are summed per whole-number
+bucket of the value; a running sum over a group's buckets finds the one or two
+buckets that hold the middle ranks, and a running sum over the distinct values
+inside these finds the median (the mean of the two middle values).  Only bucket
+sums of a group meet in one task.  NULL values are ignored; a group of only NULLs
+gets NULL.
 """
 
 from __future__ import annotations
@@ -27,83 +17,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BELOW, _INSIDE, _ABOVE = -1, 0, 1
-
-
-def _on(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[prefix + k])
-    return cond
-
-
-def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str, *rest: str) -> DataFrame:
-    return df.select(*[F.col(k).alias(prefix + k) for k in keys], *rest)
-
 
-def exact_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    out: str = "median",
-    aggs: Sequence[Column] = (),
-    accuracy: int = 10_000,
-    margin: float | None = None,
-) -> DataFrame:
-    """``keys + aggs + [out]``: one row per group of ``df``.
-
-    ``aggs`` are further aggregate columns of the same grouping; they ride in
-    the sketch aggregation, so the groups are aggregated once.  ``margin``
-    (default ``2 / accuracy``) widens the bracket in quantile units.
-    """
-    keys = list(keys)
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", sums: dict[str, Column] | None = None) -> DataFrame:
+    """``keys + sums + [out]``: one row per group; ``sums``: further expressions to add up per group."""
+    keys, sums = list(keys), sums or {}
     v = F.col(value).cast("double")
-    margin = 2.0 / accuracy if margin is None else margin
-    groups = df.groupBy(*keys).agg(
-        *aggs,
-        F.count(v).alias("_n"),
-        F.percentile_approx(v, [min(1.0, max(0.0, 0.5 - margin)), max(0.0, min(1.0, 0.5 + margin))], accuracy).alias("_b"),
-    )
-    extra = [c for c in groups.columns if c not in keys and c not in ("_n", "_b")]
-    bk = _prefixed(groups, keys, "_g_", "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-
-    # 2. tag and count; the outer rows of a group collapse map-side.
-    vals = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-    tagged = vals.join(bk, _on(vals, bk, keys, "_g_"))
-    tag = F.when(F.col("_v") < F.col("_lo"), _BELOW).when(F.col("_v") > F.col("_hi"), _ABOVE).otherwise(_INSIDE)
-    counted = (
-        tagged.select(*keys, "_n", tag.alias("_t"), F.when(tag == _INSIDE, F.col("_v")).alias("_w"))
-        .groupBy(*keys, "_n", "_t", "_w")
-        .agg(F.count(F.lit(1)).alias("_c"))
+    counted = df.select(*keys, v.alias("_v"), *[c.alias(n) for n, c in sums.items()]).groupBy(*keys, "_v").agg(
+        F.count("_v").alias("_c"), *[F.sum(n).alias(n) for n in sums]
+    ).withColumn("_b", F.floor("_v"))
+
+    buckets = counted.groupBy(*keys, "_b").agg(F.sum("_c").alias("_c"), *[F.sum(n).alias(n) for n in sums])
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = buckets.withColumns({"_n": F.sum("_c").over(group), "_to": F.sum("_c").over(upto)})
+    lower, upper = F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
+    middle = F.col("_b").isNotNull() & (F.col("_to") > lower) & (F.col("_to") - F.col("_c") <= upper)
+    # one row per group, with its one or two middle buckets
+    groups = placed.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in sums], F.max("_n").alias("_n"),
+        F.collect_list(F.when(middle, F.struct("_b", (F.col("_to") - F.col("_c")).alias("_from")))).alias("_mid"),
     )
-
-    # 3. running count over (tag, value): below first, the bracket in value order, above last.
-    w = Window.partitionBy(*keys).orderBy("_t", "_w").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumn("_cum", F.sum("_c").over(w))
-    r1 = F.floor((F.col("_n") - 1) / 2)
-    r2 = F.ceil((F.col("_n") - 1) / 2)
+    wanted = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col("_n"), *[n for n in sums], F.explode_outer("_mid").alias("_m"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    inside = wanted.join(counted.drop(*sums), same & (F.col("_b") == F.col("_m._b")), "left")
+    run = Window.partitionBy(*[f"_g_{k}" for k in keys], "_m._b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("_to", F.col("_m._from") + F.sum("_c").over(run))
 
     def at(rank: Column) -> Column:
-        hit = (F.col("_cum") - F.col("_c") <= rank) & (rank < F.col("_cum")) & (F.col("_t") == _INSIDE)
-        return F.max(F.when(hit, F.col("_w")))
-
-    found = ranked.groupBy(*keys).agg(at(r1).alias("_m1"), at(r2).alias("_m2"))
-    found = _prefixed(found, keys, "_f_", ((F.col("_m1") + F.col("_m2")) / 2).alias(out), (F.col("_m1").isNotNull() & F.col("_m2").isNotNull()).alias("_ok"))
+        return F.max(F.when((F.col("_to") > rank) & (F.col("_to") - F.col("_c") <= rank), F.col("_v")))
 
-    # Groups without non-NULL values have no bracket rows: their median is NULL.
-    joined = groups.join(found, _on(groups, found, keys, "_f_"), "left")
-    ok = F.coalesce(F.col("_ok"), F.col("_n") == 0)
-    result = joined.select(*keys, *extra, out, ok.alias("_ok"))
-    good = result.filter("_ok").drop("_ok")
-
-    # Safety net: plain exact median for any group the sketch did not bracket (none expected).
-    bad = result.filter(~F.col("_ok")).drop("_ok", out)
-    bad_keys = _prefixed(bad, keys, "_k_")
-    redo = (
-        vals.join(bad_keys, _on(vals, bad_keys, keys, "_k_"), "left_semi")
-        .groupBy(*keys)
-        .agg(F.median("_v").alias(out))
-    )
-    redo = _prefixed(redo, keys, "_r_", out)
-    fixed = bad.join(redo, _on(bad, redo, keys, "_r_"), "left").select(*keys, *extra, out)
-    return good.unionByName(fixed)
+    found = ranked.groupBy(*[f"_g_{k}" for k in keys], "_n", *sums).agg(((at(lower) + at(upper)) / 2).alias(out))
+    return found.select(*[F.col(f"_g_{k}").alias(k) for k in keys], *sums, out)

@@ -46,6 +46,21 @@ def _as_number(schema: T.StructType, name: str) -> Column:
     return parse_number(F.col(name))
 
 
+def unparsed_timestamps(raw: DataFrame, timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS) -> DataFrame:
+    """Per text column of timestamps: ``column, values, unparsed`` (non-blank values, and those of no known format)."""
+    names = [n for n in TIMESTAMP_COLUMNS if n in raw.columns and isinstance(raw.schema[n].dataType, T.StringType)]
+    counts = [
+        F.struct(
+            F.lit(n).alias("column"),
+            F.count_if(strip_ws(n) != "").alias("values"),
+            F.count_if((strip_ws(n) != "") & parse_timestamp(n, timestamp_formats).isNull()).alias("unparsed"),
+        )
+        for n in names
+    ]
+    empty = F.array().cast("array<struct<column:string,values:bigint,unparsed:bigint>>")
+    return raw.agg((F.array(*counts) if counts else F.first(empty)).alias("c")).select(F.inline("c"))
+
+
 def normalize_tickets(df: DataFrame, timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS) -> DataFrame:
     """P1-P6 in one projection.
 

@@ -1,8 +1,8 @@
 """Data-quality report.
 
 Both inputs are folded by source system first (partial aggregation, one small
-row per source), then everything else is derived from those few rows: the
-totals, the per-source maps and the rate.  Result: a long table
+row per source); a rollup of those few rows adds the totals, and every row then
+yields its report lines, so each input is read once.  Result: a long table
 ``(metric, key, value)``; ``key`` is NULL for scalar metrics.
 """
 
@@ -76,39 +76,29 @@ def canonical_by_source(tickets: DataFrame) -> DataFrame:
 
 def quality_report(raw: DataFrame, tickets: DataFrame, counters: DataFrame) -> DataFrame:
     """A8b as ``(metric string, key string, value double)``."""
-    rs = raw_by_source(raw)
-    cs = canonical_by_source(tickets)
-    rt = rs.agg(*[F.coalesce(F.sum(col), F.lit(0)).cast("long").alias(col) for _, col in _RAW_SUMS])
-    ct = cs.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"),
-        *[F.coalesce(F.sum(col), F.lit(0)).cast("long").alias(col) for _, col in _CANONICAL_SUMS + _CANONICAL_FLAGS],
-    )
-    totals = counters.crossJoin(ct).crossJoin(rt)
-    pairs = (
-        [(m, F.col(m)) for m in _COUNTER_METRICS]
-        + [(m, F.col(c)) for m, c in _CANONICAL_SUMS + _RAW_SUMS + _CANONICAL_FLAGS]
-        + [("canonical_temporal_anomaly_rate", F.round(F.try_divide(F.col("c_anom") * 100.0, F.col("n")), 2))]
-    )
-    scalars = totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("key"), v.cast("double").alias("value"))
-                    for m, v in pairs
-                ]
-            )
-        )
-    )
-
-    def keyed(df: DataFrame, metric: str, col: str, positive_only: bool) -> DataFrame:
-        out = df.select(F.lit(metric).alias("metric"), F.col("source").alias("key"), F.col(col).cast("double").alias("value"))
-        return out.filter(F.col("value") > 0) if positive_only else out
-
-    return (
-        scalars.unionByName(keyed(cs, "source_system_counts", "n", False))
-        .unionByName(keyed(rs, "resolved_before_created_by_source", "r_rbc", True))
-        .unionByName(keyed(cs, "canonical_temporal_anomalies_by_source", "c_anom", True))
+    none = F.lit(None).cast("string")
+
+    def item(metric: str, key, value):
+        return F.struct(F.lit(metric).alias("metric"), key.alias("key"), value.cast("double").alias("value"))
+
+    def totals_and_sources(df: DataFrame, sums: list[str]) -> DataFrame:
+        """The few rows per source and their total (``_total``), from one reading of ``df``."""
+        return df.rollup("source").agg(*[F.sum(c).alias(c) for c in sums], (F.grouping("source") == 1).alias("_total"))
+
+    cs = totals_and_sources(canonical_by_source(tickets), ["n", *[c for _, c in _CANONICAL_SUMS + _CANONICAL_FLAGS]])
+    rs = totals_and_sources(raw_by_source(raw), [c for _, c in _RAW_SUMS])
+    rate = F.bround(F.try_divide(F.col("c_anom") * 100.0, F.col("n")), 2)
+    canonical = F.when(
+        F.col("_total"),
+        F.array(*[item(m, none, F.col(c)) for m, c in _CANONICAL_SUMS + _CANONICAL_FLAGS], item("canonical_temporal_anomaly_rate", none, rate)),
+    ).otherwise(F.array(item("source_system_counts", F.col("source"), F.col("n")), item("canonical_temporal_anomalies_by_source", F.col("source"), F.col("c_anom"))))
+    before = F.when(F.col("_total"), F.array(*[item(m, none, F.col(c)) for m, c in _RAW_SUMS])).otherwise(
+        F.array(item("resolved_before_created_by_source", F.col("source"), F.col("r_rbc")))
     )
+    scalars = counters.select(F.inline(F.array(*[item(m, none, F.col(m)) for m in _COUNTER_METRICS])))
+    out = cs.select(F.inline(canonical)).unionByName(rs.select(F.inline(before))).unionByName(scalars)
+    positive_only = F.col("metric").isin("resolved_before_created_by_source", "canonical_temporal_anomalies_by_source")
+    return out.filter(~positive_only | (F.col("value") > 0))
 
 
 def quality_as_dict(rows: list[Any]) -> dict[str, Any]:

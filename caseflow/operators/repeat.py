@@ -2,18 +2,18 @@
 
 The previous contact of a customer is a ``lag`` by (created_at, ticket_id).
 A plain ``Window.partitionBy("customer_id")`` would put every row of a very
-large customer (a shared mailbox, a placeholder id) into one task, so the lag
-is computed in two levels:
+large customer (a shared mailbox, a placeholder id) into one task, and many of
+its rows may even share one instant (date-only or batch-stamped times).  So no
+window sees rows of tickets:
 
-1. rows are windowed per (customer, time bucket): every row but the first of
-   its bucket finds its predecessor there;
-2. per (customer, bucket) only the latest timestamp is kept (aggregated with
-   map-side combine), and a lag over those bucket summaries gives the first
-   row of each bucket the last contact of the customer's previous non-empty
-   bucket.  A customer contributes at most one summary row per bucket, a
-   number bounded by the calendar span, not by the ticket volume.
+1. rows are counted per (customer, instant), with map-side combine; the smallest
+   content hash of the first ticket id at the instant is kept;
+2. distinct instants are lagged within time buckets, and the last instant of each
+   bucket across buckets, a number bounded by the calendar span;
+3. the row that is first at its instant gets the previous instant; every other
+   row of the instant has a predecessor at the same instant.
 
-The result is exact for any bucket size.
+The result is exact for any bucket size.  Missing ticket ids sort last.
 """
 
 from __future__ import annotations
@@ -44,18 +44,23 @@ def repeat_contacts(df: DataFrame, window_days: float = 7.0, bucket_seconds: int
         .withColumn(_BUCKET, F.floor(seconds / F.lit(bucket_seconds)))
     )
     keys = ["customer_id", _BUCKET]
+    instant = [*keys, "created_at"]
 
-    in_bucket = Window.partitionBy(*keys).orderBy("created_at", "ticket_id")
-    local = x.withColumn("_local_prior", F.lag("created_at").over(in_bucket))
-
-    buckets = x.groupBy(*keys).agg(F.max("created_at").alias("_bucket_last"))
+    # the first ticket of an instant: the smallest id, a missing id last; rows that
+    # are equal in it (repeated ids) are told apart by their other columns
+    rank = F.struct(F.col("ticket_id").isNull().alias("m"), F.col("ticket_id").alias("i"), F.xxhash64("category", "order_id").alias("h"))
+    instants = x.groupBy(*instant).agg(F.min(rank).alias("_first"))
+    buckets = instants.groupBy(*keys).agg(F.max("created_at").alias("_bucket_last"))
     carried = buckets.select(
         *keys,
         F.lag("_bucket_last").over(Window.partitionBy("customer_id").orderBy(_BUCKET)).alias("_carry"),
     )
+    in_bucket = Window.partitionBy(*keys).orderBy("created_at")
+    lagged = instants.withColumn("_local", F.lag("created_at").over(in_bucket)).join(carried, keys, "left")
+    lagged = lagged.select(*instant, "_first", F.coalesce("_local", "_carry").alias("_before"))
 
-    joined = local.join(carried, keys, "left")
-    prior = F.coalesce(F.col("_local_prior"), F.col("_carry"))
+    joined = x.join(lagged, instant)
+    prior = F.when(rank.eqNullSafe(F.col("_first")), F.col("_before")).otherwise(F.col("created_at"))
     days = days_between(prior, F.col("created_at"))
     return joined.select(
         "ticket_id",

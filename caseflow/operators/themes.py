@@ -26,8 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseflow.fixed import ENGLISH_STOP_WORDS, THEME_LABEL_SEP, THEME_OTHER
+from caseflow.fixed import ENGLISH_STOP_WORDS, MISSING_ID, THEME_LABEL_SEP, THEME_OTHER
 from caseflow.functions.columns import strip_ws
+from caseflow.session import stage
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -175,7 +176,7 @@ def best_kmeans(
     n_init: int = 10,
     max_iter: int = 300,
     tol: float = 1e-4,
-    parallelism: int = 4,
+    parallelism: int = 2,
 ):
     """M7: ``n_init`` K-Means fits with consecutive seeds; lowest training cost wins.
 
@@ -219,10 +220,10 @@ def summarize_clusters(assigned: DataFrame, vocab_index: DataFrame, top_n: int =
     # The first ticket ids of each cluster in id order.
     samples = (
         assigned.select("cluster", "ticket_id")
-        .withColumn("_r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.asc_nulls_first("ticket_id"))))
+        .withColumn("_r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.asc_nulls_last("ticket_id"))))
         .filter(F.col("_r") <= sample_n)
         .groupBy("cluster")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "ticket_id"))), lambda s: s["ticket_id"]), ", ").alias("sample_ticket_ids"))
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "ticket_id"))), lambda s: F.coalesce(s["ticket_id"], F.lit(MISSING_ID))), ", ").alias("sample_ticket_ids"))
     )
 
     # Most frequent non-null category, ties to the one seen first (lowest ticket id).
@@ -230,7 +231,7 @@ def summarize_clusters(assigned: DataFrame, vocab_index: DataFrame, top_n: int =
         assigned.filter(F.col("category").isNotNull())
         .groupBy("cluster", "category")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("ticket_id").alias("_first"))
-        .withColumn("_r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("_n"), F.asc_nulls_first("_first"), "category")))
+        .withColumn("_r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("_n"), F.asc_nulls_last("_first"), "category")))
         .filter(F.col("_r") == 1)
         .select("cluster", F.col("category").alias("_dominant"))
     )
@@ -263,33 +264,55 @@ def complaint_themes(
 ) -> DataFrame:
     """M1-M8.  ``df`` needs ticket_id, customer_message, agent_notes, category,
     csat_score, sla_breach, transfers.  ``reuse`` materialises the feature
-    table once for the K-Means passes (default: ``caseflow.session.materialize``).
+    table once for the K-Means passes (default: ``caseflow.session.stage``).
     """
     spark = df.sparkSession
     texts = theme_text(df.select("ticket_id", "customer_message", "agent_notes", "category", "csat_score", "sla_breach", "transfers"), min_chars)
-    if reuse is None:
-        from caseflow.session import materialize as reuse
-    # Tokens feed both the vocabulary and the vectors: cached (recomputable) for
-    # those two passes; the vectors used by every K-Means pass are checkpointed.
-    terms = add_terms(texts).persist()
+    reuse = reuse or stage
+    # Tokens feed the vocabulary and the vectors.  They are several times as large
+    # as the texts, so they are made twice rather than kept; the vectors, which
+    # every K-Means pass reads, are staged.
+    terms = add_terms(texts)
     # The vocabulary pass also counts the usable texts, which gives M1 without a
     # separate pass: fewer than 10 usable texts (or no vocabulary) -> empty table.
     vocab_rows = _vocabulary_idf_counted(terms, min_df, max_features).orderBy("term").select("term", "idf", "n_docs").collect()
     if not vocab_rows or vocab_rows[0]["n_docs"] < 10:
-        terms.unpersist()
         return spark.createDataFrame([], THEME_SCHEMA)
     vocab_index = spark.createDataFrame([(i, r["term"]) for i, r in enumerate(vocab_rows)], "idx int, term string")
 
     # Rows that are not usable are dropped after the checkpoint (a plan barrier),
     # so the text clean is not re-run inside a pushed-down filter.
     features = reuse(tfidf_features(terms, vocab_rows).drop("terms", "theme_text")).filter("usable").drop("usable")
-    terms.unpersist()
     k = max(2, min(n_clusters, vocab_rows[0]["n_docs"]))
     model = best_kmeans(features, k, seed, n_init)
     assigned = model.transform(features)
     return summarize_clusters(assigned, vocab_index)
 
 
+def theme_tfidf(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
+    """M6 in long form: ``ticket_id, term, weight``, the L2-normalised TF-IDF weights of every usable text."""
+    terms = add_terms(theme_text(df.select("ticket_id", "customer_message", "agent_notes"), min_chars))
+    counts = terms.select("ticket_id", F.explode("terms").alias("term")).groupBy("ticket_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    weighted = counts.join(vocabulary_idf(terms, min_df, max_features).select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    norms = weighted.groupBy("ticket_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return weighted.join(norms, "ticket_id").select("ticket_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
+
+
+def theme_summary(df: DataFrame, cluster: str, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
+    """M8 over a given assignment (the text column ``cluster``) instead of K-Means clusters.
+
+    Clusters are numbered by the order of their names, from 0.
+    """
+    texts = theme_text(df, min_chars)
+    vocab = _vocabulary_idf_counted(add_terms(texts), min_df, max_features).orderBy("term").select("term", "idf").collect()
+    index = texts.sparkSession.createDataFrame([(i, r["term"]) for i, r in enumerate(vocab)], "idx int, term string")
+    names = df.select(F.col(cluster).alias("_name")).distinct()
+    numbered = names.withColumn("cluster", F.row_number().over(Window.orderBy("_name")) - 1)
+    features = tfidf_features(add_terms(texts), vocab).where("usable")
+    assigned = features.join(numbered, features[cluster].eqNullSafe(numbered["_name"]))
+    return summarize_clusters(assigned, index)
+
+
 def theme_vocabulary(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
     """M2-M5 as a table: ``term, document_frequency, corpus_frequency, idf``."""
     texts = theme_text(df.select("ticket_id", "customer_message", "agent_notes"), min_chars)

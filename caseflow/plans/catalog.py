@@ -13,25 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseflow.fixed import ENRICHMENT_COLUMNS, EVIDENCE_TICKET_COLUMNS, TICKET_COLUMNS
 from caseflow.functions.columns import clean_text
 from caseflow.operators import themes as th
-from caseflow.operators.goal import baseline_split
+from caseflow.operators.goal import baseline_split, business_goal
+from caseflow.operators.normalize import normalize_tickets, unparsed_timestamps
 from caseflow.operators.quality import canonical_by_source, raw_by_source
 from caseflow.plans import snapshot
-from caseflow.plans.pipeline import PipelineResult, from_driver_tables
-from caseflow.session import materialize
+from caseflow.plans.pipeline import PipelineResult, from_driver_tables, from_edge_tables
+from caseflow.session import stage
 from caseflow.sources import fixtures
 
-ENRICHED_COLUMNS = [
-    "ticket_id", "created_at", "first_response_at", "resolved_at", "status", "channel", "customer_id",
-    "order_id", "product_sku", "category", "priority", "assigned_team", "agent_id", "transfers",
-    "csat_score", "refund_amount_inr", "refund_reason_code", "replacement_issued", "customer_message",
-    "agent_notes", "source_system", "channel_key", "first_response_minutes", "resolution_time_hours",
-    "handle_time_hours", "sla_target_minutes", "sla_breach", "contact_cost_inr", "sla_penalty_exposure_inr",
-    "transfer_cost_inr", "resolved_before_created", "first_response_before_created",
-    "resolved_before_first_response", "temporal_anomaly", "week_start", "resolution_week_start",
-    "completed_ticket",
-]
+ENRICHED_COLUMNS = [name for name, _ in TICKET_COLUMNS] + ENRICHMENT_COLUMNS
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
@@ -43,19 +36,37 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
-def _pipe(spark: SparkSession, sf_dir: str, shared: bool = False) -> PipelineResult:
-    """``shared``: the query reads the canonical tickets from several branches,
-    so they are checkpointed once instead of being re-derived per branch."""
-    return from_driver_tables(spark, sf_dir, reuse=materialize if shared else None)
+#: Columns of the canonical tickets that queries with several branches stage.
+REPEAT = ["ticket_id", "customer_id", "created_at", "category", "order_id"]
+OPPORTUNITY = [*REPEAT, "sla_breach", "sla_penalty_exposure_inr", "transfers"]
+WEEKLY = ["week_start", "csat_score", "contact_cost_inr", "transfer_cost_inr"]
+BOARD = ["resolution_week_start", "agent_id", "assigned_team", "completed_ticket", "handle_time_hours"]
+GROUPS = ["channel", "source_system", "temporal_anomaly", "resolved_at", "resolved_before_created", "first_response_before_created", "resolved_before_first_response"]
 
 
-def _on(getter: Callable[[PipelineResult], DataFrame], shared: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+def _on(getter: Callable[[PipelineResult], DataFrame], columns: list[str] | None = None, source=from_driver_tables) -> Callable[[SparkSession, str], DataFrame]:
+    """``columns``: the query reads the canonical tickets from several branches, so
+    these columns of them are staged once instead of being derived per branch."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_doubles(getter(_pipe(spark, sf_dir, shared)))
+        reuse = (lambda t: stage(t.select(*dict.fromkeys(columns)))) if columns else None
+        return round_doubles(getter(source(spark, sf_dir, reuse=reuse)))
 
     return run
 
 
+def _edge(getter: Callable[[PipelineResult], DataFrame], columns: list[str] | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    return _on(getter, columns, from_edge_tables)
+
+
+def _ticket_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize_tickets(fixtures.spelled_tickets(spark, sf_dir)).select("ticket_id", "created_at")
+
+
+def _timestamp_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unparsed_timestamps(fixtures.spelled_tickets(spark, sf_dir))
+
+
 def document_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX4 tickets with the P6 text clean applied."""
     d = fixtures.document_tickets(spark, sf_dir)
@@ -91,44 +102,75 @@ def _theme_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(snapshot.theme_watchlist(th.complaint_themes(document_tickets(spark, sf_dir))))
 
 
-def _evidence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _pipe(spark, sf_dir, shared=True)
-    themes = th.complaint_themes(document_tickets(spark, sf_dir))
+def _theme_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(th.theme_tfidf(document_tickets(spark, sf_dir)))
+
+
+def _theme_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(th.theme_summary(document_tickets(spark, sf_dir), "category").select(
+        "theme_id", "category", "ticket_count", "avg_csat", "sla_breach_rate", "transfer_rate", "sample_ticket_ids", "theme_label", "top_terms"
+    ))
+
+
+def _evidence(spark: SparkSession, sf_dir: str, themes: DataFrame | None) -> DataFrame:
+    columns = [*OPPORTUNITY, *WEEKLY, *BOARD, *GROUPS, *EVIDENCE_TICKET_COLUMNS]
+    r = from_driver_tables(spark, sf_dir, reuse=lambda t: stage(t.select(*dict.fromkeys(columns))))
+    # the small tables that several parts read
+    weekly, opportunity = stage(r.weekly_metrics), stage(r.opportunities)
     return snapshot.evidence_pack(
-        r.quality, r.business_goal, r.weekly_metrics, r.opportunities, r.channel_metrics,
-        r.category_metrics, themes, r.leaderboard, r.tickets,
+        r.quality, business_goal(weekly, opportunity, r.policy), weekly, opportunity, r.channel_metrics, r.category_metrics, themes, stage(r.leaderboard), r.tickets,
     )
 
 
+def _evidence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _evidence(spark, sf_dir, th.complaint_themes(document_tickets(spark, sf_dir)))
+
+
+def _evidence_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot.evidence_parts(_evidence(spark, sf_dir, None))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    board = [*BOARD, "ticket_id", "sla_breach", "csat_score"]
     return {
         "ticket_enrichment": _on(lambda r: r.tickets.select(*ENRICHED_COLUMNS)),
         "canonical_tickets": _on(lambda r: r.tickets.select(*ENRICHED_COLUMNS[:21])),
         "duplicate_counters": _on(lambda r: r.counters),
-        "quality_report_long": _on(lambda r: r.quality, shared=True),
-        "source_value_counts": _on(_source_value_counts, shared=True),
+        "quality_report_long": _on(lambda r: r.quality),
+        "source_value_counts": _on(_source_value_counts),
         "weekly_metrics": _on(lambda r: r.weekly_metrics),
         "channel_metrics": _on(lambda r: r.channel_metrics),
         "category_metrics": _on(lambda r: r.category_metrics),
-        "repeat_contacts": _on(lambda r: r.repeat_contacts, shared=True),
-        "opportunities": _on(lambda r: r.opportunities, shared=True),
-        "tier1_leaderboard": _on(lambda r: r.leaderboard, shared=True),
+        "repeat_contacts": _on(lambda r: r.repeat_contacts, REPEAT),
+        "opportunities": _on(lambda r: r.opportunities, OPPORTUNITY),
+        "tier1_leaderboard": _on(lambda r: r.leaderboard, board),
         "goal_baseline_split": _on(
             lambda r: baseline_split(r.weekly_metrics).select(
                 "week_start", "total_contacts", "sla_breaches", "n_weeks", "period", "eligible", "weekly_rate"
             )
         ),
-        "business_goal": _on(lambda r: r.business_goal, shared=True),
+        "business_goal": _on(lambda r: r.business_goal, [*OPPORTUNITY, *WEEKLY]),
         "top_breach_channel": _on(lambda r: snapshot.top_breach_channel(r.channel_metrics)),
-        "top_opportunity": _on(lambda r: snapshot.top_opportunity(r.opportunities), shared=True),
-        "latest_week_kpis": _on(lambda r: snapshot.latest_week_kpis(r.weekly_metrics, r.tickets, r.opportunities), shared=True),
+        "top_opportunity": _on(lambda r: snapshot.top_opportunity(r.opportunities), OPPORTUNITY),
+        "latest_week_kpis": _on(lambda r: snapshot.latest_week_kpis(r.weekly_metrics, r.tickets, r.opportunities), [*OPPORTUNITY, *WEEKLY]),
         "top_quality_issue": _on(lambda r: snapshot.top_quality_issue(r.tickets)),
-        "latest_leaderboard_80": _on(lambda r: snapshot.latest_leaderboard(r.leaderboard, 80), shared=True),
+        "latest_leaderboard_80": _on(lambda r: snapshot.latest_leaderboard(r.leaderboard, 80), board),
         "ticket_sample": _on(lambda r: snapshot.ticket_sample(r.tickets, 12)),
         "weekly_trend": _on(lambda r: snapshot.weekly_trend(r.weekly_metrics)),
         "text_clean": _text_clean,
+        "ticket_normalisation": _ticket_normalisation,
+        "timestamp_parsing": _timestamp_parsing,
+        "edge_canonical": _edge(lambda r: r.tickets.select(*ENRICHED_COLUMNS[:21])),
+        "edge_repeat": _edge(lambda r: r.repeat_contacts, REPEAT),
+        "edge_leaderboard": _edge(lambda r: r.leaderboard, board),
+        "edge_quality": _edge(lambda r: r.quality),
+        "edge_goal": _edge(lambda r: r.business_goal, [*OPPORTUNITY, *WEEKLY]),
+        "edge_sample": _edge(lambda r: snapshot.ticket_sample(r.tickets, 12)),
         "theme_vocabulary": _theme_vocabulary,
+        "theme_tfidf": _theme_tfidf,
+        "theme_summary": _theme_summary,
         "complaint_themes": _complaint_themes,
         "theme_watchlist": _theme_watchlist,
+        "evidence_parts": _evidence_parts,
         "evidence_pack": _evidence_pack,
     }

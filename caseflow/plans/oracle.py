@@ -8,7 +8,7 @@ BIGINT, like the Spark side.
 
 from __future__ import annotations
 
-from caseflow.fixed import DEFAULT_POLICY, ENGLISH_STOP_WORDS, TIER1_TEAMS
+from caseflow.fixed import DEFAULT_POLICY, ENGLISH_STOP_WORDS, ENRICHMENT_COLUMNS, EVIDENCE_LIMITS, THEME_LABEL_SEP, TICKET_COLUMNS, TIER1_TEAMS
 
 
 def _q(s: str) -> str:
@@ -69,12 +69,7 @@ agents AS (
     s_suppkey AS seq
   FROM supplier)"""
 
-_BASE_COLS = [
-    "ticket_id", "created_at", "first_response_at", "resolved_at", "status", "channel", "customer_id",
-    "order_id", "product_sku", "category", "priority", "assigned_team", "agent_id", "transfers",
-    "csat_score", "refund_amount_inr", "refund_reason_code", "replacement_issued", "customer_message",
-    "agent_notes", "source_system",
-]
+_BASE_COLS = [name for name, _ in TICKET_COLUMNS]
 _COMPLETENESS = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in _BASE_COLS)
 
 
@@ -84,9 +79,9 @@ def _case_map(key: str, mapping: dict, default: str) -> str:
 
 
 P = DEFAULT_POLICY
-PIPELINE = FX3 + f""",
+STEPS = f""",
 raw AS (
-  SELECT ticket_id, created_at, first_response_at, resolved_at, status, channel, customer_id, order_id,
+  SELECT trim(ticket_id) AS ticket_id, created_at, first_response_at, resolved_at, trim(status) AS status, trim(channel) AS channel, customer_id, order_id,
     CAST(NULL AS VARCHAR) AS product_sku, category, CAST(NULL AS VARCHAR) AS priority, assigned_team, agent_id,
     transfers, NULLIF(csat_score, 0) AS csat_score, CAST(NULL AS DOUBLE) AS refund_amount_inr,
     CAST(NULL AS VARCHAR) AS refund_reason_code, CAST(NULL AS VARCHAR) AS replacement_issued,
@@ -139,7 +134,7 @@ repeat AS (
     {_micros('prior_contact_at', 'created_at')} / 1e6 / 86400 AS days_since_prior_contact,
     coalesce({_micros('prior_contact_at', 'created_at')} / 1e6 / 86400 BETWEEN 0 AND 7, FALSE) AS repeat_contact_7d
   FROM (SELECT ticket_id, customer_id, created_at, category, order_id,
-          lag(created_at) OVER (PARTITION BY customer_id ORDER BY created_at, ticket_id) AS prior_contact_at
+          lag(created_at) OVER (PARTITION BY customer_id ORDER BY created_at, ticket_id NULLS LAST) AS prior_contact_at
         FROM enriched WHERE customer_id IS NOT NULL AND created_at IS NOT NULL)),
 opp_totals AS (
   SELECT CAST(greatest(count(DISTINCT ticket_id), 1) AS DOUBLE) AS total,
@@ -189,6 +184,40 @@ split2 AS (
     CASE WHEN period = 'historical' AND total_contacts >= 1 THEN CAST(sla_breaches AS DOUBLE) / total_contacts END AS weekly_rate
   FROM split)"""
 
+PIPELINE = FX3 + STEPS
+
+EDGE = f"""
+edge AS (
+  SELECT o_orderkey AS k, o_custkey, o_orderpriority, {_dmin("TIMESTAMP '2024-01-01'", '(o_orderkey * 61) % 25920')} AS c FROM orders),
+tickets_raw AS (
+  SELECT CASE WHEN k % 97 = 5 THEN NULL WHEN k % 13 = 1 THEN '  T' || k || ' ' ELSE 'T' || k END AS ticket_id,
+    CASE WHEN k % 41 <> 7 THEN c END AS created_at, {_dmin('c', 'k % 300 - 3')} AS first_response_at,
+    {_dmin('c', '(k * 13) % 5000 - 60')} AS resolved_at, CASE WHEN k % 3 = 0 THEN ' Resolved' ELSE 'open' END AS status,
+    CASE k % 3 WHEN 0 THEN 'chat' WHEN 1 THEN ' Email ' ELSE 'voice' END AS channel,
+    CASE WHEN k % 37 <> 6 THEN 'C' || (o_custkey % 50) END AS customer_id, 'O' || k AS order_id,
+    CASE WHEN copy = 1 AND k % 2 = 0 THEN NULL ELSE o_orderpriority END AS category, 'Email Frontline' AS assigned_team,
+    CASE WHEN k % 31 <> 0 THEN 'A' || (k % 20) END AS agent_id, CAST(k % 4 AS DOUBLE) AS transfers, CAST(k % 6 AS DOUBLE) AS csat_score,
+    CASE WHEN k % 43 <> 2 THEN 'helpdesk' END AS source_system, k * 2 + copy AS seq
+  FROM edge, (VALUES (0), (1)) AS v(copy) WHERE copy = 0 OR k % 19 = 2),
+agents AS (
+  SELECT CASE WHEN s_suppkey % 11 <> 3 THEN 'A' || (s_suppkey % 20) END AS agent_id, s_name AS name,
+    CASE WHEN s_suppkey % 2 = 0 THEN 'Chat Frontline' END AS team,
+    CASE WHEN (s_suppkey + copy) % 3 = 0 THEN 'Tier 2' ELSE ' TIER 1 ' END AS tier, s_suppkey * 2 + copy AS seq
+  FROM supplier, (VALUES (0), (1)) AS v(copy))"""
+EDGE_PIPELINE = EDGE + STEPS
+
+SPELLED = f"""
+spelled AS (
+  SELECT 'T' || o_orderkey AS ticket_id, o_orderkey % 12 AS way, {_dmin('o_orderdate', '(o_orderkey * 37) % 1440')} AS instant FROM orders)"""
+
+THEME_WEIGHTS = """
+n_docs AS (SELECT count(*) AS n FROM usable),
+idf AS (SELECT term, ln(CAST(1 + n AS DOUBLE) / (1 + document_frequency)) + 1 AS idf FROM vocab, n_docs),
+tf AS (SELECT ticket_id, term, count(*) AS tf FROM terms GROUP BY ticket_id, term),
+w AS (SELECT ticket_id, tf.term, tf * idf AS w FROM tf JOIN idf ON tf.term = idf.term),
+norm AS (SELECT ticket_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY ticket_id),
+tfidf AS (SELECT w.ticket_id, term, w / norm AS weight FROM w JOIN norm ON w.ticket_id = norm.ticket_id)"""
+
 
 def _channel_like(col: str) -> str:
     return f"""
@@ -312,7 +341,7 @@ _QUALITY_BODY = """
   UNION ALL SELECT 'canonical_first_response_before_created', NULL, c_frbc FROM t
   UNION ALL SELECT 'canonical_resolved_before_first_response', NULL, c_rbfr FROM t
   UNION ALL SELECT 'canonical_temporal_anomalies', NULL, c_anom FROM t
-  UNION ALL SELECT 'canonical_temporal_anomaly_rate', NULL, round(CAST(c_anom AS DOUBLE) * 100 / n, 2) FROM t
+  UNION ALL SELECT 'canonical_temporal_anomaly_rate', NULL, round_even(CAST(c_anom AS DOUBLE) * 100 / n, 2) FROM t
   UNION ALL SELECT 'source_system_counts', source, n FROM cs
   UNION ALL SELECT 'resolved_before_created_by_source', source, r_rbc FROM rs WHERE r_rbc > 0
   UNION ALL SELECT 'canonical_temporal_anomalies_by_source', source, c_anom FROM cs WHERE c_anom > 0"""
@@ -347,14 +376,18 @@ vocab AS (
   FROM terms GROUP BY term HAVING count(DISTINCT ticket_id) >= 2
   ORDER BY corpus_frequency DESC, term LIMIT 5000)"""
 
+_SAMPLE = """SELECT ticket_id, CAST(created_at AS VARCHAR) AS created_at, channel, category, priority, assigned_team,
+             agent_id, transfers, csat_score, refund_amount_inr, refund_reason_code, replacement_issued,
+             customer_message, agent_notes, source_system
+           FROM enriched ORDER BY ticket_id NULLS LAST LIMIT 12"""
+
+
+def _whole_minutes(ts: str) -> str:
+    return f"date_trunc('minute', {ts})"
+
 
 def oracle_sql() -> dict[str, str]:
-    enriched_cols = _BASE_COLS + [
-        "channel_key", "first_response_minutes", "resolution_time_hours", "handle_time_hours",
-        "sla_target_minutes", "sla_breach", "contact_cost_inr", "sla_penalty_exposure_inr", "transfer_cost_inr",
-        "resolved_before_created", "first_response_before_created", "resolved_before_first_response",
-        "temporal_anomaly", "week_start", "resolution_week_start", "completed_ticket",
-    ]
+    enriched_cols = _BASE_COLS + ENRICHMENT_COLUMNS
     q: dict[str, str] = {}
     q["ticket_enrichment"] = _rounded(f"SELECT {', '.join(enriched_cols)} FROM enriched", _ENRICHED_DOUBLES)
     q["canonical_tickets"] = _rounded("SELECT * FROM canonical", ["transfers", "csat_score", "refund_amount_inr"])
@@ -420,10 +453,7 @@ def oracle_sql() -> dict[str, str]:
         _LB_DOUBLES,
     )
     q["ticket_sample"] = _rounded(
-        """SELECT ticket_id, CAST(created_at AS VARCHAR) AS created_at, channel, category, priority, assigned_team,
-             agent_id, transfers, csat_score, refund_amount_inr, refund_reason_code, replacement_issued,
-             customer_message, agent_notes, source_system
-           FROM enriched ORDER BY ticket_id LIMIT 12""",
+        _SAMPLE,
         ["transfers", "csat_score", "refund_amount_inr"],
     )
     q["weekly_trend"] = _rounded(
@@ -440,4 +470,40 @@ n_docs AS (SELECT count(*) AS n FROM usable)
 SELECT term, document_frequency, corpus_frequency,
   round(ln(CAST(1 + n AS DOUBLE) / (1 + document_frequency)) + 1, 6) AS idf
 FROM vocab, n_docs"""
+    q["theme_tfidf"] = f"WITH {docs_ctes},{THEME_WEIGHTS}\nSELECT ticket_id, term, round(weight, 6) AS weight FROM tfidf"
+    q["theme_summary"] = f"""WITH {docs_ctes},{THEME_WEIGHTS},
+c AS (SELECT t.ticket_id, d.category, d.csat_score, d.sla_breach, d.transfers, dense_rank() OVER (ORDER BY d.category) - 1 AS theme_id
+  FROM usable t JOIN doc_tickets d ON t.ticket_id = d.ticket_id),
+st AS (SELECT theme_id, min(category) AS category, count(*) AS ticket_count, avg(csat_score) AS avg_csat,
+  avg(CASE WHEN coalesce(sla_breach, FALSE) THEN 1.0 ELSE 0.0 END) AS sla_breach_rate,
+  avg(CASE WHEN coalesce(transfers, 0) > 0 THEN 1.0 ELSE 0.0 END) AS transfer_rate FROM c GROUP BY theme_id),
+m AS (SELECT theme_id, term, sum(weight) AS s FROM tfidf JOIN c ON tfidf.ticket_id = c.ticket_id GROUP BY theme_id, term),
+r AS (SELECT m.theme_id, term, row_number() OVER (PARTITION BY m.theme_id ORDER BY round(s / ticket_count, 15) DESC, term DESC) AS r FROM m JOIN st ON m.theme_id = st.theme_id),
+tt AS (SELECT theme_id, string_agg(term, ', ' ORDER BY r) AS top_terms, string_agg(term, ', ' ORDER BY r) FILTER (WHERE r <= 3) AS top3 FROM r WHERE r <= 8 GROUP BY theme_id),
+si AS (SELECT theme_id, string_agg(ticket_id, ', ' ORDER BY ticket_id) AS sample_ticket_ids
+  FROM (SELECT theme_id, ticket_id, row_number() OVER (PARTITION BY theme_id ORDER BY ticket_id) AS r FROM c) WHERE r <= 8 GROUP BY theme_id)
+SELECT CAST(st.theme_id AS BIGINT) AS theme_id, category, CAST(ticket_count AS BIGINT) AS ticket_count, round(avg_csat, 6) AS avg_csat,
+  round(sla_breach_rate, 6) AS sla_breach_rate, round(transfer_rate, 6) AS transfer_rate, sample_ticket_ids,
+  category || {_q(THEME_LABEL_SEP)} || top3 AS theme_label, top_terms
+FROM st JOIN tt ON st.theme_id = tt.theme_id JOIN si ON st.theme_id = si.theme_id"""
+    q["ticket_normalisation"] = f"WITH {SPELLED}\nSELECT ticket_id, CASE WHEN way < 10 THEN {_whole_minutes('instant')} END AS created_at FROM spelled"
+    q["timestamp_parsing"] = f"""WITH {SPELLED}
+SELECT 'created_at' AS "column", CAST(count(*) FILTER (WHERE way <> 11) AS BIGINT) AS "values", CAST(count(*) FILTER (WHERE way = 10) AS BIGINT) AS unparsed FROM spelled"""
+    for name, body, doubles in (
+        ("edge_canonical", "SELECT * FROM canonical", ["transfers", "csat_score", "refund_amount_inr"]),
+        ("edge_repeat", "SELECT * FROM repeat", ["days_since_prior_contact"]),
+        ("edge_leaderboard", "SELECT * FROM leaderboard", _LB_DOUBLES),
+        ("edge_quality", _QUALITY_BODY, ["value"]),
+        ("edge_goal", GOAL_BODY, _GOAL_DOUBLES),
+        ("edge_sample", _SAMPLE, ["transfers", "csat_score", "refund_amount_inr"]),
+    ):
+        q[name] = _rounded(body, doubles, EDGE_PIPELINE)
+    parts = " UNION ALL ".join(
+        f"SELECT '{part}' AS part, CAST(count(*) AS BIGINT) AS total, CAST({f'least(count(*), {EVIDENCE_LIMITS[part]})'} AS BIGINT) AS records FROM ({body})"
+        for part, body in (
+            ("weekly_metrics", "SELECT * FROM weekly"), ("opportunities", "SELECT * FROM opportunities"), ("channel_metrics", _channel_like("channel")),
+            ("category_metrics", _channel_like("category")), ("tier1_leaderboard_latest_weeks", "SELECT * FROM leaderboard"), ("ticket_sample", "SELECT * FROM enriched"),
+        )
+    )
+    q["evidence_parts"] = _rounded(parts, [])
     return q

@@ -2,44 +2,50 @@
 
 ``build(...)`` returns lazy DataFrames for every output; nothing runs until a
 sink or a caller acts.  The canonical enriched ticket table feeds eight
-consumers, so callers that run several outputs should pass
-``reuse=materialize`` (checkpoint into the shared checkpoint folder) or
-``reuse=DataFrame.persist``.
+consumers, so callers that run several outputs should pass ``reuse=stage``
+(Parquet in the shared folder, read with column pruning), or a function that
+selects the columns it needs before staging.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.operators.dedupe import canonical_tickets, duplicate_counters, reconcile_duplicates
+from caseflow.functions.columns import DEFAULT_TIMESTAMP_FORMATS
+from caseflow.operators.dedupe import canonical_tickets, duplicate_counters
 from caseflow.operators.enrich import apply_policy_metrics
 from caseflow.operators.goal import business_goal
 from caseflow.operators.leaderboard import tier1_leaderboard
 from caseflow.operators.metrics import category_metrics, channel_metrics, weekly_metrics
-from caseflow.operators.normalize import normalize_tickets
+from caseflow.operators.normalize import normalize_tickets, unparsed_timestamps
 from caseflow.operators.opportunity import opportunities
 from caseflow.operators.quality import quality_report
 from caseflow.operators.repeat import repeat_contacts
 from caseflow.sources import fixtures
 from caseflow.sources.policy import Policy, as_policy
-from caseflow.sources.tables import load_inputs
+from caseflow.sources.tables import read_table, read_tickets
 
 
 class PipelineResult:
     """Lazy outputs of one pipeline run; each output is planned on first use."""
 
-    def __init__(self, raw_tickets: DataFrame, agents, policy: Policy, reuse=None):
+    def __init__(self, raw_tickets: DataFrame, agents, policy: Policy, reuse=None, timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS):
         """``agents``: the roster, ``None``, or a zero-argument callable giving
         either (read only if the leaderboard is used)."""
         self.policy = policy
         self._agents = agents
-        self.raw = normalize_tickets(raw_tickets)
+        self.raw = normalize_tickets(raw_tickets, timestamp_formats)
+        self._unparsed = lambda: unparsed_timestamps(raw_tickets, timestamp_formats)
         tickets = apply_policy_metrics(canonical_tickets(self.raw), policy)
         self.tickets = reuse(tickets) if reuse is not None else tickets
 
+    @cached_property
+    def unparsed(self) -> DataFrame:
+        return self._unparsed()
+
     @cached_property
     def counters(self) -> DataFrame:
         return duplicate_counters(self.raw)
@@ -79,26 +85,22 @@ class PipelineResult:
         return business_goal(self.weekly_metrics, self.opportunities, self.policy)
 
 
-def enriched_tickets(raw_tickets: DataFrame, policy: Policy | dict | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """raw -> (normalised raw, canonical enriched tickets, duplicate counters)."""
-    raw = normalize_tickets(raw_tickets)
-    canonical, counters = reconcile_duplicates(raw)
-    return raw, apply_policy_metrics(canonical, policy), counters
-
-
 def build(
     raw_tickets: DataFrame,
     agents,
     policy: Policy | dict | None = None,
     reuse: Callable[[DataFrame], DataFrame] | None = None,
+    timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS,
 ) -> PipelineResult:
-    return PipelineResult(raw_tickets, agents, as_policy(policy), reuse)
+    return PipelineResult(raw_tickets, agents, as_policy(policy), reuse, timestamp_formats)
 
 
-def run_pipeline(spark: SparkSession, data_dir: str, policy: Policy | dict | None = None, reuse=None) -> PipelineResult:
+def run_pipeline(
+    spark: SparkSession, data_dir: str, policy: Policy | dict | None = None, reuse=None, timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS
+) -> PipelineResult:
     """From a folder holding tickets/agents as CSV or parquet."""
-    tables = load_inputs(spark, data_dir)
-    return build(tables["tickets"], tables["agents"], policy if policy is not None else Policy.default(), reuse)
+    tickets = read_tickets(spark, data_dir)
+    return build(tickets, lambda: read_table(spark, data_dir, "agents"), policy, reuse, timestamp_formats)
 
 
 def from_driver_tables(spark: SparkSession, sf_dir: str, policy: Policy | dict | None = None, reuse=None) -> PipelineResult:
@@ -106,6 +108,11 @@ def from_driver_tables(spark: SparkSession, sf_dir: str, policy: Policy | dict |
     return build(
         fixtures.raw_tickets(spark, sf_dir),
         lambda: fixtures.agents(spark, sf_dir),
-        policy if policy is not None else Policy.default(),
+        policy,
         reuse,
     )
+
+
+def from_edge_tables(spark: SparkSession, sf_dir: str, reuse=None) -> PipelineResult:
+    """From views of the driver's tables that reach the rare cases."""
+    return build(fixtures.edge_tickets(spark, sf_dir), lambda: fixtures.edge_agents(spark, sf_dir), None, reuse)

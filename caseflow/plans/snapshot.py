@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.fixed import EVIDENCE_TICKET_COLUMNS, INTERPRETATION_RULES, NULL_KEY_LABEL
+from caseflow.fixed import EVIDENCE_LIMITS, EVIDENCE_TICKET_COLUMNS, INTERPRETATION_RULES, NULL_KEY_LABEL
+from caseflow.operators.goal import goal_json
 from caseflow.operators.quality import MAP_METRICS, SCALAR_METRICS
 
 
@@ -76,7 +77,7 @@ def ticket_sample(tickets: DataFrame, n: int = 12) -> DataFrame:
     out = tickets.select(*cols)
     if "created_at" in cols:
         out = out.withColumn("created_at", F.col("created_at").cast("string"))
-    return out.orderBy(F.asc_nulls_first("ticket_id")).limit(n)
+    return out.orderBy(F.asc_nulls_last("ticket_id")).limit(n)
 
 
 def weekly_trend(weekly: DataFrame) -> DataFrame:
@@ -84,24 +85,18 @@ def weekly_trend(weekly: DataFrame) -> DataFrame:
     return weekly.select("week_start", "total_contacts", (F.col("sla_breach_rate") * 100).alias("sla_breach_rate_pct"))
 
 
-def _json_records(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
-    """A bounded head of ``df`` as one JSON array string (order kept)."""
+def _records(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
+    """One row: ``total`` rows of ``df``, and its first ``n`` (None: all) as an array of structs."""
+    cols = F.struct(*[F.col(c) for c in df.columns])
     head = df.orderBy(*order)
-    if n is not None:
-        head = head.limit(n)
-    ranked = head.withColumn("_k", F.monotonically_increasing_id())
-    return ranked.agg(
-        F.to_json(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col("_k"), F.struct(*[F.col(c) for c in df.columns]).alias("r")))),
-                lambda x: x["r"],
-            )
-        ).alias("json")
-    )
+    head = (head if n is None else head.limit(n)).withColumn("_k", F.monotonically_increasing_id())
+    records = head.agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_k"), cols.alias("r")))), lambda x: x["r"]).alias("records"))
+    total = df.agg(F.count(F.lit(1)).alias("total"))
+    return total.crossJoin(records)
 
 
-def quality_json(quality_long: DataFrame) -> DataFrame:
-    """The data-quality report as one JSON object (typed scalars, per-source maps,
+def quality_object(quality_long: DataFrame) -> DataFrame:
+    """The data-quality report as one struct (typed scalars, per-source maps,
     interpretation notes), from one aggregate over the few-row long table."""
     m = F.col("metric")
     fields = []
@@ -112,7 +107,7 @@ def quality_json(quality_long: DataFrame) -> DataFrame:
         entries = F.collect_list(F.when(m == name, F.struct(F.col("key"), F.col("value").cast("long"))))
         fields.append(F.map_from_entries(F.array_sort(entries)).alias(name))
     rules = F.create_map(*[x for k, v in INTERPRETATION_RULES.items() for x in (F.lit(k), F.lit(v))])
-    return quality_long.agg(F.to_json(F.struct(*fields, rules.alias("interpretation_rules"))).alias("json"))
+    return quality_long.agg(F.struct(*fields, rules.alias("interpretation_rules")).alias("value"))
 
 
 def evidence_pack(
@@ -125,27 +120,51 @@ def evidence_pack(
     themes: DataFrame | None,
     leaderboard: DataFrame,
     tickets: DataFrame,
-    max_ticket_rows: int = 12,
+    limits: dict[str, int | None] | None = None,
 ) -> DataFrame:
-    """One row, one JSON column per evidence part; every part is bounded.
+    """One row with one JSON document, column ``evidence``; null fields are kept.
 
-    The parts are 1-row aggregates of bounded heads, so the final cross join
-    combines single rows only.
+    ``limits`` overrides ``EVIDENCE_LIMITS`` by part; ``part_totals`` in the document
+    tells how many rows each part has in full.  The parts are 1-row aggregates of
+    bounded heads, so the cross joins combine single rows only.
     """
-    parts = {
-        "data_quality": quality_json(quality_long),
-        "business_goal": goal.select(F.to_json(F.struct(*goal.columns)).alias("json")),
-        "weekly_metrics": _json_records(weekly, ["week_start"], 100),
-        "opportunities": _json_records(opportunities, [F.desc("modeled_exposure_inr"), "opportunity"], 20),
-        "channel_metrics": _json_records(channel, [F.desc("tickets"), F.asc_nulls_first("channel")], 20),
-        "category_metrics": _json_records(category, [F.desc("tickets"), F.asc_nulls_first("category")], 50),
-        "tier1_leaderboard_latest_weeks": _json_records(latest_leaderboard(leaderboard, 80), [F.desc("resolution_week_start"), F.desc("tickets_closed"), F.asc_nulls_first("agent_id")], None),
-        "ticket_sample": _json_records(ticket_sample(tickets, max_ticket_rows), [F.asc_nulls_first("ticket_id")], None),
+    top = EVIDENCE_LIMITS | (limits or {})
+    latest = [F.desc("resolution_week_start"), F.desc("tickets_closed"), F.asc_nulls_first("agent_id"), F.asc_nulls_first("name"), F.asc_nulls_first("effective_team")]
+    sample = tickets.select(*[c for c in EVIDENCE_TICKET_COLUMNS if c in tickets.columns])
+    lists = {
+        "weekly_metrics": (weekly, ["week_start"]),
+        "opportunities": (opportunities, [F.desc("modeled_exposure_inr"), "opportunity"]),
+        "channel_metrics": (channel, [F.desc("tickets"), F.asc_nulls_first("channel")]),
+        "category_metrics": (category, [F.desc("tickets"), F.asc_nulls_first("category")]),
+        "tier1_leaderboard_latest_weeks": (leaderboard, latest),
+        "ticket_sample": (sample, [F.asc_nulls_last("ticket_id")]),
     }
     if themes is not None:
-        parts["complaint_themes"] = _json_records(themes, [F.desc("ticket_count"), "theme_id"], 20)
-    out = None
-    for name, part in parts.items():
-        part = part.select(F.col("json").alias(name))
-        out = part if out is None else out.crossJoin(part)
-    return out
+        lists["complaint_themes"] = (themes, [F.desc("ticket_count"), "theme_id"])
+    out = quality_object(quality_long).withColumnRenamed("value", "data_quality")
+    out = out.crossJoin(goal.select(F.struct(*goal.columns).alias("_goal")))
+    for name, (df, order) in lists.items():
+        part = _records(df, order, top[name])
+        out = out.crossJoin(part.select(F.col("total").alias(f"_n_{name}"), F.col("records").alias(name)))
+    totals = F.struct(*[F.col(f"_n_{name}").alias(name) for name in lists])
+    keep = {"ignoreNullFields": "false"}
+    # the goal's fields depend on the path taken, so its object is chosen as text
+    parts = [F.concat(F.lit('{"business_goal":'), goal_json(F.col("_goal")))]
+    for name, value in [("data_quality", F.col("data_quality")), ("part_totals", totals), *[(n, F.col(n)) for n in lists]]:
+        parts.append(F.concat(F.lit(f',"{name}":'), F.to_json(value, keep)))
+    return out.select(F.concat(*parts, F.lit("}")).alias("evidence"))
+
+
+def evidence_parts(pack: DataFrame) -> DataFrame:
+    """The document's parts as rows ``(part, total, json)``, to compare them one by one."""
+    names = ["weekly_metrics", "opportunities", "channel_metrics", "category_metrics", "tier1_leaderboard_latest_weeks", "ticket_sample"]
+    return pack.select(
+        F.inline(F.array(*[
+            F.struct(
+                F.lit(n).alias("part"),
+                F.get_json_object("evidence", f"$.part_totals.{n}").cast("long").alias("total"),
+                F.json_array_length(F.get_json_object("evidence", f"$.{n}")).cast("long").alias("records"),
+            )
+            for n in names
+        ]))
+    )

@@ -12,15 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.functions.sizing import ensure_parallelism
 from caseflow.sources.tables import INGEST_COL
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    # Few large files (one row group each here) would leave cores idle for the
-    # per-row work; a cluster scan with many splits is left untouched.
-    return ensure_parallelism(df) if spread else df
+#: Session setting with which a caller spreads inputs of one row group; unset: no shuffle is added.
+SPREAD_CONF = "spark.caseflow.inputPartitions"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    n = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(n)) if n else df
 
 
 def _add_minutes(ts: Column, n: Column) -> Column:
@@ -38,9 +43,9 @@ def _unless(cond: Column, value: Column) -> Column:
 
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX3 raw tickets: helpdesk rows plus legacy_fd copies (some ids in both)."""
-    o = _table(spark, sf_dir, "orders").select(
+    o = _spread(_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
-    )
+    ))
     k = F.col("o_orderkey")
     base = o.select(
         k.alias("k"),
@@ -70,7 +75,7 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 20 == 12, "Voice Frontline")
         .otherwise("Warranty")
     )
-    helpdesk = keyed.filter(k % 11 != 3).select(
+    helpdesk = F.when(k % 11 != 3, F.struct(
         "ticket_id",
         "created_at",
         _unless(k % 17 == 0, _add_minutes(F.col("created_at"), F.col("fr_off"))).alias("first_response_at"),
@@ -86,8 +91,8 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         _unless(k % 6 == 0, (k % 6).cast("double")).alias("csat_score"),
         F.lit("helpdesk").alias("source_system"),
         (k * 2).alias(INGEST_COL),
-    )
-    legacy = keyed.filter((k % 11 == 3) | (k % 10 == 0)).select(
+    ))
+    legacy = F.when((k % 11 == 3) | (k % 10 == 0), F.struct(
         "ticket_id",
         "created_at",
         F.lit(None).cast("timestamp_ntz").alias("first_response_at"),
@@ -103,10 +108,9 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("csat_score"),
         F.lit("legacy_fd").alias("source_system"),
         (k * 2 + 1).alias(INGEST_COL),
-    )
-    # One spread of the union (not one per source branch, whose pushed-down
-    # filters would make two different exchanges); a no-op with many splits.
-    return ensure_parallelism(helpdesk.unionByName(legacy))
+    ))
+    copies = F.filter(F.array(helpdesk, legacy), lambda c: c.isNotNull())
+    return keyed.select(F.inline(copies))
 
 
 def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +135,7 @@ def document_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``labels`` covers a subset of documents and grows with them, so this is a
     plain equi-join and Spark/AQE choose the strategy from measured sizes.
     """
-    d = _table(spark, sf_dir, "documents", spread=True).select("doc_id", "text", "lang")
+    d = _spread(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     lab = _table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = d.join(lab, "doc_id", "left")
     doc = F.col("doc_id")
@@ -144,3 +148,62 @@ def document_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1.0) + F.lit(4.0) * F.col("quality").cast("double")).alias("csat_score"),
         (doc % 3 == 0).alias("sla_breach"),
     )
+
+
+def edge_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets from ``orders`` that reach the rare cases: missing and padded ids, repeated
+    rows of one source, missing times and customers, a zero csat, few weeks."""
+    k = F.col("o_orderkey")
+    created = _add_minutes(F.lit("2024-01-01").cast("timestamp_ntz"), ((k * 61) % 25920).cast("int"))
+    rows = _spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")).select(
+        _unless(k % 97 == 5, F.when(k % 13 == 1, F.concat(F.lit("  T"), k.cast("string"), F.lit(" "))).otherwise(_prefixed("T", k))).alias("ticket_id"),
+        _unless(k % 41 == 7, created).alias("created_at"),
+        _add_minutes(created, (k % 300 - 3).cast("int")).alias("first_response_at"),
+        _add_minutes(created, ((k * 13) % 5000 - 60).cast("int")).alias("resolved_at"),
+        F.when(k % 3 == 0, " Resolved").otherwise("open").alias("status"),
+        F.element_at(F.array(*[F.lit(c) for c in ("chat", " Email ", "voice")]), (k % 3 + 1).cast("int")).alias("channel"),
+        _unless(k % 37 == 6, _prefixed("C", F.col("o_custkey") % 50)).alias("customer_id"),
+        _prefixed("O", k).alias("order_id"),
+        F.col("o_orderpriority").alias("category"),
+        F.lit("Email Frontline").alias("assigned_team"),
+        _unless(k % 31 == 0, _prefixed("A", k % 20)).alias("agent_id"),
+        (k % 4).cast("double").alias("transfers"),
+        (k % 6).cast("double").alias("csat_score"),
+        _unless(k % 43 == 2, F.lit("helpdesk")).alias("source_system"),
+        (k * 2).alias(INGEST_COL),
+        k.alias("k"),
+    )
+    # a second row of the same source, less complete and read later
+    copies = F.when(F.col("k") % 19 == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    both = rows.withColumn("_copy", F.explode(copies))
+    again = F.col("_copy") == 1
+    return both.withColumns({"category": _unless(again & (F.col("k") % 2 == 0), F.col("category")), INGEST_COL: F.col(INGEST_COL) + F.col("_copy")}).drop("_copy", "k")
+
+
+def edge_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A roster with repeated and missing agent ids."""
+    s = F.col("s_suppkey")
+    base = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    return base.select(
+        _unless(s % 11 == 3, _prefixed("A", s % 20)).alias("agent_id"),
+        F.col("s_name").alias("name"),
+        F.when(s % 2 == 0, "Chat Frontline").alias("team"),
+        F.when((s + F.col("_copy")) % 3 == 0, "Tier 2").otherwise(" TIER 1 ").alias("tier"),
+        (s * 2 + F.col("_copy")).alias(INGEST_COL),
+    )
+
+
+def spelled_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` dates written in many spellings (and some that are none), with the instant that is meant."""
+    k = F.col("o_orderkey")
+    at = _add_minutes(F.col("o_orderdate"), ((k * 37) % 1440).cast("int"))
+    text = lambda fmt: F.date_format(at, fmt)
+    spellings = [
+        text("yyyy-MM-dd HH:mm:ss"), text("yyyy-MM-dd'T'HH:mm:ss'Z'"), text("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), text("yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
+        F.date_format(_add_minutes(at, F.lit(330)), "yyyy-MM-dd'T'HH:mm:ss'+05:30'"), text("MM/dd/yyyy HH:mm"), text("yyyy-MM-dd hh:mm:ss a"),
+        F.concat(text("yyyy-MM-dd HH:mm:ss"), F.lit(".000000001")), text("MMM d, yyyy HH:mm"), F.concat(F.lit("  "), text("yyyy/MM/dd HH:mm"), F.lit(" ")),
+        F.lit("not a date"), F.lit(" "),
+    ]
+    return _spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).select(
+        _prefixed("T", k).alias("ticket_id"), F.element_at(F.array(*spellings), (k % len(spellings) + 1).cast("int")).alias("created_at")
+    )

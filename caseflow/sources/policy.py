@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 from caseflow.fixed import DEFAULT_POLICY
 
 
@@ -24,8 +26,12 @@ class Policy:
         return cls(json.loads(json.dumps(DEFAULT_POLICY)))
 
     @classmethod
-    def from_file(cls, path: str | Path) -> "Policy":
-        text = Path(path).read_text(encoding="utf-8")
+    def from_file(cls, path: str | Path, spark: SparkSession | None = None) -> "Policy":
+        """YAML or JSON; with a session, from any file system that Spark can read."""
+        if spark is None:
+            text = Path(path).read_text(encoding="utf-8")
+        else:
+            text = spark.read.text(str(path), wholetext=True).first()["value"]
         if str(path).endswith(".json"):
             return cls(json.loads(text) or {})
         try:
@@ -53,8 +59,9 @@ class Policy:
 
 
 def as_policy(policy: Policy | dict[str, Any] | None) -> Policy:
+    """``None`` is the shipped policy everywhere; ``{}`` is an empty one."""
     if policy is None:
-        return Policy({})
+        return Policy.default()
     if isinstance(policy, Policy):
         return policy
     return Policy(dict(policy))

@@ -2,19 +2,30 @@
 
 Tables are written by Spark (parquet by default, CSV on request).  The two
 reports are single small objects built from 1-row / few-row results; they are
-written as one JSON document per file.
+written as one JSON document per file, by the file system that the path (or
+Spark's default) names, so they lie where the tables lie.
 """
 
 from __future__ import annotations
 
 import json
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, sort_by: list[str] | None = None
+) -> None:
+    """``sort_by`` sorts the rows of each file; with ``partition_by``, the rows of a partition go to few files.
+
+    The rebalance hint lets adaptive execution split a partition value that holds most rows.
+    """
+    if partition_by:
+        names = ", ".join(f"`{c}`" for c in partition_by)
+        df = df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{df}}", df=df)
+    if sort_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -24,16 +35,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
         writer.format(fmt).save(path)
 
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file://")
-
-
 def write_json_report(spark: SparkSession, report: dict[str, Any], path: str) -> None:
     """One JSON document (``default=str``, non-ASCII kept)."""
     text = json.dumps(report, indent=2, default=str, ensure_ascii=False)
-    if _is_local(path):
-        p = Path(path.replace("file://", ""))
-        p.parent.mkdir(parents=True, exist_ok=True)
-        p.write_text(text, encoding="utf-8")
-    else:
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()

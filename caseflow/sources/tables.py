@@ -9,17 +9,14 @@ do not depend on how Spark splits the files.
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseflow.fixed import NA_TOKENS
-from caseflow.functions.sizing import ensure_parallelism
+from caseflow.session import stage
 
 INGEST_COL = "_ingest_order"
-TABLE_NAMES = ("tickets", "agents", "customers", "orders", "products")
 
 
 def with_ingest_order(df: DataFrame) -> DataFrame:
@@ -47,6 +44,11 @@ def null_na_tokens(df: DataFrame, tokens: list[str] = NA_TOKENS) -> DataFrame:
 
 
 def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file or folder of files, all strings.
+
+    Quoted fields may hold line ends, so one file is parsed by one task; large
+    inputs should come as a folder of files, which are parsed side by side.
+    """
     raw = (
         spark.read.options(header=True, multiLine=True, escape='"', inferSchema=False, mode="PERMISSIVE")
         .csv(path)
@@ -62,29 +64,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame | None:
-    """``<name>.csv`` or ``<name>.parquet`` under ``data_dir``; None when absent."""
+    """``<name>.parquet`` or ``<name>.csv`` (file or folder) under ``data_dir``; None when absent."""
     base = str(data_dir).rstrip("/")
     for ext, reader in (("parquet", lambda p: with_ingest_order(spark.read.parquet(p))), ("csv", lambda p: read_csv_table(spark, p))):
         path = f"{base}/{name}.{ext}"
         if _exists(spark, path):
-            # ingest order is taken at the scan, before any spreading shuffle
-            return ensure_parallelism(reader(path))
+            return reader(path)
     return None
 
 
-def empty_frame(spark: SparkSession, columns: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return spark.createDataFrame([], schema)
-
-
-def load_inputs(spark: SparkSession, data_dir: str) -> dict[str, DataFrame | None]:
-    """All five inputs; tickets must exist and hold at least one row (S3)."""
-    tables = {name: read_table(spark, data_dir, name) for name in TABLE_NAMES}
-    require_non_empty(tables["tickets"], f"tickets was not found in {Path(data_dir)}")
-    return tables
-
+def read_tickets(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The mandatory ticket table (S3), which must hold at least one row.
 
-def require_non_empty(df: DataFrame | None, message: str) -> DataFrame:
+    CSV is parsed once and staged as Parquet, so that the many consumers read
+    pruned columns instead of parsing the text again; whether it is empty shows
+    on the staged files.
+    """
+    df = read_table(spark, data_dir, "tickets")
+    if df is not None and not _exists(spark, f"{str(data_dir).rstrip('/')}/tickets.parquet"):
+        df = stage(df)
     if df is None or df.isEmpty():
-        raise FileNotFoundError(message)
+        raise FileNotFoundError(f"tickets was not found in {data_dir}")
     return df

@@ -5,14 +5,14 @@ from caseflow.operators.enrich import apply_policy_metrics
 from caseflow.operators.normalize import normalize_tickets
 from caseflow.operators.quality import quality_as_dict, quality_report
 
-from .conftest import POLICY, base_ticket, frame, ts
+from .conftest import POLICY, ticket, frame, ts
 
 
 def test_null_ids_collapse_but_are_not_duplicates(spark):
     raw = normalize_tickets(frame(spark, [
-        base_ticket(ticket_id=None, source_system="legacy_fd"),
-        base_ticket(ticket_id=None, source_system="helpdesk"),
-        base_ticket(ticket_id="A", source_system="helpdesk"),
+        ticket(ticket_id=None, source_system="legacy_fd"),
+        ticket(ticket_id=None, source_system="helpdesk"),
+        ticket(ticket_id="A", source_system="helpdesk"),
     ]))
     canonical, counters = reconcile_duplicates(raw)
     rows = canonical.collect()
@@ -25,9 +25,9 @@ def test_null_ids_collapse_but_are_not_duplicates(spark):
 
 def test_more_complete_row_wins_within_same_source(spark):
     raw = normalize_tickets(frame(spark, [
-        base_ticket(ticket_id="X", csat_score=None, order_id=None),
-        base_ticket(ticket_id="X", csat_score=5.0),
-        base_ticket(ticket_id="X", source_system="legacy_fd"),
+        ticket(ticket_id="X", csat_score=None, order_id=None),
+        ticket(ticket_id="X", csat_score=5.0),
+        ticket(ticket_id="X", source_system="legacy_fd"),
     ]))
     canonical, counters = reconcile_duplicates(raw)
     r = canonical.first()
@@ -38,10 +38,10 @@ def test_more_complete_row_wins_within_same_source(spark):
 
 def test_quality_report_values(spark):
     raw = normalize_tickets(frame(spark, [
-        base_ticket(ticket_id="A", resolved_at=ts("2024-12-31 20:00")),
-        base_ticket(ticket_id="A", source_system="legacy_fd", resolved_at=ts("2024-12-31 20:00")),
-        base_ticket(ticket_id="B", source_system=None, agent_id=None, resolved_at=None),
-        base_ticket(ticket_id="C", created_at=None),
+        ticket(ticket_id="A", resolved_at=ts("2024-12-31 20:00")),
+        ticket(ticket_id="A", source_system="legacy_fd", resolved_at=ts("2024-12-31 20:00")),
+        ticket(ticket_id="B", source_system=None, agent_id=None, resolved_at=None),
+        ticket(ticket_id="C", created_at=None, resolved_at=ts("2030-06-04 09:00")),
     ]))
     canonical, counters = reconcile_duplicates(raw)
     tickets = apply_policy_metrics(canonical, POLICY)

@@ -6,8 +6,9 @@ import tempfile
 
 import pytest
 
+from caseflow.fixed import DEFAULT_POLICY
 from caseflow.plans.job import run
-from caseflow.sources.tables import load_inputs
+from caseflow.sources.tables import read_table, read_tickets
 
 TICKETS_CSV = '''ticket_id,created_at,first_response_at,resolved_at,status,channel,customer_id,agent_id,transfers,csat_score,customer_message,source_system,assigned_team
 T1,2025-01-06 10:00,2025-01-06 10:05,2025-01-06 12:00,resolved,chat,C1,A1,1,5,"Battery drains fast,
@@ -33,29 +34,47 @@ def data_dir():
 
 
 def test_csv_source_reads_multiline_quotes_and_na_tokens(spark, data_dir):
-    t = load_inputs(spark, data_dir)
-    assert t["customers"] is None and t["agents"] is not None
-    rows = t["tickets"].orderBy("source_system").collect()
+    assert read_table(spark, data_dir, "customers") is None and read_table(spark, data_dir, "agents") is not None
+    rows = read_tickets(spark, data_dir).collect()
     assert len(rows) == 4
     msgs = {r["customer_message"] for r in rows}
     assert 'Battery drains fast,\nneeds "urgent" help' in msgs
     assert any(r["csat_score"] is None for r in rows)  # NA token
 
 
-def test_missing_tickets_raises(spark):
-    with pytest.raises(FileNotFoundError):
-        load_inputs(spark, tempfile.mkdtemp(prefix="run-"))
+def test_missing_or_empty_tickets_raise(spark):
+    for header in (None, "ticket_id,created_at\n"):
+        folder = tempfile.mkdtemp(prefix="run-")
+        if header:
+            with open(os.path.join(folder, "tickets.csv"), "w", encoding="utf-8") as f:
+                f.write(header)
+        with pytest.raises(FileNotFoundError):
+            read_tickets(spark, folder)
+
+
+def test_a_folder_of_csv_files_is_one_table(spark, data_dir):
+    folder = tempfile.mkdtemp(prefix="run-")
+    os.mkdir(os.path.join(folder, "tickets.csv"))
+    for i in range(3):
+        with open(os.path.join(folder, "tickets.csv", f"{i}.csv"), "w", encoding="utf-8") as f:
+            f.write(f"ticket_id,channel\nT{i},chat\n")
+    assert {r["ticket_id"] for r in read_tickets(spark, folder).collect()} == {"T0", "T1", "T2"}
 
 
 def test_job_writes_tables_and_reports(spark, data_dir):
     out = tempfile.mkdtemp(prefix="run-")
-    summary = run(spark, data_dir, None, out, "csv")
+    policy = os.path.join(out, "policy.json")
+    with open(policy, "w", encoding="utf-8") as f:
+        json.dump(DEFAULT_POLICY, f)
+    summary = run(spark, data_dir, f"file:{policy}", f"file:{out}", "csv")
     for name in ["weekly_metrics", "complaint_themes", "tier1_leaderboard", "business_opportunities",
                  "channel_metrics", "category_metrics", "repeat_contacts_proxy"]:
         assert os.path.isdir(os.path.join(out, name)), name
     q = json.load(open(os.path.join(out, "data_quality.json"), encoding="utf-8"))
     assert q["raw_rows"] == 4 and q["canonical_rows"] == 3 and q["duplicate_pairs_helpdesk_legacy"] == 1
     assert q["invalid_created_at"] == 1 and q["resolved_before_created"] == 1
+    assert q["timestamp_parsing"]["created_at"] == {"values": 4, "unparsed": 1}
+    assert sorted(os.listdir(os.path.join(out, "repeat_contacts_proxy")))[-1] == "week_start=2025-01-06"
     assert summary["business_goal"]["available"] is False
     weekly = spark.read.option("header", True).csv(os.path.join(out, "weekly_metrics")).collect()
     assert len(weekly) == 1 and weekly[0]["total_contacts"] == "2"

@@ -8,20 +8,20 @@ from caseflow.operators.leaderboard import tier1_leaderboard
 from caseflow.operators.metrics import channel_metrics, weekly_metrics
 from caseflow.operators.repeat import repeat_contacts
 
-from .conftest import POLICY, base_ticket, enriched, ts
+from .conftest import POLICY, ticket, enriched, ts
 
 
 def test_channel_metrics_keep_case_and_null_group(spark):
-    df = enriched(spark, [base_ticket(ticket_id="1", channel="Email"), base_ticket(ticket_id="2", channel="email"),
-                          base_ticket(ticket_id="3", channel=None, transfers=None)])
+    df = enriched(spark, [ticket(ticket_id="1", channel="Email"), ticket(ticket_id="2", channel="email"),
+                          ticket(ticket_id="3", channel=None, transfers=None)])
     got = {r["channel"]: r for r in channel_metrics(df, POLICY).collect()}
     assert set(got) == {"Email", "email", None}
-    assert got[None]["transfer_events"] == 0 and got["Email"]["transfer_cost_inr"] == 305
+    assert got[None]["transfer_events"] == 0 and got["Email"]["transfer_cost_inr"] == 610
 
 
 def test_leaderboard_null_agent_matches_null_roster_row_and_first_roster_row_wins(spark):
-    df = enriched(spark, [base_ticket(ticket_id="T1", agent_id=None), base_ticket(ticket_id="T2", agent_id="A1"),
-                          base_ticket(ticket_id="T3", agent_id="A9")])
+    df = enriched(spark, [ticket(ticket_id="T1", agent_id=None), ticket(ticket_id="T2", agent_id="A1"),
+                          ticket(ticket_id="T3", agent_id="A9")])
     agents = spark.createDataFrame(
         [(None, "Shared", "Chat Frontline", "1"), ("A1", "First", "Email Frontline", "Tier 1"),
          ("A1", "Second", "Warranty", "Tier 2")],
@@ -35,7 +35,7 @@ def test_leaderboard_null_agent_matches_null_roster_row_and_first_roster_row_win
 
 def test_leaderboard_median_is_exact(spark):
     base = ts("2025-01-06 09:00")
-    rows = [base_ticket(ticket_id=f"T{i}", created_at=base, first_response_at=base,
+    rows = [ticket(ticket_id=f"T{i}", agent_id="A1", created_at=base, first_response_at=base,
                         resolved_at=base + dt.timedelta(hours=h)) for i, h in enumerate([1, 2, 10, 20])]
     agents = spark.createDataFrame([("A1", "One", "Email Frontline", "Tier 1")], "agent_id string, name string, team string, tier string")
     r = tier1_leaderboard(enriched(spark, rows), agents, POLICY).first()
@@ -65,7 +65,7 @@ def test_repeat_contacts_match_brute_force_across_buckets_and_ties(spark):
     for i in range(400):
         c = "HOT" if i % 3 == 0 else f"C{rnd.randint(0, 20)}"
         minutes = rnd.choice([0, 59, 60, 61, 3600, rnd.randint(0, 60 * 24 * 60)])
-        rows.append(base_ticket(ticket_id=f"T{i:04d}", customer_id=c if i % 50 else None,
+        rows.append(ticket(ticket_id=f"T{i:04d}", customer_id=c if i % 50 else None,
                                 created_at=start + dt.timedelta(minutes=minutes)))
     expected = _brute_force_repeat(rows)
     got = {r["ticket_id"]: r for r in repeat_contacts(enriched(spark, rows), bucket_seconds=3600).collect()}
@@ -83,22 +83,22 @@ def _weekly_from_rates(spark, rates, per_week=40):
         created = ts("2025-01-06") + dt.timedelta(days=7 * week)
         for i in range(per_week):
             late = i >= int(per_week * (1 - rate))
-            rows.append(base_ticket(ticket_id=f"T{week}_{i}", channel="chat", created_at=created,
+            rows.append(ticket(ticket_id=f"T{week}_{i}", channel="chat", created_at=created,
                                     first_response_at=created + dt.timedelta(minutes=30 if late else 5)))
     return weekly_metrics(enriched(spark, rows))
 
 
 def test_goal_paths(spark):
-    few = goal_as_dict(business_goal(_weekly_from_rates(spark, [0.1, 0.2, 0.3]), None, POLICY).first().asDict())
+    few = goal_as_dict(business_goal(_weekly_from_rates(spark, [0.1, 0.2, 0.3]), None, POLICY))
     assert few == {"available": False, "eligible_weeks": 3,
                    "reason": "Not enough historical weeks to establish a defensible benchmark."}
-    four = goal_as_dict(business_goal(_weekly_from_rates(spark, [0.1, 0.2, 0.3, 0.4]), None, POLICY).first().asDict())
+    four = goal_as_dict(business_goal(_weekly_from_rates(spark, [0.1, 0.2, 0.3, 0.4]), None, POLICY))
     assert four["available"] is False and "remain after" in four["reason"]
-    flat = goal_as_dict(business_goal(_weekly_from_rates(spark, [0.2] * 6), None, POLICY).first().asDict())
+    flat = goal_as_dict(business_goal(_weekly_from_rates(spark, [0.2] * 6), None, POLICY))
     assert flat["available"] is False and flat["current_sla_rate"] == 0.2 and flat["historical_sla_benchmark"] == 0.2
     assert flat["observed_opportunities"] == {"transfers": None, "repeat_contacts": None}
     rates = [0.1, 0.1, 0.2, 0.2, 0.3, 0.3, 0.2, 0.2, 0.4, 0.4, 0.4, 0.4]
-    long = goal_as_dict(business_goal(_weekly_from_rates(spark, rates), None, POLICY).first().asDict())
+    long = goal_as_dict(business_goal(_weekly_from_rates(spark, rates), None, POLICY))
     assert long["available"] is True and long["eligible_weeks"] == 12 and long["baseline_period"] == "Most recent 8 weeks"
     # recent 8 weeks: rates .3 .3 .2 .2 .4 .4 .4 .4 -> 0.325; history .1 .1 .2 .2 -> q25 0.1, target 0.1
     assert abs(long["current_rate"] - 0.325) < 1e-12 and abs(long["target_rate"] - 0.1) < 1e-12

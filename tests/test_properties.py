@@ -12,7 +12,7 @@ from caseflow.operators.metrics import channel_metrics
 from caseflow.operators.normalize import normalize_tickets
 from caseflow.sources.tables import INGEST_COL
 
-from .conftest import POLICY, base_ticket, frame
+from .conftest import POLICY, ticket, frame
 
 START = dt.datetime(2025, 1, 1)
 
@@ -35,7 +35,7 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[Health
 
 def _frame(spark, rows, partitions):
     data = [
-        base_ticket(
+        ticket(
             ticket_id=r["ticket_id"], source_system=r["source_system"], csat_score=r["csat_score"],
             channel=r["channel"], created_at=START + dt.timedelta(minutes=r["minutes"]),
         )
