@@ -19,11 +19,11 @@ FROM d LEFT JOIN f ON d.payload_digest = f.payload_digest AND payload_bytes >= 1
 OP8 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS ws
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS ws
   FROM documents
 ), s AS (
   SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS sh
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
   FROM w
 ), n AS (
   SELECT doc_id, len(sh) AS n FROM s
