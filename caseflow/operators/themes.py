@@ -292,10 +292,16 @@ def complaint_themes(
 def theme_tfidf(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
     """M6 in long form: ``ticket_id, term, weight``, the L2-normalised TF-IDF weights of every usable text."""
     terms = add_terms(theme_text(df.select("ticket_id", "customer_message", "agent_notes"), min_chars))
-    counts = terms.select("ticket_id", F.explode("terms").alias("term")).groupBy("ticket_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    weighted = counts.join(vocabulary_idf(terms, min_df, max_features).select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weighted.groupBy("ticket_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, "ticket_id").select("ticket_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
+    # one pass over the texts: the terms of each, and a NULL term that counts the usable texts
+    marked = F.when(F.col("usable"), F.concat(F.array(F.lit(None).cast("string")), F.col("terms")))
+    rows = terms.select("ticket_id", F.explode(marked).alias("term"))
+    counts = stage(rows.groupBy("ticket_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    n_docs = counts.where("term is null").agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
+    stats = counts.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("document_frequency"), F.sum("tf").alias("corpus_frequency"))
+    idf = with_idf(_top_terms(stats, min_df, max_features, keep_marker=False), n_docs).select("term", "idf")
+    weighted = counts.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("ticket_id")))
+    return weighted.select("ticket_id", "term", (F.col("w") / norm).alias("weight"))
 
 
 def theme_summary(df: DataFrame, cluster: str, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:

@@ -16,8 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from caseflow.plans.catalog import queries  # noqa: E402
 from caseflow.session import get_spark  # noqa: E402
 
-SKIP = {"complaint_themes", "theme_watchlist", "evidence_pack"}  # plans depend on a fitted model
-
 
 def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -44,19 +42,14 @@ def main() -> None:
     cols = ["shuffles", "broadcasts", "joins", "partial aggs", "partial window limits", "scans"]
     print("# Physical plans (initial AQE plans, sf0.01)\n")
     print("Generated by `tools/plan_summary.py`. Shuffles counts every Exchange; \"partial window limits\" are")
-    print("`WindowGroupLimit` pairs (partial before the shuffle, final after); a checkpointed input shows as an")
-    print("RDD scan instead of a parquet scan.")
+    print("`WindowGroupLimit` pairs (partial before the shuffle, final after); a staged input shows as a parquet")
+    print("scan of its own.")
     print("")
-    print("- The test tables are single-row-group files, so ticket queries carry one round-robin spread Exchange")
-    print("  (`ensure_parallelism`) that a cluster scan with many splits does not get.")
-    print("- The leaderboard queries count the stages of the skew-safe exact median (sketch, tagged counts,")
-    print("  bounded running count, exact fallback) per branch, as the initial plan prints them; identical")
-    print("  exchanges are reused at run time, and AQE drops the fallback branch when no group needs it.\n")
+    print("- Queries with several branches read staged tables here: the stages before the staging are not shown.")
+    print("- Initial plans print an exchange once per branch; identical ones are reused at run time.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
     for name, fn in queries().items():
-        if name in SKIP:
-            continue
         s = summarise(plan_text(fn(spark, sf)))
         print(f"| {name} | " + " | ".join(s[c] for c in cols) + " |")
 
