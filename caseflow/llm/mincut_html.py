@@ -62,21 +62,24 @@ CONTENT_WORDS = frozenset("article content main post entry story articlebody".sp
 LAYOUT_WORDS = frozenset("has with no layout wrapper wrap container grid row page site".split())
 #: At most this many characters of a quoted attribute value may hold a ``>``.
 MAX_QUOTED = 4096
+#: So many of the nearest block elements around a block count for distances in the DOM.
+MAX_PATH = 24
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]{0,%d}\"|'[^']{0,%d}'|[^>])*+)>" % (MAX_QUOTED, MAX_QUOTED), re.S
 )
+UNFINISHED = re.compile(r"<[a-zA-Z/!?]")  # a tag or comment that the page's end cuts off
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![^\s"'])(hidden)(?![^\s/>])""", re.S)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SENTENCE_END = re.compile(r"[.!?…。！？](?:\s|$)")
-CUES = ("class", "id", "role", "hidden", "aria-hidden", "style")
+CUES = ("class", "id", "role", "hidden", "aria-hidden", "style", "itemprop")
 
 
 def element_cue(tag: str, attributes: str) -> str | None:
-    """What an element says about the text in it: content, boiler, comment or header."""
+    """What an element says about the text in it: article, content, boiler, comment or header."""
     if tag in BOILER_TAGS:
         return "boiler"
-    cue = "content" if tag in CONTENT_TAGS else "header" if tag == "header" else None
+    cue = "article" if tag in CONTENT_TAGS else "header" if tag == "header" else None
     if not attributes or not any(c in attributes.lower() for c in CUES):
         return cue
     words: set[str] = set()
@@ -86,8 +89,8 @@ def element_cue(tag: str, attributes: str) -> str | None:
             return "boiler"
         if name == "role" and value.lower() in BOILER_ROLES:
             return "boiler"
-        if name == "role" and value.lower() in CONTENT_TAGS:
-            cue = "content"
+        if (name == "role" and value.lower() in CONTENT_TAGS) or (name == "itemprop" and value == "articleBody"):
+            cue = "article"
         if name in ("class", "id"):
             words.update(w.lower() for w in WORD.findall(value))
     if tag in ("html", "body"):
@@ -100,7 +103,7 @@ def element_cue(tag: str, attributes: str) -> str | None:
         return "boiler"
     if words & HEADER_WORDS and not words & LAYOUT_WORDS and not words & CONTENT_WORDS:
         return "header"
-    return cue or ("content" if words & CONTENT_WORDS and not words & LAYOUT_WORDS and tag in ("div", "section") else None)
+    return cue or ("content" if words & CONTENT_WORDS and tag in ("div", "section", "td") else None)
 
 
 class Block:
@@ -114,14 +117,19 @@ def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, with the numbers of their ancestors."""
     out: list[Block] = []
     stack: list[tuple[str, int, str | None]] = []
+    open_tags: Counter = Counter()  # of the stack, and its cues
+    open_cues: Counter = Counter()
+    near: list[int] = []  # numbers of the open block elements
     parts: list[str] = []
-    linked = links = serial = 0
-    at, size = 0, len(page)
+    linked = serial = 0
+    last = page.rfind(">") + 1  # no tag ends after it
+    tail = UNFINISHED.search(page, last)
+    at, size = 0, tail.start() if tail else len(page)
 
     def add(text: str) -> None:
         nonlocal linked
         parts.append(text)
-        if links:
+        if open_tags["a"]:
             linked += len(text)
 
     def flush() -> None:
@@ -129,16 +137,24 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(html_text.unescape("".join(parts)).split())
             if text:
-                cues = frozenset(c for _, _, c in stack if c)
+                cues = frozenset(c for c, n in open_cues.items() if n)
                 tag = next((t for t, _, _ in reversed(stack) if t not in INLINE), "")
-                out.append(Block(text, tuple(n for t, n, _ in stack if t not in INLINE), cues, tag, min(linked, len(text))))
+                out.append(Block(text, tuple(near[-MAX_PATH:]), cues, tag, min(linked, len(text))))
             parts.clear()
         linked = 0
 
+    def close(to: int) -> None:
+        for tag, _, cue in stack[to:]:
+            open_tags[tag] -= 1
+            open_cues[cue] -= cue is not None
+            if tag not in INLINE:
+                near.pop()
+        del stack[to:]
+
     while at < size:
-        m = TOKEN.search(page, at)
+        m = TOKEN.search(page, at, size) if at < last else None
         if m is None:
-            add(page[at:])
+            add(page[at:size])
             break
         if m.start() > at:
             add(page[at : m.start()])
@@ -162,20 +178,22 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if open_tags[tag] else ():
                 if stack[i][0] == tag:
-                    links -= sum(t == "a" for t, _, _ in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if inline and stack[i][0] not in INLINE:  # an inline end does not close blocks
                     break
         else:
-            if not inline:
-                close_implied(tag, stack)
-                links = sum(t == "a" for t, _, _ in stack)
+            if not inline and (to := implied_end(tag, stack, open_tags)) is not None:
+                close(to)
             serial += 1
-            stack.append((tag, serial, element_cue(tag, m[3])))
-            links += tag == "a"
+            cue = element_cue(tag, m[3])
+            stack.append((tag, serial, cue))
+            open_tags[tag] += 1
+            open_cues[cue] += cue is not None
+            if not inline:
+                near.append(serial)
     flush()
     return out
 
@@ -185,15 +203,16 @@ IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 SCOPE = frozenset("table ul ol dl select div section article main body td th".split())
 
 
-def close_implied(tag: str, stack: list) -> None:
+def implied_end(tag: str, stack: list, open_tags: Counter) -> int | None:
+    """From where on the start tag of a block closes the stack."""
     closes = IMPLIED.get(tag, ()) + ("p",)
-    for i in range(len(stack) - 1, -1, -1):
-        name = stack[i][0]
-        if name in closes:
-            del stack[i:]
-            return
-        if name in SCOPE:
-            return
+    if any(open_tags[c] for c in closes):
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in closes:
+                return i
+            if stack[i][0] in SCOPE:
+                break
+    return None
 
 
 def shape(block: Block) -> tuple[str, ...]:
@@ -209,16 +228,22 @@ def shape(block: Block) -> tuple[str, ...]:
     )
 
 
-def structure(block: Block, has_content: bool) -> float:
-    """Log-odds from the ancestors; negative cues outweigh positive ones."""
+def structure(block: Block, has_article: bool) -> float:
+    """Log-odds from the ancestors; negative cues outweigh positive ones.
+
+    ``has_article``: the page has text in an article element, so text outside is
+    less likely to be content, whatever the names of its classes.
+    """
     cues = block.cues
     if "boiler" in cues or "comment" in cues:
         return -STRONG
     if "header" in cues:
-        return STRONG if "content" in cues and block.tag in HEADINGS else -STRONG
-    if "content" in cues:
+        return STRONG if cues & {"article", "content"} and block.tag in HEADINGS else -STRONG
+    if "article" in cues:
         return STRONG
-    return -FAIR if has_content else 0.0
+    if has_article:
+        return -FAIR
+    return STRONG if "content" in cues else 0.0
 
 
 #: Shape weights before any page was seen, as (content, boilerplate) blocks.
@@ -265,11 +290,7 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     for i, b in enumerate(blocks):
         if i:
             p, q = blocks[i - 1].path, b.path
-            common = 0
-            for x, y in zip(p, q, strict=False):
-                if x != y:
-                    break
-                common += 1
+            common = len(set(p).intersection(q))
             out.append((i - 1, i, ADJACENT / (1 + len(p) + len(q) - 2 * common)))
         for up in (2, 3):
             if len(b.path) >= up:
@@ -369,11 +390,11 @@ def min_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool
 
 
 def block_odds(blocks: list[Block], weights: dict[str, float]) -> list[float]:
-    has_content = any(structure(b, False) > 0 for b in blocks)
+    has_article = any("article" in b.cues and structure(b, True) > 0 for b in blocks)
     out = []
     for b in blocks:
         form = sum(weights.get(f, 0.0) for f in shape(b))
-        out.append(structure(b, has_content) + min(max(form, -SHAPE_LIMIT), SHAPE_LIMIT))
+        out.append(structure(b, has_article) + min(max(form, -SHAPE_LIMIT), SHAPE_LIMIT))
     return out
 
 

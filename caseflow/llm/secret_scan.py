@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -95,16 +96,22 @@ def looks_random(value: str) -> bool:
 
 def method_matches(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int, int, str]]:
     """Candidates of the other kinds that overlap neither a taken span nor each other."""
-    ends = sorted(taken)
+    held: list[tuple[int, int]] = []  # disjoint, in order
+    for a, b in sorted(taken):
+        if held and a < held[-1][1]:
+            held[-1] = (held[-1][0], max(b, held[-1][1]))
+        else:
+            held.append((a, b))
 
     def free(a: int, b: int) -> bool:
-        return all(b <= x or y <= a for x, y in ends)
+        i = bisect_left(held, (a, b))
+        return (i == len(held) or b <= held[i][0]) and (i == 0 or held[i - 1][1] <= a)
 
     for kind, (hint, pattern) in ISSUED.items():
         if hint in text:
             for m in pattern.finditer(text):
                 if free(m.start(), m.end()):
-                    ends.append(m.span())
+                    insort(held, m.span())
                     yield kind, m.start(), m.end(), m[0]
     for m in RANDOM.finditer(text):
         if looks_random(m[0]) and free(m.start(), m.end()):
