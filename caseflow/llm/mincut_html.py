@@ -220,6 +220,8 @@ def shape(block: Block) -> tuple[str, ...]:
     n = len(block.text)
     share = block.linked / max(n, 1)
     words = block.text.count(" ") + 1
+    if block.tag in HEADINGS:  # short and without a full stop by nature
+        return (f"tag_{block.tag}", "links0" if share == 0 else "links2")
     return (
         f"length{min(int(math.log2(words + 1)), 7)}",
         f"links{0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.7 else 3}",
