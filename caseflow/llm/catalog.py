@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +41,8 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # the vocabulary files of this machine; elsewhere, pass another path
+
     counted = count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
