@@ -12,7 +12,7 @@ text, the near-duplicate stage keeps one.  Empty tables pass through all stages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.llm.bounded_ring import shard_digest
@@ -30,8 +30,13 @@ ORACLE_SQL = None
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, hash of text) is not in ``gone(doc_id, _key)``."""
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("_key").alias("_gone_key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_key"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone, same_text(docs, gone), "left_anti")
+
+
+def same_text(docs: DataFrame, keys: DataFrame) -> Column:
+    """Whether a row of ``docs`` has the id and text of ``keys(id, hash)``; nulls are equal."""
+    first, second = keys.columns
+    return docs["doc_id"].eqNullSafe(keys[first]) & (F.xxhash64(docs["text"]) == keys[second])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,20 +51,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated = verdicts.where("kept and n_shingles > 0").groupBy("doc_id", "_key").count().where("count > 1")
     if repeated.isEmpty():
         return kept
-    both = kept.join(repeated.select(F.col("doc_id").alias("_id"), "_key"), kept["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(kept["text"]) == F.col("_key")), "left_semi")
+    keys = repeated.select(F.col("doc_id").alias("_again_id"), F.col("_key").alias("_again_key"))
+    both = kept.join(keys, same_text(kept, keys), "left_semi")
     return without(kept, repeated).unionByName(both.dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    hits = contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(hits.select(F.col("doc_id").alias("_gone_id")), docs["doc_id"].eqNullSafe(F.col("_gone_id")), "left_anti")
+    hits = contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_gone_id")).distinct()
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_gone_id"]), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order that interleaves sources by their target weights."""
-    mixed = mix_sources(docs.select(*docs.columns))
-    return mixed.orderBy("position").select(*docs.columns)
+    # own names, so that columns named like the operator's output keep their values
+    inner = [f"_d{i}" for i in range(len(docs.columns))]
+    name = dict(zip(docs.columns, inner, strict=True))
+    mixed = mix_sources(docs.toDF(*inner), source=name["source"], key=name["doc_id"])
+    return mixed.orderBy("position").select(*inner).toDF(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from tests.llm import brute
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORDS = "the of and to in river stone light garden engine paper window morning quiet table silver maple token".split()
 #: Extra columns with names that the operators use inside or return.
-CLASHING = ["slot", "shard", "_row", "node", "key", "label", "n", "word", "_text", "stream", "position", "lo"]
+CLASHING = ["slot", "shard", "_row", "node", "key", "label", "n", "word", "_text", "stream", "position", "lo", "_key", "_gone_id", "_again_id", "lang_", "n_words", "kept"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from caseflow.llm import kn_quality
 from tests.llm import brute
-from tests.llm.test_operators import SCHEMA, frame, odd_rows, prose
+from tests.llm.test_operators import CLASHING, SCHEMA, frame, odd_rows, prose
 
 
 def write(spark, tmp_path, rows, items, extra=None):
@@ -52,6 +52,7 @@ def test_stages_keep_columns_and_repeated_rows_leave_one(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf)
         assert docs.columns == columns
+    assert all(r[c] == "x" for r in docs.collect() for c in CLASHING)
     assert sorted(str(r["doc_id"]) for r in docs.collect()) == ["1", "3", "None"]
     assert corpus_pipeline.shard(spark, docs, sf).count() == 3
 
