@@ -13,7 +13,8 @@ window sees rows of tickets:
 3. the row that is first at its instant gets the previous instant; every other
    row of the instant has a predecessor at the same instant.
 
-The result is exact for any bucket size.  Missing ticket ids sort last.
+The result is exact for any bucket size.  Missing ticket ids sort last.  Input is the
+canonical table, with one row per ticket id.
 """
 
 from __future__ import annotations

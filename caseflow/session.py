@@ -58,16 +58,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Unlike ``localCheckpoint`` the data survives the loss of the executor
-    that computed it.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def staging_root(spark: SparkSession) -> str:
     """This application's folder for staged tables, below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/staged-{spark.sparkContext.applicationId}"
