@@ -3,11 +3,27 @@
 from __future__ import annotations
 
 import json
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed when the driver found it by ``sys.path`` alone, in local mode or with a
+    shared code folder; elsewhere ship it with ``--py-files``.
+    """
+    folder = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if folder not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, folder]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.llm.bounded_ring import shard_digest
-from caseflow.llm.common import read_table
+from caseflow.llm.common import find_package, read_table
 from caseflow.llm.kn_quality import quality_rules
 from caseflow.llm.latent_decontam import contaminated
 from caseflow.llm.pfair_mix import mix_sources
@@ -41,11 +41,13 @@ def same_text(docs: DataFrame, keys: DataFrame) -> Column:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie inside their language's perplexity bands."""
+    find_package(spark)
     return without(docs, quality_rules(docs).where(~F.col("kept")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
+    find_package(spark)
     verdicts = stage(near_duplicates(docs))
     kept = without(docs, verdicts.where(~F.col("kept")))
     repeated = verdicts.where("kept and n_shingles > 0").groupBy("doc_id", "_key").count().where("count > 1")
@@ -58,6 +60,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    find_package(spark)
     hits = contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_gone_id")).distinct()
     return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_gone_id"]), "left_anti")
 
