@@ -16,6 +16,10 @@ sub-cell comes from a hash of all carried columns, so a hot key is spread over
 sub-cells; rows equal in every carried column are counted, numbered together and
 expanded again.
 
+:func:`ordered_digest` numbers the slots of each shard in the order of the Parquet it
+reads (part file, then row): rows are counted per (shard, file, run of ``RUN_ROWS``
+rows), the counts give offsets, and a window ranks the rows of a run only.
+
 Defined results: null keys hash like any other value; repeated rows each get a
 slot of their own; an empty table gives no rows; ``carry`` names the columns to
 return, and an input column named like an output column (``shard``, ``slot``) is
@@ -24,6 +28,7 @@ not carried.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,6 +38,7 @@ from caseflow.session import stage
 
 VNODES, CELLS, SUBCELLS = 64, 4096, 16
 SHARDS = 16
+RUN_ROWS = 65_536
 
 
 def ring_points(df: DataFrame, n_shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -101,11 +107,50 @@ def assign_shards(df: DataFrame, n_shards: int, key: str = "doc_id", carry: list
     return found.select(*[F.col(x).alias(c) for x, c in zip(inner, names, strict=True)], "shard", (F.col("base") + F.col("at") - F.col("lo")).alias("slot"))
 
 
-def shard_digest(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
-    """Shards by the ``rows`` law: counts are at most one apart."""
+def digest_columns(docs: DataFrame) -> list[F.Column]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lean = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"))
-    return assign_shards(lean, n_shards).select(
+    return [F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32")]
+
+
+def as_digest(placed: DataFrame) -> DataFrame:
+    return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def shard_digest(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
+    """Shards by the ``rows`` law: counts are at most one apart."""
+    return as_digest(assign_shards(docs.select(*digest_columns(docs)), n_shards))
+
+
+def with_place(docs: DataFrame) -> DataFrame:
+    """The digest's columns with the place of each row in the Parquet folder: ``_file`` and ``_at``.
+
+    Spark packs files into tasks by size, so the order of the read rows is not the
+    order of the folder; the names of the part files and the rows' numbers are.
+    Only a plain read shows them: other frames are written first.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if not plan.children().isEmpty():
+        docs = stage(docs)
+    try:
+        files = docs.metadataColumn("_metadata")
+        name, at = files["file_name"], files["row_index"]
+        docs.select(at)
+    except AnalysisException:  # not read from Parquet files
+        docs = stage(docs)
+        files = docs.metadataColumn("_metadata")
+        name, at = files["file_name"], files["row_index"]
+    number = lambda pattern: F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("long"), F.lit(0))
+    return docs.select(*digest_columns(docs), (number(r"part-(\d+)") * 2**20 + number(r"-c(\d+)\.")).alias("_file"), at.alias("_at"))
+
+
+def ordered_digest(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
+    """Like :func:`shard_digest`, with the slots of each shard in the order of the Parquet that ``docs`` reads."""
+    placed = stage(assign_shards(with_place(docs), n_shards).drop("slot").withColumn("_run", F.floor(F.col("_at") / RUN_ROWS)))
+    run = ["shard", "_file", "_run"]
+    before = Window.partitionBy("shard").orderBy("_file", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(*run).agg(F.count(F.lit(1)).alias("n")).select(*run, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off"))
+    ranked = placed.withColumn("_rank", F.row_number().over(Window.partitionBy(*run).orderBy("_at")) - 1)
+    return as_digest(ranked.join(offsets, run).withColumn("slot", F.col("_off") + F.col("_rank")))

@@ -3,7 +3,8 @@
 ``STAGES`` lists ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and
 returns a DataFrame that is written as Parquet and read again as the next stage's
 ``docs``.  Every stage works on all rows its predecessor kept; all but the last
-return the columns of ``docs``.  ``run`` applies the stages to ``documents``.
+return the columns of ``docs``.  ``run`` applies the stages to ``documents``.  The
+order that mixing writes is the order of the slots in each shard.
 
 Rows are dropped by anti-joins with lean tables of (id, hash of the text), so equal
 ids with different texts are told apart.  Of repeated rows with one id and one
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm.bounded_ring import shard_digest
+from caseflow.llm.bounded_ring import ordered_digest
 from caseflow.llm.common import find_package, read_table
 from caseflow.llm.kn_quality import quality_rules
 from caseflow.llm.latent_decontam import contaminated
@@ -75,8 +76,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document."""
-    return shard_digest(docs)
+    """Shard and slot of every document; the slots of a shard keep the order of ``docs``, the mixed one."""
+    return ordered_digest(docs)
 
 
 STAGES = [

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import glob
 import random
 import zlib
 
 import corpus_pipeline
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from caseflow.llm import kn_quality
+from caseflow.llm import bounded_ring, kn_quality, pfair_mix
 from tests.llm import brute
 from tests.llm.test_operators import CLASHING, SCHEMA, frame, odd_rows, prose
 
@@ -65,6 +67,42 @@ def test_mixed_order_is_written(spark, tmp_path):
     assert 30 <= first.count("b") <= 70
 
 
+def slots_in_order(spark, sf, docs):
+    """(shard, slot) of every document after the last stage, and the documents of the folder in order."""
+    path = f"{sf}/mixed-{id(docs)}"
+    docs.write.option("maxRecordsPerFile", 30).parquet(path)
+    files = sorted(glob.glob(f"{path}/part-*.parquet"))
+    order = [d for f in files for d in pq.read_table(f, columns=["doc_id"])["doc_id"].to_pylist()]
+    return {r["doc_id"]: (r["shard"], r["slot"]) for r in corpus_pipeline.shard(spark, spark.read.parquet(path), sf).collect()}, order
+
+
+def test_shards_keep_the_mixed_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bounded_ring, "RUN_ROWS", 8)
+    rng = random.Random(14)
+    sf = write(spark, tmp_path, [(i, prose(rng, 20 + i % 50), "en", "ab"[i % 3 == 0]) for i in range(600)], [(1, "x")])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    plain, order = slots_in_order(spark, sf, corpus_pipeline.mix(spark, docs, sf))
+    assert len(plain) == 600
+    for shard in range(16):
+        held = [d for d in order if plain[d][0] == shard]
+        assert [plain[d][1] for d in held] == list(range(len(held)))
+
+    mixed = pfair_mix.mix_sources
+    monkeypatch.setattr(corpus_pipeline, "mix_sources", lambda *a, **k: mixed(*a, **k, weights={"a": 9.0, "b": 1.0}))
+    other, _ = slots_in_order(spark, sf, corpus_pipeline.mix(spark, docs, sf))
+    assert sum(plain[d] != other[d] for d in plain) > 100
+
+
+def test_run_ends_in_the_mixed_order(spark, tmp_path, monkeypatch):
+    """The output of run() differs with and without its fourth stage."""
+    rng = random.Random(15)
+    sf = write(spark, tmp_path, [(i, prose(rng, 80), "en", "ab"[i % 3 == 0]) for i in range(300)], [(1, "x")])
+    full = {r["doc_id"]: r["slot"] for r in corpus_pipeline.run(spark, sf).collect()}
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [s for s in corpus_pipeline.STAGES if s[0] != "mixing"])
+    short = {r["doc_id"]: r["slot"] for r in corpus_pipeline.run(spark, sf).collect()}
+    assert full.keys() == short.keys() and full != short
+
+
 def test_pipeline_on_empty_tables(spark, tmp_path):
     sf = write(spark, tmp_path, [], [])
     assert corpus_pipeline.run(spark, sf).count() == 0
