@@ -301,6 +301,25 @@ def test_quality_features_and_bands(odd, repeated, empty, spark):
     assert all(kept[d] for d, *_ in clean) and not kept[900]
 
 
+def test_upper_band_rejects_noise_and_keeps_quotes_and_keys(spark):
+    rng = random.Random(21)
+    foreign = "der fluss und das haus mit einer alten strasse über den wald am morgen ruhig".split()
+
+    def speak(words, n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    def noisy(text, share):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") if c != " " and rng.random() < share else c for c in text)
+
+    rows = [(i, speak(WORDS, 100), "en", "s") for i in range(300)] + [(1000 + i, speak(foreign, 100), "de", "s") for i in range(300)]
+    rows += [(2000, speak(WORDS, 60) + " " + speak(foreign, 60), "en", "s"), (2001, speak(WORDS, 120) + ' key = "9f8a7b6c5d4e3f2a1b0c9d8e7f6a5b4c3d2e1f0a"', "en", "s")]
+    rows += [(3000 + i, noisy(speak(WORDS, 100), 0.15), "en", "s") for i in range(3)]
+    got = {r["doc_id"]: r for r in kn_quality.quality_rules(frame(spark, rows)).collect()}
+    assert all(r["kept"] for d, r in got.items() if d < 3000)
+    assert all(not got[d]["kept"] and got[d]["window_ppl"] > got[d]["band_high"] and not got[d]["base_failed"] for d in (3000, 3001, 3002))
+    assert kn_quality.UPPER_IQRS == kn_quality.LOWER_IQRS
+
+
 def test_kneser_ney_sums_to_one_and_survives_storage():
     codes = kn_quality.np.concatenate([kn_quality.ngram_codes(prose(random.Random(i), 400).encode()) for i in range(5)])
     keys, counts = kn_quality.np.unique(codes, return_counts=True)
