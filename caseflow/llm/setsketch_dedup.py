@@ -10,11 +10,12 @@ likely as the sets are similar.
 1. One Arrow pass makes a lean row per document: set size, a 128-bit fingerprint
    of the set, the registers.  Documents with equal fingerprints have equal sets;
    they collapse into one class, so exact copies never meet pairwise.
-2. ``BANDS`` bands of ``ROWS`` registers each put classes into buckets.  A pair at
-   the limit of 0.85 shares no bucket with a probability of about 1e-5.
+2. Bands of :func:`band_rows` registers each put classes into buckets, so that a pair
+   at the limit (0.85 unless given) shares no bucket with a probability of at most
+   ``MISS``.
 3. First round: each member of a bucket against one pivot of the bucket, a number
    of pairs linear in the bucket.  A pair is first judged by the likelihood of
-   its similarity given the registers and the two set sizes; if 0.85 is
+   its similarity given the registers and the two set sizes; if the limit is
    ``LLR_LIMIT`` below the best similarity the pair is dropped (five standard
    deviations); otherwise its full sets are compared.
 4. Second round, for the links that the pivots cannot show: buckets of three or
@@ -49,10 +50,10 @@ from caseflow.llm.components import components
 from caseflow.session import stage
 
 SHINGLE_WORDS = 5
-REGISTERS, ROWS = 144, 6
-BANDS = REGISTERS // ROWS
+REGISTERS = 144
+MISS = 2e-5  # of pairs at the limit
 BASE, RATE, LIMIT_Q = 1.001, 20.0, 65_534  # b, a and q of the sketch
-SIMILAR_NUM, SIMILAR_DEN = 85, 100  # linked if 100 * intersection >= 85 * union
+SIMILAR_NUM, SIMILAR_DEN = 85, 100  # linked if 100 * intersection >= 85 * union, unless another number is given
 LLR_LIMIT = 12.5
 BLOCK = 1024  # classes of a bucket that one task side holds
 CHUNK_SHINGLES = 1 << 15
@@ -62,6 +63,12 @@ _MASK = np.random.default_rng(20_260_102).integers(0, 2**63, REGISTERS, dtype=np
 _PLACE = np.random.default_rng(20_260_103).integers(0, 2**63, SHINGLE_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def band_rows(num: int) -> int:
+    """The most registers a band may have so that pairs at the limit are missed with ``MISS`` at most."""
+    limit = num / SIMILAR_DEN
+    return max((n for n in range(1, REGISTERS + 1) if (1 - limit**n) ** (REGISTERS // n) <= MISS), default=1)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return h ^ (h >> np.uint64(29))
@@ -133,8 +140,8 @@ def _p(x: np.ndarray) -> np.ndarray:
     return -np.log(np.clip(1.0 - x * (BASE - 1.0) / BASE, 1e-300, 1.0)) / np.log(BASE)
 
 
-def plausible(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Whether a similarity of 0.85 or more fits the registers.
+def plausible(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, num: int = SIMILAR_NUM) -> np.ndarray:
+    """Whether a similarity of ``num`` percent or more fits the registers.
 
     ``larger``/``smaller``: how many registers of the first set are larger or
     smaller.  Compares the log-likelihood at its best similarity with the best
@@ -148,19 +155,19 @@ def plausible(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.
     same = np.clip(1.0 - up - down, 1e-12, 1.0)
     equal = (REGISTERS - larger - smaller)[:, None]
     ll = larger[:, None] * np.log(np.clip(up, 1e-12, 1.0)) + smaller[:, None] * np.log(np.clip(down, 1e-12, 1.0)) + equal * np.log(same)
-    limit = SIMILAR_NUM / SIMILAR_DEN
+    limit = num / SIMILAR_DEN
     above = np.where(grid >= limit - 0.01, ll, -np.inf).max(axis=1)
     return np.isfinite(above) & (ll.max(axis=1) - above <= LLR_LIMIT)
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
+def similar(a: np.ndarray, b: np.ndarray, num: int = SIMILAR_NUM) -> bool:
     """The exact rule on two sorted distinct arrays."""
     small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if SIMILAR_DEN * len(small) < SIMILAR_NUM * len(large):
+    if SIMILAR_DEN * len(small) < num * len(large):
         return False
     at = np.searchsorted(large, small)
     common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-    return SIMILAR_DEN * common >= SIMILAR_NUM * (len(a) + len(b) - common)
+    return SIMILAR_DEN * common >= num * (len(a) + len(b) - common)
 
 
 def sketch_documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -202,10 +209,11 @@ def sketch_documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "_row long, _key long, doc_id long, n_shingles long, fp string, regs binary")
 
 
-def bucket_members(classes: DataFrame) -> DataFrame:
+def bucket_members(classes: DataFrame, num: int = SIMILAR_NUM) -> DataFrame:
     """``(key, node, size, pivot)`` for the buckets that hold two or more classes."""
-    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    part = lambda b: F.substring(F.col("regs"), b * 2 * ROWS + 1, F.lit(2 * ROWS))
+    rows = band_rows(num)
+    bands = F.sequence(F.lit(0), F.lit(REGISTERS // rows - 1))
+    part = lambda b: F.substring(F.col("regs"), b * 2 * rows + 1, F.lit(2 * rows))
     keys = F.transform(bands, lambda b: F.xxhash64(b, part(b)))
     members = classes.select("node", F.explode(keys).alias("key"))
     # the pivot is the smallest node in an order that differs from bucket to bucket
@@ -237,7 +245,7 @@ def _registers(values) -> np.ndarray:
     return np.frombuffer(b"".join(values), ">u2").reshape(-1, REGISTERS).astype(np.uint16)
 
 
-def verified(pairs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, num: int = SIMILAR_NUM) -> DataFrame:
     """Of ``(a, b, regs_a, set_a, regs_b, set_b)``, the linked ``(a, b)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,8 +255,8 @@ def verified(pairs: DataFrame) -> DataFrame:
                 a, b, ra, sa, rb, sb = (part.column(i).to_pylist() for i in range(6))
                 x, y = _registers(ra), _registers(rb)
                 na, nb = (np.array([len(s) // 8 for s in side]) for side in (sa, sb))
-                fits = plausible((x > y).sum(axis=1), (x < y).sum(axis=1), na, nb)
-                ok = [i for i in np.flatnonzero(fits) if similar(np.frombuffer(sa[i], np.uint64), np.frombuffer(sb[i], np.uint64))]
+                fits = plausible((x > y).sum(axis=1), (x < y).sum(axis=1), na, nb, num)
+                ok = [i for i in np.flatnonzero(fits) if similar(np.frombuffer(sa[i], np.uint64), np.frombuffer(sb[i], np.uint64), num)]
                 yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in ok], pa.int64()), pa.array([b[i] for i in ok], pa.int64())], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -271,7 +279,7 @@ class Forest:
         return x != y
 
 
-def block_links(nodes: list[int], labels: list[int], sides: list[int], regs: list[bytes], sets: list[bytes]) -> list[tuple[int, int]]:
+def block_links(nodes: list[int], labels: list[int], sides: list[int], regs: list[bytes], sets: list[bytes], num: int = SIMILAR_NUM) -> list[tuple[int, int]]:
     """A spanning forest of the links between the two sides of a block pair.
 
     Side 0 and side 1 are compared with each other; a single block (all sides 0)
@@ -287,12 +295,13 @@ def block_links(nodes: list[int], labels: list[int], sides: list[int], regs: lis
     arrays = [np.frombuffer(s, np.uint64) for s in sets]
     forest, out = Forest(), []
     rr, rn, rl = r[right], n[right], lab[right]
-    least_equal = int(REGISTERS * SIMILAR_NUM / SIMILAR_DEN - 5 * np.sqrt(REGISTERS * 0.85 * 0.15)) - 1
+    limit = num / SIMILAR_DEN
+    least_equal = int(REGISTERS * limit - 5 * np.sqrt(REGISTERS * limit * (1 - limit))) - 1
     for i in left:
         differ = rl != lab[i]
         if right is left:
             differ &= np.array(right) > i
-        candidates = np.flatnonzero(differ & (SIMILAR_DEN * np.minimum(rn, n[i]) >= SIMILAR_NUM * np.maximum(rn, n[i])))
+        candidates = np.flatnonzero(differ & (SIMILAR_DEN * np.minimum(rn, n[i]) >= num * np.maximum(rn, n[i])))
         if not len(candidates):
             continue
         equal = (rr[candidates] == r[i]).sum(axis=1)
@@ -300,16 +309,16 @@ def block_links(nodes: list[int], labels: list[int], sides: list[int], regs: lis
         if not len(candidates):
             continue
         side = rr[candidates]
-        fits = plausible((r[i] > side).sum(axis=1), (r[i] < side).sum(axis=1), np.full(len(candidates), n[i]), rn[candidates])
+        fits = plausible((r[i] > side).sum(axis=1), (r[i] < side).sum(axis=1), np.full(len(candidates), n[i]), rn[candidates], num)
         for j in candidates[fits][np.argsort(-equal[fits], kind="stable")]:
             k = right[j]
-            if forest.root(labels[i]) != forest.root(labels[k]) and similar(arrays[i], arrays[k]):
+            if forest.root(labels[i]) != forest.root(labels[k]) and similar(arrays[i], arrays[k], num):
                 forest.join(labels[i], labels[k])
                 out.append((nodes[i], nodes[k]))
     return out
 
 
-def linked_in_blocks(members: DataFrame) -> DataFrame:
+def linked_in_blocks(members: DataFrame, num: int = SIMILAR_NUM) -> DataFrame:
     """Links inside buckets; rows ``(key, blocks, block, node, label, regs, set)``."""
     # a block meets itself (i, i) and every other block once (i < j)
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -324,7 +333,7 @@ def linked_in_blocks(members: DataFrame) -> DataFrame:
 
         def links() -> pa.RecordBatch:
             _, _, _, side, node, label, regs, sets = zip(*held, strict=True)
-            found = block_links(list(node), list(label), list(side), list(regs), list(sets)) if len(held) > 1 else []
+            found = block_links(list(node), list(label), list(side), list(regs), list(sets), num) if len(held) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -341,32 +350,35 @@ def linked_in_blocks(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def links_between_classes(df: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def links_between_classes(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, num: int = SIMILAR_NUM) -> DataFrame:
     """Links that connect the classes ``(node, doc_id, fp, regs)``, one spanning set of them."""
-    members = stage(bucket_members(classes))
+    members = stage(bucket_members(classes, num))
     wanted = classes.join(members.select("node").distinct(), "node").select("node", "doc_id", "fp", "regs")
     sets = stage(full_sets(df, wanted, id_col, text_col))
 
     pairs = members.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     side = lambda x: sets.select(F.col("node").alias(x), F.col("regs").alias(f"regs_{x}"), F.col("set").alias(f"set_{x}"))
     with_sets = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "regs_a", "set_a", "regs_b", "set_b")
-    first = stage(verified(with_sets))
+    first = stage(verified(with_sets, num))
 
     labels = stage(components(first))
     left = members.where("size > 2").join(labels, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("label"))
     open_keys = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     todo = left.join(open_keys, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     todo = todo.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    second = linked_in_blocks(todo.join(sets, "node").select("key", "blocks", "block", "node", "label", "regs", "set"))
+    second = linked_in_blocks(todo.join(sets, "node").select("key", "blocks", "block", "node", "label", "regs", "set"), num)
     return first.union(second)
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept, _row, _key)`` for every row of ``df``; ``_key`` is a hash of its text."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = SIMILAR_NUM) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept, _row, _key)`` for every row of ``df``; ``_key`` is a hash of its text.
+
+    Documents are linked from a similarity of ``num`` percent up.
+    """
     rows = stage(sketch_documents(df, id_col, text_col))
     by_set = rows.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("regs").alias("regs"))
     classes = stage(by_set.select(F.monotonically_increasing_id().alias("node"), "*"))
-    reached = components(links_between_classes(df, classes, id_col, text_col))
+    reached = components(links_between_classes(df, classes, id_col, text_col, num))
     named = classes.select("fp", "node", "doc_id").join(reached, "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     by_fp = named.join(least, "c").select("fp", "component_id")

@@ -28,6 +28,10 @@ from caseflow.session import stage
 ORACLE_SQL = None
 
 
+#: Percent of common five-word shingles from which documents are near-duplicates here; op8's own contract is 85.
+NEAR_PERCENT = 80
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, hash of text) is not in ``gone(doc_id, _key)``."""
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("_key").alias("_gone_key")).distinct()
@@ -49,7 +53,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
     find_package(spark)
-    verdicts = stage(near_duplicates(docs))
+    verdicts = stage(near_duplicates(docs, num=NEAR_PERCENT))
     kept = without(docs, verdicts.where(~F.col("kept")))
     repeated = verdicts.where("kept and n_shingles > 0").groupBy("doc_id", "_key").count().where("count > 1")
     if repeated.isEmpty():

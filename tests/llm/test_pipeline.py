@@ -10,7 +10,7 @@ import corpus_pipeline
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from caseflow.llm import bounded_ring, kn_quality, pfair_mix
+from caseflow.llm import bounded_ring, kn_quality, pfair_mix, setsketch_dedup
 from tests.llm import brute
 from tests.llm.test_operators import CLASHING, SCHEMA, frame, odd_rows, prose
 
@@ -103,6 +103,35 @@ def test_run_ends_in_the_mixed_order(spark, tmp_path, monkeypatch):
     assert full.keys() == short.keys() and full != short
 
 
+def test_near_copies_from_four_fifths_up_leave_one(spark, tmp_path):
+    """Pairs of 196 and 90 shingles with changed words, each of which changes five shingles."""
+    rng = random.Random(16)
+
+    def pair(words, changed):
+        base = prose(rng, words).split()
+        other = [f"other{i}" if i % 12 == 6 and i // 12 < changed else w for i, w in enumerate(base)]
+        return " ".join(base), " ".join(other)
+
+    # similarities 191/201, 181/211, 176/216 = 0.815 (four times), 171/221 = 0.774, and 80/100 exactly
+    cases = [(200, 1, True), (200, 3, True), *[(200, 4, True)] * 4, (200, 5, False), (200, 6, False), (94, 2, True)]
+    rows, want = [], set()
+    for i, (words, changed, linked) in enumerate(cases):
+        a, b = pair(words, changed)
+        rows += [(10 * i, a, "en", "a"), (10 * i + 1, b, "en", "b")]
+        want |= {10 * i} if linked else {10 * i, 10 * i + 1}
+    rows += [(1000 + i, prose(rng, 150), "en", "a") for i in range(40)]
+    sf = write(spark, tmp_path, rows, [(1, "x")])
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, sf).collect()}
+    assert {d for d in got if d < 1000} == want
+
+
+def test_bands_follow_the_similarity():
+    assert [setsketch_dedup.band_rows(n) for n in (85, 80)] == [6, 5]
+    for num in (70, 80, 85, 95):
+        n = setsketch_dedup.band_rows(num)
+        assert (1 - (num / 100) ** n) ** (setsketch_dedup.REGISTERS // n) <= setsketch_dedup.MISS
+
+
 def test_pipeline_on_empty_tables(spark, tmp_path):
     sf = write(spark, tmp_path, [], [])
     assert corpus_pipeline.run(spark, sf).count() == 0
