@@ -20,6 +20,7 @@ from caseflow.llm.secret_scan import scan_secrets
 from caseflow.llm.setsketch_dedup import near_duplicates
 from caseflow.llm.token_counts import count_tokens
 from caseflow.llm.warc import round_trip
+from caseflow.llm.zfast_trie import trie_digest
 
 TOKEN_LIMIT = 2048
 
@@ -67,6 +68,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_digest(read_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -74,7 +79,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_sharding, op2_lm_scoring, op3_html_extraction, op4_secret_scans, op5_token_counts,
-        op6_source_mixing, op7_warc, op8_minhash_dedup, op9_quality_rules, op10_decontamination, pipeline,
+        op6_source_mixing, op7_warc, op8_minhash_dedup, op9_quality_rules, op10_decontamination,
+        op13_conversation_trie, pipeline,
     )
     return {f.__name__: f for f in named}
 
