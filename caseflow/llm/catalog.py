@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from caseflow.llm.bounded_ring import shard_digest
 from caseflow.llm.brown_lm import lm_scores
 from caseflow.llm.common import read_table
+from caseflow.llm.edit_composition import variant_digest
 from caseflow.llm.kn_quality import quality_rules
 from caseflow.llm.latent_decontam import contaminated
 from caseflow.llm.mincut_html import extract_main_text
@@ -68,6 +69,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_digest(read_table(spark, sf_dir, "conversations"))
 
@@ -80,7 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_sharding, op2_lm_scoring, op3_html_extraction, op4_secret_scans, op5_token_counts,
         op6_source_mixing, op7_warc, op8_minhash_dedup, op9_quality_rules, op10_decontamination,
-        op13_conversation_trie, pipeline,
+        op12_spelling_variants, op13_conversation_trie, pipeline,
     )
     return {f.__name__: f for f in named}
 
