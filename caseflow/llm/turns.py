@@ -29,7 +29,7 @@ WORD = r"[^ \t\n\x0B\f\r]+"
 
 def running(df: DataFrame, group: list[str], order: str, values: list[str]) -> DataFrame:
     """``df`` with each of ``values`` replaced by its inclusive running sum in ``group``, in the order of the distinct integers ``order``."""
-    cut = df.withColumn("_run", F.floor(F.col(order) / RUN))
+    cut = df.withColumn("_run", F.expr(f"`{order}` div {RUN}"))
     sums = cut.groupBy(*group, "_run").agg(*[F.sum(v).alias(v) for v in values])
     before = Window.partitionBy(*group).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*group, "_run", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_before_{v}") for v in values])
@@ -40,7 +40,7 @@ def running(df: DataFrame, group: list[str], order: str, values: list[str]) -> D
 
 def ordered_turns(turns: DataFrame) -> DataFrame:
     """``turns(conv_id, turn, a, b, ...)`` with ``at``, the place from 0 in its conversation, in place of ``turn``; ids are not null."""
-    cut = turns.withColumn("_run", F.floor(F.col("turn") / RUN))
+    cut = turns.withColumn("_run", F.expr(f"turn div {RUN}"))
     sizes = cut.groupBy("conv_id", "_run").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("_run")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("conv_id").alias("_c"), F.col("_run").alias("_r"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -93,8 +93,8 @@ def prefix_keys(turns: DataFrame, totals: list[str]) -> DataFrame:
 
 
 def each_depth(df: DataFrame, low: str, high: str) -> DataFrame:
-    """A row for every depth ``d`` from ``low`` to ``high``, both included, made in two steps so that no array is long."""
-    part = F.explode(F.sequence(F.floor(F.col(low) / RUN), F.floor(F.col(high) / RUN)))
+    """A row for every depth ``d`` from ``low`` (not negative) to ``high``, both included, made in two steps so that no array is long."""
+    part = F.explode(F.sequence(F.expr(f"`{low}` div {RUN}"), F.expr(f"`{high}` div {RUN}")))
     parts = df.where(F.col(low) <= F.col(high)).withColumn("_part", part)
     start, end = F.greatest(F.col(low), F.col("_part") * RUN), F.least(F.col(high), F.col("_part") * RUN + RUN - 1)
     return parts.withColumn("d", F.explode(F.sequence(start.cast("long"), end.cast("long")))).drop("_part")

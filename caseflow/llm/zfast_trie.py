@@ -246,7 +246,7 @@ def _hash_blocks(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
 
 def end_digests(ends: DataFrame) -> DataFrame:
     """``(key, ends_sha256)`` of ``ends(conv_id, key)``: the ids of a node, ascending and comma-joined."""
-    block = ends.withColumn("block", F.floor(F.col("conv_id") / CHUNK)).groupBy("key", "block")
+    block = ends.withColumn("block", F.expr(f"conv_id div {CHUNK}")).groupBy("key", "block")
     ids = F.array_join(F.transform(F.array_sort(F.collect_list("conv_id")), lambda c: c.cast("string")), ",")
     blocks = stage(block.agg(ids.alias("ids")))
     several = blocks.groupBy("key").count().where("count > 1").select("key")
