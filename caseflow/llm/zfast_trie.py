@@ -59,10 +59,10 @@ def rebuild(turns: DataFrame) -> DataFrame:
     """Rebuilt conversations: the first turns of the group's first one, then the own ones.
 
     ``turns(conv_id, at, ...)`` -> the same columns.  Conversation c takes the first h
-    turns of c - c % 20 (h = crc32(c) % 4) and its own turns after its first h.
+    turns of the group of 20 ids that c lies in (h = crc32(c) % 4) and its own turns after its first h.
     """
     value = [c for c in turns.columns if c not in ("conv_id", "at")]
-    head = F.col("conv_id") - F.col("conv_id") % SHARED_WITH
+    head = F.col("conv_id") - F.pmod("conv_id", F.lit(SHARED_WITH))
     taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % MAX_SHARED).cast("long")
     sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
     heads = sizes.select(F.col("conv_id").alias("head"), F.col("n").alias("head_n"))
