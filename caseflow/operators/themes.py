@@ -1,23 +1,25 @@
 """Complaint themes (M1-M8): TF-IDF over 1-2-grams, K-Means, per-theme summaries.
 
 * tokens: lower-case, maximal runs of >= 2 word characters (letters, digits,
-  underscore), stop words removed, then bigrams of the remaining tokens;
+  underscore), stop words removed, then bigrams of the remaining tokens.  A text is
+  tokenised once and its tokens staged; vocabulary and vectors read those;
 * vocabulary: terms in >= ``min_df`` documents, the ``max_features`` most
-  frequent (ties by term), from one aggregation by term that pre-aggregates
-  before its shuffle;
+  frequent (ties by term).  Counts per hash bucket bound the count of each of their
+  terms from above, so only terms of heavy buckets are counted by name;
 * weights: raw counts x smooth idf ``ln((1+n)/(1+df)) + 1``, L2-normalised;
-* K-Means (Spark ML) with ``n_init`` seeds, keeping the lowest training cost.
+* K-Means (:mod:`caseflow.operators.kmeans`): ``n_init`` starts, the lowest cost wins.
 
 The vocabulary is capped by ``max_features``, so it is the only thing brought
-to the driver (to build the vector model); documents never are.
+to the driver (to build the vectors); documents never are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -28,9 +30,14 @@ from pyspark.sql import types as T
 
 from caseflow.fixed import ENGLISH_STOP_WORDS, MISSING_ID, THEME_LABEL_SEP, THEME_OTHER
 from caseflow.functions.columns import strip_ws
+from caseflow.operators.kmeans import SCALE, assign, best_start
 from caseflow.session import stage
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+#: Buckets of the vocabulary's counts, and how many heavy ones are looked into first, for each term wanted.
+BUCKETS, HEAVY_PER_TERM = 2**20, 2
+#: Tokens of one block of texts while vectors are built.
+BLOCK_TOKENS = 500_000
 
 THEME_SCHEMA = T.StructType(
     [
@@ -61,19 +68,35 @@ def _usable(df: DataFrame) -> Column:
     return F.col("usable") if "usable" in df.columns else F.lit(True)
 
 
-def add_terms(df: DataFrame, stop_words: list[str] = ENGLISH_STOP_WORDS) -> DataFrame:
-    """M2-M4: ``terms`` = unigrams (stop words removed) followed by their bigrams.
+def add_tokens(df: DataFrame, stop_words: list[str] = ENGLISH_STOP_WORDS) -> DataFrame:
+    """M2, M3: ``tokens``, the words of a text but for the stop words.
 
     With a ``usable`` column (from :func:`theme_text`), rows that are not usable
-    get no terms and keep the flag.  Gating the tokeniser this way, instead of
+    get no tokens and keep the flag.  Gating the tokeniser this way, instead of
     filtering first, keeps Catalyst from pushing ``length(clean(text))`` below
     the projection, where the text clean would run twice per row.
     """
     words = F.regexp_extract_all(F.lower(F.col("theme_text")), F.lit(TOKEN_PATTERN), 0)
-    tokens = df.withColumn("_tokens", F.when(_usable(df), words).otherwise(F.array().cast("array<string>")))
-    kept = StopWordsRemover(inputCol="_tokens", outputCol="_kept", stopWords=list(stop_words), caseSensitive=True).transform(tokens)
-    grams = NGram(n=2, inputCol="_kept", outputCol="_bigrams").transform(kept)
-    return grams.withColumn("terms", F.concat("_kept", "_bigrams")).drop("_tokens", "_kept", "_bigrams")
+    gated = df.withColumn("_tokens", F.when(_usable(df), words).otherwise(F.array().cast("array<string>")))
+    return StopWordsRemover(inputCol="_tokens", outputCol="tokens", stopWords=list(stop_words), caseSensitive=True).transform(gated).drop("_tokens")
+
+
+def with_bigrams(tokens: DataFrame) -> DataFrame:
+    """M4: ``terms``, the tokens followed by their bigrams, in place of ``tokens``."""
+    grams = NGram(n=2, inputCol="tokens", outputCol="_bigrams").transform(tokens)
+    return grams.withColumn("terms", F.concat("tokens", "_bigrams")).drop("tokens", "_bigrams")
+
+
+def add_terms(df: DataFrame, stop_words: list[str] = ENGLISH_STOP_WORDS) -> DataFrame:
+    """M2-M4: ``terms`` = unigrams (stop words removed) followed by their bigrams."""
+    return with_bigrams(add_tokens(df, stop_words))
+
+
+def staged_tokens(df: DataFrame, columns: list[str], min_chars: int = 15, reuse: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``columns`` and the tokens of the usable texts, tokenised once and staged."""
+    texts = theme_text(df.select(*dict.fromkeys([*columns, "customer_message", "agent_notes"])), min_chars)
+    # the filter comes after the staged table, a plan barrier, so the text clean is not run again inside it
+    return (reuse or stage)(add_tokens(texts).select(*columns, "tokens", "usable")).where("usable").drop("usable")
 
 
 def term_statistics(terms: DataFrame) -> DataFrame:
@@ -156,6 +179,97 @@ def vocabulary_idf(terms: DataFrame, min_df: int = 2, max_features: int = 5000)
     return _vocabulary_idf_counted(terms, min_df, max_features).drop("n_docs")
 
 
+def bucket_totals(terms: DataFrame) -> DataFrame:
+    """``bucket, total``: occurrences of the terms of each hash bucket; bucket -1 counts the documents."""
+    marked = F.concat(F.array(F.lit(-1).cast("long")), F.transform("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS))))
+    return terms.select(F.explode(marked).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("total"))
+
+
+def count_terms(terms: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``term, document_frequency, corpus_frequency`` of the terms whose bucket is in ``buckets``."""
+    bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS))
+    once = F.struct(F.lit(0).alias("all"), F.lit(1).alias("doc"))
+    each = F.struct(F.lit(1).alias("all"), F.lit(0).alias("doc"))
+    tagged = lambda arr, tag: F.transform(arr, lambda t: F.struct(t.alias("term"), tag.alias("n")))
+    rows = terms.select(F.explode(F.concat(tagged(F.col("terms"), each), tagged(F.array_distinct("terms"), once))).alias("t")).select("t.term", "t.n.*")
+    named = rows.withColumn("bucket", bucket).join(buckets.select("bucket"), "bucket", "left_semi")
+    return named.groupBy("term").agg(F.sum("doc").alias("document_frequency"), F.sum("all").alias("corpus_frequency"))
+
+
+def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> tuple[list, int]:
+    """M5 on the driver: the kept terms as rows ``(term, document_frequency, corpus_frequency, idf)`` by term, and the number of documents.
+
+    A bucket's total is at least the count of each of its terms.  The terms of the
+    heaviest buckets are counted by name; their ``max_features``-th count is a lower
+    bound of the vocabulary's last one, so a term outside can only enter from a bucket
+    whose total reaches it.  If there are such buckets, they are counted too.  The
+    shuffles carry bucket totals and the terms of heavy buckets, not every term.
+    """
+    totals = stage(bucket_totals(terms))
+    marker = totals.where("bucket < 0").first()
+    n_docs = marker["total"] if marker else 0
+    named = totals.where("bucket >= 0")
+    heavy = named.orderBy(F.desc("total"), "bucket").limit(HEAVY_PER_TERM * max_features)
+    last = heavy.agg(F.min(F.struct((F.col("total")).alias("total"), (-F.col("bucket")).alias("minus"))).alias("m")).first()["m"]
+    if last is None:
+        return [], n_docs
+    # the buckets that were looked into: heavier than the last one, or as heavy with a smaller number
+    taken = (F.col("total") > last["total"]) | ((F.col("total") == last["total"]) & (F.col("bucket") <= -last["minus"]))
+    counted = stage(count_terms(terms, named.where(taken))).where(F.col("document_frequency") >= min_df)
+    order = [F.desc("corpus_frequency"), "term"]
+    rows = counted.orderBy(*order).limit(max_features).collect()
+    floor = rows[-1]["corpus_frequency"] if len(rows) == max_features else 0
+    missed = named.where(~taken & (F.col("total") >= floor))
+    if not missed.isEmpty():
+        more = count_terms(terms, missed).where(F.col("document_frequency") >= min_df)
+        rows = counted.unionByName(more).orderBy(*order).limit(max_features).collect()
+    idf = lambda df: float(np.log((n_docs + 1.0) / (df + 1.0)) + 1.0)
+    kept = [(r["term"], r["document_frequency"], r["corpus_frequency"], idf(r["document_frequency"])) for r in rows]
+    return sorted(kept), n_docs
+
+
+def _vectoriser(words: list[str], idf: list[float], carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weight = pa.array(words, pa.string()), np.array(idf)
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("tokens")).to_numpy(zero_copy_only=False)
+            ends, low = np.cumsum(sizes), 0
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BLOCK_TOKENS, "right")))
+                part = batch.slice(low, high - low)
+                idx, w, starts = _vectors(part.column("tokens"), sizes[low:high], known, weight)
+                lists = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x, pa.int32())) for x in (idx, w)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carry), *lists], names=[*carry, "idx", "w"])
+                low = high
+
+    return run
+
+
+def _vectors(tokens: pa.ListArray, sizes: np.ndarray, known: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term numbers and whole-number weights of some texts, flat, and where each text starts."""
+    flat = tokens.flatten()
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    pairs = pc.binary_join_element_wise(flat[:-1], flat[1:], " ") if len(flat) > 1 else flat[:0]
+    number = lambda a: pc.fill_null(pc.index_in(a, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    one, two = number(flat), number(pairs)
+    keep_one, keep_two = one >= 0, (two >= 0) & (doc[:-1] == doc[1:])[: len(two)]
+    keys = np.concatenate([doc[keep_one] * len(idf) + one[keep_one], doc[: len(two)][keep_two] * len(idf) + two[keep_two]])
+    keys, tf = np.unique(keys, return_counts=True)
+    doc, idx = np.divmod(keys, len(idf))
+    w = tf * idf[idx]
+    norm = np.sqrt(np.bincount(doc, weights=w * w, minlength=len(sizes)))
+    starts = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(sizes)))])
+    return idx, np.rint(w / norm[doc] * SCALE).astype(np.int64), starts
+
+
+def theme_points(tokens: DataFrame, vocab: list) -> DataFrame:
+    """M6 for the K-Means: ``idx array<int>``, the numbers of a text's terms in ``vocab`` (term, ..., idf), and ``w array<int>``, its L2-normalised weights times ``SCALE``."""
+    carry = [c for c in tokens.columns if c != "tokens"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema.fields if f.name != "tokens")
+    run = _vectoriser([r[0] for r in vocab], [r[-1] for r in vocab], carry)
+    return tokens.mapInArrow(run, f"{schema}, idx array<int>, w array<int>")
+
+
 def tfidf_features(terms: DataFrame, vocab_rows: list) -> DataFrame:
     """M6: L2-normalised TF-IDF sparse vectors in column ``features``.
 
@@ -169,49 +283,31 @@ def tfidf_features(terms: DataFrame, vocab_rows: list) -> DataFrame:
     return Normalizer(p=2.0, inputCol="_tfidf", outputCol="features").transform(weighted).drop("_tf", "_tfidf")
 
 
-def best_kmeans(
-    features: DataFrame,
-    k: int,
-    seed: int = 42,
-    n_init: int = 10,
-    max_iter: int = 300,
-    tol: float = 1e-4,
-    parallelism: int = 2,
-):
-    """M7: ``n_init`` K-Means fits with consecutive seeds; lowest training cost wins.
-
-    Each fit is a distributed Spark ML job; up to ``parallelism`` fits are
-    submitted concurrently from driver threads (as Spark's own model-selection
-    tools do), so their per-iteration scheduling overheads overlap.  Ties in
-    cost go to the lower seed, so the choice does not depend on timing.
-    """
+def cluster_means(assigned: DataFrame) -> DataFrame:
+    """A20 from vectors: ``cluster, idx, weight``, the mean TF-IDF of each term in each cluster."""
+    means = assigned.groupBy("cluster").agg(Summarizer.mean(F.col("features")).alias("_mean"))
+    return means.select("cluster", F.posexplode(vector_to_array("_mean")).alias("idx", "weight"))
 
-    def fit(i: int):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
-        model = km.fit(features)
-        return model.summary.trainingCost, i, model
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        results = list(pool.map(fit, range(n_init)))
-    return min(results, key=lambda r: (r[0], r[1]))[2]
+def cluster_sums(assigned: DataFrame) -> DataFrame:
+    """A20 from whole-number weights, as sums, which rank a cluster's terms alike."""
+    pairs = assigned.select("cluster", F.explode(F.arrays_zip("idx", "w")).alias("t"))
+    return pairs.groupBy("cluster", F.col("t.idx").alias("idx")).agg(F.sum(F.col("t.w").cast("long")).alias("weight"))
 
 
-def summarize_clusters(assigned: DataFrame, vocab_index: DataFrame, top_n: int = 8, sample_n: int = 8) -> DataFrame:
-    """M8 (A18-A20, W7, W8, P30) on ``assigned`` rows (cluster, features, ...)."""
-    # A18 + A20 in one aggregation: per-theme statistics and the mean TF-IDF
-    # vector (k rows of vocabulary width); W7 then ranks the centroid terms.
+def summarize_clusters(assigned: DataFrame, weights: DataFrame, vocab_index: DataFrame, top_n: int = 8, sample_n: int = 8) -> DataFrame:
+    """M8 (A18-A20, W7, W8, P30) on ``assigned`` rows (cluster, ...) and the term ``weights`` of each cluster."""
     stats = assigned.groupBy("cluster").agg(
         F.count(F.lit(1)).cast("long").alias("ticket_count"),
         F.avg("csat_score").alias("avg_csat"),
         F.avg(F.coalesce(F.col("sla_breach"), F.lit(False)).cast("double")).alias("sla_breach_rate"),
         F.avg((F.coalesce(F.col("transfers"), F.lit(0.0)) > 0).cast("double")).alias("transfer_rate"),
-        Summarizer.mean(F.col("features")).alias("_mean"),
     )
-    # The k statistic rows ride along the explode, so the aggregation runs once.
+    # The k statistic rows ride along the ranking; a term that no text of the cluster has weighs 0
     stat_cols = ["cluster", "ticket_count", "avg_csat", "sla_breach_rate", "transfer_rate"]
-    weights = stats.select(*stat_cols, F.posexplode(vector_to_array("_mean")).alias("idx", "weight"))
-    ranked_terms = weights.join(vocab_index, "idx").withColumn(
-        "_r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("weight"), F.desc("term")))
+    weighed = stats.crossJoin(F.broadcast(vocab_index)).join(weights, ["cluster", "idx"], "left")
+    ranked_terms = weighed.withColumn(
+        "_r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.coalesce("weight", F.lit(0)).desc(), F.desc("term")))
     ).filter(F.col("_r") <= top_n)
     themes = ranked_terms.groupBy(*stat_cols).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_r", "term"))), lambda s: s["term"]).alias("_terms")
@@ -252,6 +348,9 @@ def summarize_clusters(assigned: DataFrame, vocab_index: DataFrame, top_n: int =
     ).orderBy(F.desc("ticket_count"), "theme_id")
 
 
+TICKET_COLUMNS = ["ticket_id", "category", "csat_score", "sla_breach", "transfers"]
+
+
 def complaint_themes(
     df: DataFrame,
     n_clusters: int = 8,
@@ -260,33 +359,23 @@ def complaint_themes(
     min_df: int = 2,
     max_features: int = 5000,
     min_chars: int = 15,
-    reuse=None,
+    reuse: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """M1-M8.  ``df`` needs ticket_id, customer_message, agent_notes, category,
-    csat_score, sla_breach, transfers.  ``reuse`` materialises the feature
-    table once for the K-Means passes (default: ``caseflow.session.stage``).
+    csat_score, sla_breach, transfers.  ``reuse`` materialises the tokens, the
+    points and their clusters (default: ``caseflow.session.stage``).
     """
-    spark = df.sparkSession
-    texts = theme_text(df.select("ticket_id", "customer_message", "agent_notes", "category", "csat_score", "sla_breach", "transfers"), min_chars)
-    reuse = reuse or stage
-    # Tokens feed the vocabulary and the vectors.  They are several times as large
-    # as the texts, so they are made twice rather than kept; the vectors, which
-    # every K-Means pass reads, are staged.
-    terms = add_terms(texts)
-    # The vocabulary pass also counts the usable texts, which gives M1 without a
-    # separate pass: fewer than 10 usable texts (or no vocabulary) -> empty table.
-    vocab_rows = _vocabulary_idf_counted(terms, min_df, max_features).orderBy("term").select("term", "idf", "n_docs").collect()
-    if not vocab_rows or vocab_rows[0]["n_docs"] < 10:
+    spark, reuse = df.sparkSession, reuse or stage
+    tokens = staged_tokens(df, TICKET_COLUMNS, min_chars, reuse)
+    vocab, n_docs = heavy_vocabulary(with_bigrams(tokens.select("tokens")), min_df, max_features)
+    # M1: fewer than 10 usable texts (or no vocabulary) -> empty table
+    if not vocab or n_docs < 10:
         return spark.createDataFrame([], THEME_SCHEMA)
-    vocab_index = spark.createDataFrame([(i, r["term"]) for i, r in enumerate(vocab_rows)], "idx int, term string")
-
-    # Rows that are not usable are dropped after the checkpoint (a plan barrier),
-    # so the text clean is not re-run inside a pushed-down filter.
-    features = reuse(tfidf_features(terms, vocab_rows).drop("terms", "theme_text")).filter("usable").drop("usable")
-    k = max(2, min(n_clusters, vocab_rows[0]["n_docs"]))
-    model = best_kmeans(features, k, seed, n_init)
-    assigned = model.transform(features)
-    return summarize_clusters(assigned, vocab_index)
+    points = reuse(theme_points(tokens, vocab).withColumnRenamed("ticket_id", "id"))
+    centres = best_start(points, max(2, min(n_clusters, n_docs)), len(vocab), n_init, seed)
+    assigned = reuse(assign(points, centres).withColumnRenamed("id", "ticket_id"))
+    vocab_index = spark.createDataFrame([(i, r[0]) for i, r in enumerate(vocab)], "idx int, term string")
+    return summarize_clusters(assigned, cluster_sums(assigned), vocab_index)
 
 
 def theme_tfidf(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
@@ -309,17 +398,18 @@ def theme_summary(df: DataFrame, cluster: str, min_df: int = 2, max_features: in
 
     Clusters are numbered by the order of their names, from 0.
     """
-    texts = theme_text(df, min_chars)
-    vocab = _vocabulary_idf_counted(add_terms(texts), min_df, max_features).orderBy("term").select("term", "idf").collect()
-    index = texts.sparkSession.createDataFrame([(i, r["term"]) for i, r in enumerate(vocab)], "idx int, term string")
+    tokens = staged_tokens(df, list(dict.fromkeys([*TICKET_COLUMNS, cluster])), min_chars)
+    terms = with_bigrams(tokens)
+    kept, _ = heavy_vocabulary(terms.select("terms"), min_df, max_features)
+    index = df.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(kept)], "idx int, term string")
     names = df.select(F.col(cluster).alias("_name")).distinct()
     numbered = names.withColumn("cluster", F.row_number().over(Window.orderBy("_name")) - 1)
-    features = tfidf_features(add_terms(texts), vocab).where("usable")
-    assigned = features.join(numbered, features[cluster].eqNullSafe(numbered["_name"]))
-    return summarize_clusters(assigned, index)
+    features = tfidf_features(terms, [{"term": r[0], "idf": r[-1]} for r in kept]).drop("terms")
+    assigned = stage(features.join(numbered, features[cluster].eqNullSafe(numbered["_name"])))
+    return summarize_clusters(assigned, cluster_means(assigned), index)
 
 
 def theme_vocabulary(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
     """M2-M5 as a table: ``term, document_frequency, corpus_frequency, idf``."""
-    texts = theme_text(df.select("ticket_id", "customer_message", "agent_notes"), min_chars)
-    return vocabulary_idf(add_terms(texts), min_df, max_features)
+    kept, _ = heavy_vocabulary(with_bigrams(staged_tokens(df, [], min_chars)), min_df, max_features)
+    return df.sparkSession.createDataFrame(kept, "term string, document_frequency long, corpus_frequency long, idf double")

@@ -8,6 +8,7 @@ BIGINT, like the Spark side.
 
 from __future__ import annotations
 
+from caseflow.plans.theme_oracle import complaint_themes_sql
 from caseflow.fixed import DEFAULT_POLICY, ENGLISH_STOP_WORDS, ENRICHMENT_COLUMNS, EVIDENCE_LIMITS, THEME_LABEL_SEP, TICKET_COLUMNS, TIER1_TEAMS
 
 
@@ -486,6 +487,9 @@ SELECT CAST(st.theme_id AS BIGINT) AS theme_id, category, CAST(ticket_count AS B
   round(sla_breach_rate, 6) AS sla_breach_rate, round(transfer_rate, 6) AS transfer_rate, sample_ticket_ids,
   category || {_q(THEME_LABEL_SEP)} || top3 AS theme_label, top_terms
 FROM st JOIN tt ON st.theme_id = tt.theme_id JOIN si ON st.theme_id = si.theme_id"""
+    q["complaint_themes"] = complaint_themes_sql(docs_ctes, THEME_WEIGHTS)
+    q["theme_watchlist"] = f"""SELECT * FROM ({q['complaint_themes']})
+ORDER BY avg_csat ASC NULLS LAST, ticket_count DESC, theme_id LIMIT 20"""
     q["ticket_normalisation"] = f"WITH {SPELLED}\nSELECT ticket_id, CASE WHEN way < 10 THEN {_whole_minutes('instant')} END AS created_at FROM spelled"
     q["timestamp_parsing"] = f"""WITH {SPELLED}
 SELECT 'created_at' AS "column", CAST(count(*) FILTER (WHERE way <> 11) AS BIGINT) AS "values", CAST(count(*) FILTER (WHERE way = 10) AS BIGINT) AS unparsed FROM spelled"""
