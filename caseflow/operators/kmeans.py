@@ -15,7 +15,7 @@ tasks or starts: any engine that follows the rules below gets the same clusters.
   points stays.  A start ends when no centre moved by more than ``tol``, or after
   ``max_iter`` steps; the start of least cost wins, ties to the smaller number.
 
-Each step is one reading of the points for all starts that have not ended: the stacked
+Points are staged as blocks of plain buffers.  Each step is one reading of them for all starts that have not ended: the stacked
 centres (starts x k x terms, bounded by the parameters) are broadcast, a task keeps one sum
 per start and centre, and one row of each goes through a shuffle by (start, centre).
 """
@@ -33,67 +33,79 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseflow.session import stage
+
 SCALE = 2**20
-BLOCK = 40_000  # products of one block of points, for each centre
+BLOCK = 200_000  # weights of one block of points
 SEED_SCHEMA = "start int, race double, id string, idx array<int>, w array<int>"
 SUM_SCHEMA = "start int, cluster int, n long, cost decimal(38,0), sums binary"
 
 
 class Points:
-    """The vectors of one Arrow batch."""
-
-    def __init__(self, batch: pa.RecordBatch) -> None:
-        idx = batch.column("idx")
-        self.idx = idx.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        self.w = batch.column("w").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        self.sizes = pc.fill_null(pc.list_value_length(idx), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.ends = np.cumsum(self.sizes)
+    """Some sparse vectors, flat."""
+
+    def __init__(self, idx: np.ndarray, w: np.ndarray, sizes: np.ndarray) -> None:
+        self.idx, self.w, self.sizes = idx, w.astype(np.float64), sizes
+        self.starts = np.cumsum(sizes) - sizes
+        self.filled = np.flatnonzero(sizes)
         self.norms = self._by_point(self.w**2)
 
+    @classmethod
+    def of_lists(cls, batch: pa.RecordBatch) -> Points:
+        idx, w = batch.column("idx"), batch.column("w")
+        sizes = pc.fill_null(pc.list_value_length(idx), 0).to_numpy(zero_copy_only=False)
+        return cls(idx.flatten().to_numpy(zero_copy_only=False), w.flatten().to_numpy(zero_copy_only=False), sizes.astype(np.int64))
+
+    @classmethod
+    def of_blocks(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[Points]:
+        for batch in batches:
+            for row in zip(*(batch.column(c) for c in ("idx", "w", "sizes")), strict=True):
+                idx, w, sizes = (np.frombuffer(x.as_buffer(), dtype=np.int32) for x in row)
+                yield cls(idx, w, sizes.astype(np.int64))
+
     def _by_point(self, values: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self.sizes), *values.shape[1:]))
-        filled = np.flatnonzero(self.sizes)
-        if len(filled):
-            out[filled] = np.add.reduceat(values, (self.ends - self.sizes)[filled])
+        out = np.zeros(len(self.sizes))
+        if len(self.filled):
+            out[self.filled] = np.add.reduceat(values, self.starts[self.filled])
         return out
 
-    def blocks(self) -> Iterator[tuple[int, int]]:
-        """Ranges of points with about ``BLOCK`` weights."""
-        low = 0
-        while low < len(self.sizes):
-            start = self.ends[low] - self.sizes[low]
-            high = max(low + 1, int(np.searchsorted(self.ends, start + BLOCK, "right")))
-            yield low, high
-            low = high
-
     def distances(self, centres: np.ndarray) -> np.ndarray:
-        """``|c|^2 - 2 x.c`` of every point and column of ``centres(terms, m)``, exact."""
-        out = np.empty((len(self.sizes), centres.shape[1]))
-        norms = (centres**2).sum(axis=0)
-        for low, high in self.blocks():
-            a, b = self.ends[low] - self.sizes[low], self.ends[high - 1]
-            products = centres[self.idx[a:b]] * self.w[a:b, None]
-            dots = np.zeros((high - low, centres.shape[1]))
-            filled = np.flatnonzero(self.sizes[low:high])
-            if len(filled):
-                dots[filled] = np.add.reduceat(products, (self.ends - self.sizes)[low:high][filled] - a)
-            out[low:high] = norms - 2 * dots
+        """``|c|^2 - 2 x.c`` of every point and row of ``centres(m, terms)``, exact."""
+        out = np.empty((len(self.sizes), len(centres)))
+        for j, c in enumerate(centres):
+            out[:, j] = (c * c).sum() - 2 * self._by_point(c[self.idx] * self.w)
         return out
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of about ``BLOCK`` weights as plain buffers."""
+    for batch in batches:
+        points = Points.of_lists(batch)
+        w, ends, low = points.w.astype(np.int32), points.starts + points.sizes, 0
+        rows = []
+        while low < batch.num_rows:
+            start = points.starts[low]
+            high = max(low + 1, int(np.searchsorted(ends, start + BLOCK, "right")))
+            stop = ends[high - 1]
+            rows.append((points.idx[start:stop].astype(np.int32).tobytes(), w[start:stop].tobytes(), points.sizes[low:high].astype(np.int32).tobytes()))
+            low = high
+        columns = zip(*rows, strict=True) if rows else [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["idx", "w", "sizes"])
+
+
 def uniform(key: str | None, seed: int, step: int) -> float:
     digest = hashlib.md5(f"{'' if key is None else key}:{seed}:{step}".encode()).hexdigest()
     return (int(digest[:13], 16) + 0.5) / 2**52
 
 
 def _seeder(centres: list[np.ndarray], step: int, first_seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Each batch's best next centre for every start; ``centres[s]`` is (terms, step)."""
+    """Each batch's best next centre for every start; ``centres[s]`` is (step, terms)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points, ids = Points(batch), batch.column("id").to_pylist()
+            points, ids = Points.of_lists(batch), batch.column("id").to_pylist()
             out = []
             for s in range(len(centres)):
                 u = np.array([uniform(i, first_seed + s, step) for i in ids])
@@ -120,26 +132,26 @@ def _least(race: np.ndarray, ids: list[str | None]) -> list[int]:
 
 
 def first_centres(points: DataFrame, k: int, terms: int, n_init: int, seed: int = 42) -> np.ndarray:
-    """First centres ``(n_init, terms, k)``."""
-    chosen = np.zeros((n_init, terms, k))
+    """First centres ``(n_init, k, terms)``."""
+    chosen = np.zeros((n_init, k, terms))
     rows = points.select("id", "idx", "w")
     for step in range(k):
-        found = rows.mapInArrow(_seeder([c[:, :step] for c in chosen], step, seed), SEED_SCHEMA)
+        found = rows.mapInArrow(_seeder([c[:step] for c in chosen], step, seed), SEED_SCHEMA)
         best = found.groupBy("start").agg(F.min(F.struct("race", "id", "idx", "w")).alias("b")).collect()
         for r in best:
-            chosen[r["start"], r["b"]["idx"], step] = r["b"]["w"]
+            chosen[r["start"], step, r["b"]["idx"]] = r["b"]["w"]
     return chosen
 
 
 def _summer(centres: np.ndarray, starts: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A task's sums of the points of every centre of ``centres(starts, terms, k)``."""
-    m, terms, k = centres.shape
-    stacked = np.concatenate(list(centres), axis=1)
+    """A task's sums of the points of every centre of ``centres(starts, k, terms)``."""
+    m, k, terms = centres.shape
+    packed = centres.astype(np.int32).reshape(m * k, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, counts, costs = np.zeros((m, k * terms)), np.zeros((m, k), dtype=np.int64), [[0] * k for _ in range(m)]
-        for batch in batches:
-            points = Points(batch)
+        stacked = packed.astype(np.float64)
+        for points in Points.of_blocks(batches):
             near = points.distances(stacked).reshape(-1, m, k)
             own = near.argmin(axis=2)
             for s in range(m):
@@ -177,8 +189,8 @@ def _add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
 
 
 def lloyd(points: DataFrame, centres: np.ndarray, max_iter: int = 300, tol: float = 1e-4) -> tuple[np.ndarray, list[int]]:
-    """Final centres ``(starts, terms, k)`` from ``centres``, and the cost of each start at them."""
-    rows = points.select("idx", "w")
+    """Final centres ``(starts, k, terms)`` from ``centres``, and the cost of each start at them."""
+    rows = stage(points.select("idx", "w").mapInArrow(_pack, "idx binary, w binary, sizes binary"))
     centres = centres.copy()
     active, costs = list(range(len(centres))), [0] * len(centres)
     limit = math.floor((tol * SCALE) ** 2)
@@ -190,9 +202,9 @@ def lloyd(points: DataFrame, centres: np.ndarray, max_iter: int = 300, tol: floa
         for r in found:
             costs[r["start"]] += int(r["cost"])
             sums = np.frombuffer(r["sums"], dtype=np.int64)
-            moved[r["start"], :, r["cluster"]] = (2 * sums + r["n"]) // (2 * r["n"])
+            moved[r["start"], r["cluster"]] = (2 * sums + r["n"]) // (2 * r["n"])
         # the cost belongs to the centres that were read, so a start that ends keeps those
-        still = [s for s in active if ((moved[s] - centres[s]) ** 2).sum(axis=0).max() > limit]
+        still = [s for s in active if ((moved[s] - centres[s]) ** 2).sum(axis=1).max() > limit]
         if not still or step == max_iter:
             break
         for s in still:
@@ -204,19 +216,19 @@ def lloyd(points: DataFrame, centres: np.ndarray, max_iter: int = 300, tol: floa
 def _labeller(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cluster = Points(batch).distances(centres).argmin(axis=1) if batch.num_rows else []
+            cluster = Points.of_lists(batch).distances(centres).argmin(axis=1) if batch.num_rows else []
             yield batch.append_column("cluster", pa.array(cluster, pa.int32()))
 
     return run
 
 
 def assign(points: DataFrame, centres: np.ndarray) -> DataFrame:
-    """``points`` with ``cluster int``, the nearest of ``centres(terms, k)``."""
+    """``points`` with ``cluster int``, the nearest of ``centres(k, terms)``."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
     return points.mapInArrow(_labeller(centres), f"{schema}, cluster int")
 
 
 def best_start(points: DataFrame, k: int, terms: int, n_init: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> np.ndarray:
-    """Centres ``(terms, k)`` of the start with the least cost."""
+    """Centres ``(k, terms)`` of the start with the least cost."""
     centres, costs = lloyd(points, first_centres(points, k, terms, n_init, seed), max_iter, tol)
     return centres[costs.index(min(costs))]

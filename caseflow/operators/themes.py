@@ -35,7 +35,7 @@ from caseflow.session import stage
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 #: Buckets of the vocabulary's counts, and how many heavy ones are looked into first, for each term wanted.
-BUCKETS, HEAVY_PER_TERM = 2**20, 2
+BUCKETS, HEAVY_PER_TERM = 2**18, 4
 #: Tokens of one block of texts while vectors are built.
 BLOCK_TOKENS = 500_000
 
@@ -179,20 +179,25 @@ def vocabulary_idf(terms: DataFrame, min_df: int = 2, max_features: int = 5000)
     return _vocabulary_idf_counted(terms, min_df, max_features).drop("n_docs")
 
 
-def bucket_totals(terms: DataFrame) -> DataFrame:
-    """``bucket, total``: occurrences of the terms of each hash bucket; bucket -1 counts the documents."""
-    marked = F.concat(F.array(F.lit(-1).cast("long")), F.transform("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS))))
-    return terms.select(F.explode(marked).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("total"))
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
 
 
-def count_terms(terms: DataFrame, buckets: DataFrame) -> DataFrame:
+def bucket_totals(terms: DataFrame) -> tuple[np.ndarray, int]:
+    """Occurrences of the terms of each of the ``BUCKETS`` hash buckets, and the number of documents."""
+    marked = F.concat(F.array(F.lit(-1).cast("long")), F.transform("terms", _bucket))
+    counted = terms.select(F.explode(marked).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("total")).toArrow()
+    totals = np.zeros(BUCKETS + 1, dtype=np.int64)
+    totals[counted.column("bucket").to_numpy()] = counted.column("total").to_numpy()
+    return totals[:-1], int(totals[-1])
+
+
+def count_terms(terms: DataFrame, buckets: np.ndarray) -> DataFrame:
     """``term, document_frequency, corpus_frequency`` of the terms whose bucket is in ``buckets``."""
-    bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS))
-    once = F.struct(F.lit(0).alias("all"), F.lit(1).alias("doc"))
-    each = F.struct(F.lit(1).alias("all"), F.lit(0).alias("doc"))
-    tagged = lambda arr, tag: F.transform(arr, lambda t: F.struct(t.alias("term"), tag.alias("n")))
-    rows = terms.select(F.explode(F.concat(tagged(F.col("terms"), each), tagged(F.array_distinct("terms"), once))).alias("t")).select("t.term", "t.n.*")
-    named = rows.withColumn("bucket", bucket).join(buckets.select("bucket"), "bucket", "left_semi")
+    tagged = lambda arr, all_, doc: F.transform(arr, lambda t: F.struct(t.alias("term"), F.lit(all_).alias("all"), F.lit(doc).alias("doc")))
+    rows = terms.select(F.explode(F.concat(tagged(F.col("terms"), 1, 0), tagged(F.array_distinct("terms"), 0, 1))).alias("t")).select("t.*")
+    wanted = terms.sparkSession.createDataFrame(pa.table({"bucket": pa.array(buckets, pa.int64())}))
+    named = rows.withColumn("bucket", _bucket(F.col("term"))).join(F.broadcast(wanted), "bucket", "left_semi")
     return named.groupBy("term").agg(F.sum("doc").alias("document_frequency"), F.sum("all").alias("corpus_frequency"))
 
 
@@ -205,27 +210,22 @@ def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000
     whose total reaches it.  If there are such buckets, they are counted too.  The
     shuffles carry bucket totals and the terms of heavy buckets, not every term.
     """
-    totals = stage(bucket_totals(terms))
-    marker = totals.where("bucket < 0").first()
-    n_docs = marker["total"] if marker else 0
-    named = totals.where("bucket >= 0")
-    heavy = named.orderBy(F.desc("total"), "bucket").limit(HEAVY_PER_TERM * max_features)
-    last = heavy.agg(F.min(F.struct((F.col("total")).alias("total"), (-F.col("bucket")).alias("minus"))).alias("m")).first()["m"]
-    if last is None:
-        return [], n_docs
-    # the buckets that were looked into: heavier than the last one, or as heavy with a smaller number
-    taken = (F.col("total") > last["total"]) | ((F.col("total") == last["total"]) & (F.col("bucket") <= -last["minus"]))
-    counted = stage(count_terms(terms, named.where(taken))).where(F.col("document_frequency") >= min_df)
-    order = [F.desc("corpus_frequency"), "term"]
-    rows = counted.orderBy(*order).limit(max_features).collect()
+    totals, n_docs = bucket_totals(terms)
+    by_weight = np.argsort(-totals, kind="stable")
+    by_weight = by_weight[totals[by_weight] > 0]
+    taken, others = np.split(by_weight, [HEAVY_PER_TERM * max_features])
+
+    def top(buckets: np.ndarray) -> list:
+        kept = count_terms(terms, buckets).where(F.col("document_frequency") >= min_df)
+        return kept.orderBy(F.desc("corpus_frequency"), "term").limit(max_features).collect()
+
+    rows = top(taken)
     floor = rows[-1]["corpus_frequency"] if len(rows) == max_features else 0
-    missed = named.where(~taken & (F.col("total") >= floor))
-    if not missed.isEmpty():
-        more = count_terms(terms, missed).where(F.col("document_frequency") >= min_df)
-        rows = counted.unionByName(more).orderBy(*order).limit(max_features).collect()
+    missed = others[totals[others] >= floor]
+    if len(missed):
+        rows = sorted(rows + top(missed), key=lambda r: (-r["corpus_frequency"], r["term"].encode()))[:max_features]
     idf = lambda df: float(np.log((n_docs + 1.0) / (df + 1.0)) + 1.0)
-    kept = [(r["term"], r["document_frequency"], r["corpus_frequency"], idf(r["document_frequency"])) for r in rows]
-    return sorted(kept), n_docs
+    return sorted((r["term"], r["document_frequency"], r["corpus_frequency"], idf(r["document_frequency"])) for r in rows), n_docs
 
 
 def _vectoriser(words: list[str], idf: list[float], carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
