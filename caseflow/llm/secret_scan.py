@@ -62,7 +62,8 @@ ISSUED = {
     "slack": ("xox", re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}")),
     "stripe": ("k_live_", re.compile(r"[rs]k_live_[A-Za-z0-9]{16,}")),
     "google": ("AIza", re.compile(r"AIza[A-Za-z0-9_-]{35}")),
-    "jwt": ("eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
+    # only the first eyJ of a run can begin a token: what follows the run decides for all of them alike
+    "jwt": ("eyJ", re.compile(r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,})")),
     "private_key": ("PRIVATE KEY", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----")),
 }
 RANDOM = re.compile(rf"[A-Za-z0-9+/_-]{{{MIN_RANDOM_CHARS},}}={{0,2}}")
@@ -110,9 +111,10 @@ def method_matches(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[st
     for kind, (hint, pattern) in ISSUED.items():
         if hint in text:
             for m in pattern.finditer(text):
-                if free(m.start(), m.end()):
-                    insort(held, m.span())
-                    yield kind, m.start(), m.end(), m[0]
+                start, end = m.span(pattern.groups)  # the one group, if there is one
+                if free(start, end):
+                    insort(held, (start, end))
+                    yield kind, start, end, text[start:end]
     for m in RANDOM.finditer(text):
         if looks_random(m[0]) and free(m.start(), m.end()):
             yield "random", m.start(), m.end(), m[0]

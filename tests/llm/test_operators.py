@@ -169,6 +169,22 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert figures == {(9, 9, 9, False), (1, 2, 2, True)}
 
 
+def test_token_formats_take_linear_time():
+    import re
+    import time
+
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    pattern = secret_scan.ISSUED["jwt"][1]
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choice(["eyJ", "abcdefgh", ".", "e", "yJ", " ", "-", "eyJabcdefgh."]) for _ in range(rng.randrange(12)))
+        assert [m.span(1) for m in pattern.finditer(text)] == [m.span() for m in plain.finditer(text)]
+    for text in ("eyJ" * 350_000, "eyJabcdefgh." * 90_000, "-----BEGIN PRIVATE KEY-----ab" * 40_000, "AKIA" * 250_000, "token=" * 170_000):
+        started = time.perf_counter()
+        secret_scan.scan_text(text)
+        assert time.perf_counter() - started < 5
+
+
 def test_token_counts_equal_the_library(odd, repeated, empty):
     tok = Tokenizer.from_file(TOKENIZER)
     got = {r["doc_id"]: r for r in token_counts.count_tokens(odd, TOKENIZER).collect()}
