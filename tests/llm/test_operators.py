@@ -358,7 +358,30 @@ def test_decontamination(spark, odd, repeated, empty):
     assert found == {(i, i) for i in range(12)} | {(100 + i, i) for i in range(12)} | {(302, 4)}
     assert latent_decontam.contaminated(empty, benchmark).count() == 0
     assert latent_decontam.contaminated(odd, benchmark.limit(0)).count() == 0
-    latent_decontam.contaminated(repeated, benchmark).collect()
+    twice = frame(spark, [docs[0], docs[0], (None, docs[1][1], "en", "s")])
+    again = [(r["doc_id"], r["item_id"]) for r in latent_decontam.contaminated(twice, benchmark).collect()]
+    assert sorted(again, key=str) == [(0, 0), (0, 0), (None, 1)]
+    assert latent_decontam.contaminated(repeated, benchmark).count() == 0
+
+
+def test_decontamination_of_long_items(spark, monkeypatch):
+    """Items of 100 to 1,000 words, copied whole or with a tenth of the words dropped, in several blocks and groups."""
+    monkeypatch.setattr(latent_decontam, "BLOCK_PARTS", 24)
+    monkeypatch.setattr(latent_decontam, "GROUP_BLOCKS", 2)
+    monkeypatch.setattr(latent_decontam, "LONGEST", 800)
+    rng = random.Random(31)
+    sizes = [40, 100, 200, 220, 300, 600, 700, 1000]
+    items = [(i, ". ".join(prose(rng, 20) for _ in range(n // 20)) + ".") for i, n in enumerate(sizes)]
+
+    def planted(text, drop):
+        return prose(rng, 120) + " " + " ".join(w for w in text.split() if rng.random() >= drop) + " " + prose(rng, 120)
+
+    docs = [(i, planted(t, 0.0), "en", "s") for i, t in items] + [(100 + i, planted(t, 0.1), "en", "s") for i, t in items] + [(200 + i, prose(rng, 1500), "en", "s") for i in range(20)]
+    docs += [(300, prose(rng, 140_000) + " " + items[6][1] + " " + prose(rng, 9000), "en", "s")] * 2
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = latent_decontam.contaminated(frame(spark, docs).repartition(3), benchmark).collect()
+    got = sorted((r["doc_id"], r["item_id"]) for r in rows)
+    assert got == sorted([(i, i) for i, _ in items] + [(100 + i, i) for i, _ in items] + [(300, 6)] * 2)
 
 
 @settings(max_examples=60, deadline=None)
