@@ -1,11 +1,16 @@
 """Operator 3: main text of HTML pages by minimum-cut labelling.
 
 A page is cut into text blocks at its block elements.  A classifier gives each
-block a log-odds of being content, from cues of its ancestors (elements, roles,
-class and id words) and from its shape (length, share of linked text, sentence
-ends); the shape weights are learned from the blocks of at most ``FIT_PAGES`` pages
-of up to ``FIT_BYTES`` whose place is beyond doubt (inside ``article``/``main``, or inside ``nav``,
-``footer`` and the like).  The log-odds become terminal capacities: positive ones from
+block a log-odds of being content, a sum of finite terms:
+
+* its elements: inside ``nav``, ``footer`` and the like, inside ``article``, ``main`` or a header;
+* the class and id words of its elements, the strongest for and the strongest against;
+* its shape (length, share of linked text, sentence ends), at most ``SHAPE_LIMIT`` either way.
+
+The weights of words and shapes start from counts that stand in this module and are learned
+from the blocks of at most ``FIT_PAGES`` pages of up to ``FIT_BYTES`` that an element alone
+decides, whatever their classes say.  A class, form or role around more than ``WRAPPER_SHARE`` of a page's text
+is layout and says nothing.  The log-odds become terminal capacities: positive ones from
 the source, negative ones to the sink.  Adjacent blocks, and consecutive blocks of
 one container, are joined by smoothness edges that weaken with their distance in
 the DOM.  The minimum cut separates content from boilerplate.
@@ -29,6 +34,7 @@ import math
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,8 +43,11 @@ from pyspark.sql import functions as F
 from caseflow.llm.common import bounded_sample
 
 FIT_PAGES, FIT_BYTES = 2_000, 16_384
-STRONG, FAIR, SHAPE_LIMIT = 12.0, 4.0, 2.5
-ADJACENT, SIBLING = 1.2, 0.8  # smoothness of neighbours in the page and in a container
+#: Log-odds of elements: of nav and the like, of forms and roles, of articles, of text beside an article, of headers and headings in them.
+ELEMENT, FORM, ARTICLE, BESIDE, HEADER, HEADING = -4.0, -3.5, 2.0, -2.5, -3.5, 1.0
+WORD_LIMIT, SHAPE_LIMIT = 3.5, 2.5
+WRAPPER_SHARE = 0.6
+ADJACENT, SIBLING = 2.4, 1.6  # smoothness of neighbours in the page and in a container
 
 # HTML element names and common words of class and id attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,7 +55,8 @@ RAW = frozenset("script style textarea title noscript template iframe svg math x
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-BOILER_TAGS = frozenset("nav footer aside form button select option optgroup fieldset datalist dialog menu head object audio video canvas map".split())
+BOILER_TAGS = frozenset("nav footer aside button select option optgroup datalist menu head object audio video canvas map".split())
+FORM_TAGS = frozenset("form fieldset dialog".split())
 CONTENT_TAGS = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -60,14 +70,9 @@ COMMENT_WORDS = frozenset("comment comments commentlist commentary disqus reply
 HEADER_WORDS = frozenset(["header", "head"])
 CONTENT_WORDS = frozenset("article content main post entry story articlebody".split())
 LAYOUT_WORDS = frozenset("has with no layout wrapper wrap container grid row page site".split())
-#: At most this many characters of a quoted attribute value may hold a ``>``.
-MAX_QUOTED = 4096
-#: So many of the nearest block elements around a block count for distances in the DOM.
-MAX_PATH = 24
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]{0,%d}\"|'[^']{0,%d}'|[^>])*+)>" % (MAX_QUOTED, MAX_QUOTED), re.S
-)
+TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
+TAG_PART = re.compile(r"""=\s*+(["'])|>""")
 UNFINISHED = re.compile(r"<[a-zA-Z/!?]")  # a tag or comment that the page's end cuts off
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![^\s"'])(hidden)(?![^\s/>])""", re.S)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -75,53 +80,112 @@ SENTENCE_END = re.compile(r"[.!?…。！？](?:\s|$)")
 CUES = ("class", "id", "role", "hidden", "aria-hidden", "style", "itemprop")
 
 
-def element_cue(tag: str, attributes: str) -> str | None:
-    """What an element says about the text in it: article, content, boiler, comment or header."""
-    if tag in BOILER_TAGS:
-        return "boiler"
-    cue = "article" if tag in CONTENT_TAGS else "header" if tag == "header" else None
+#: Words that are cues, and the counts of content and boilerplate blocks they start from.
+WORD_PRIOR = {w: (0.1, 20.0) for w in BOILER_WORDS} | {w: (0.1, 20.0) for w in COMMENT_WORDS} | {w: (1.0, 20.0) for w in HEADER_WORDS} | {w: (20.0, 1.0) for w in CONTENT_WORDS}
+
+
+def element_cue(tag: str, attributes: str) -> tuple[str | None, frozenset]:
+    """What an element says about the text in it: its kind (boiler, form, article, header) and its cue words."""
+    kind = "boiler" if tag in BOILER_TAGS else "form" if tag in FORM_TAGS else "article" if tag in CONTENT_TAGS else "header" if tag == "header" else None
     if not attributes or not any(c in attributes.lower() for c in CUES):
-        return cue
+        return kind, frozenset()
     words: set[str] = set()
     for name, a, b, c, bare in ATTRIBUTE.findall(attributes):
         name, value = (name or bare).lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
-            return "boiler"
+            kind = kind or "form"
         if name == "role" and value.lower() in BOILER_ROLES:
-            return "boiler"
+            kind = kind or "form"
         if (name == "role" and value.lower() in CONTENT_TAGS) or (name == "itemprop" and value == "articleBody"):
-            cue = "article"
+            kind = "article"
         if name in ("class", "id"):
             words.update(w.lower() for w in WORD.findall(value))
     if tag in ("html", "body"):
-        return cue
-    if words & COMMENT_WORDS:
-        return "comment"
-    if tag in CONTENT_TAGS:
-        return cue
-    if words & BOILER_WORDS and not words & LAYOUT_WORDS:
-        return "boiler"
-    if words & HEADER_WORDS and not words & LAYOUT_WORDS and not words & CONTENT_WORDS:
-        return "header"
-    return cue or ("content" if words & CONTENT_WORDS and tag in ("div", "section", "td") else None)
+        return kind, frozenset()
+    if words & LAYOUT_WORDS or tag in CONTENT_TAGS:
+        words -= BOILER_WORDS | HEADER_WORDS
+    if words & CONTENT_WORDS:
+        words -= HEADER_WORDS
+    if tag not in ("div", "section", "td"):
+        words -= CONTENT_WORDS
+    return kind, frozenset(words.intersection(WORD_PRIOR))
 
 
-class Block:
-    __slots__ = ("text", "path", "cues", "tag", "linked")
+class Mark:
+    """An open element with a cue; marks are a chain up to the root."""
+
+    __slots__ = ("parent", "kind", "words", "begin", "size", "state")
+
+    def __init__(self, parent: Mark | None, kind: str | None, words: frozenset, begin: int):
+        self.parent, self.kind, self.words, self.begin, self.size = parent, kind, words, begin, 0
+        self.state: tuple[frozenset, frozenset] | None = None
+
+
+NOTHING = (frozenset(), frozenset())
 
-    def __init__(self, text: str, path: tuple[int, ...], cues: frozenset, tag: str, linked: int):
-        self.text, self.path, self.cues, self.tag, self.linked = text, path, cues, tag, linked
+
+def settle(mark: Mark | None, most: float) -> tuple[frozenset, frozenset]:
+    """Kinds and words of a mark and all above it; what wraps more than ``most`` characters says nothing, but for elements."""
+    todo = []
+    while mark is not None and mark.state is None:
+        todo.append(mark)
+        mark = mark.parent
+    state = mark.state if mark is not None else NOTHING
+    for m in reversed(todo):
+        kinds, words = state
+        wraps = m.size > most
+        if m.kind and not (wraps and m.kind == "form"):
+            kinds = kinds | {m.kind}
+        if m.words:
+            words = words | ((m.words & CONTENT_WORDS) if wraps else m.words)
+        m.state = state = (kinds, words)
+    return state
+
+
+class Block:
+    __slots__ = ("text", "gap", "holders", "mark", "tag", "linked", "kinds", "words")
+
+    def __init__(self, text: str, gap: int, holders: tuple, mark: Mark | None, tag: str, linked: int):
+        self.text, self.gap, self.holders, self.mark, self.tag, self.linked = text, gap, holders, mark, tag, linked
+        self.kinds, self.words = NOTHING
+
+
+class Tags:
+    """Ends of start tags in one page: quoted values of any length hide a ``>``."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.unclosed: set[str] = set()  # quotes that nothing closes any more
+        self.plain = False  # some tag never ended, so quotes hide nothing
+
+    def end(self, at: int) -> int:
+        """The place after the tag whose name ends at ``at``, or -1."""
+        start = at
+        while not self.plain:
+            m = TAG_PART.search(self.page, at)
+            if m is None:
+                self.plain = True
+            elif m[1] is None:
+                return m.end()
+            elif m[1] in self.unclosed or (close := self.page.find(m[1], m.end())) < 0:
+                self.unclosed.add(m[1])
+                at = m.end()
+            else:
+                at = close + 1
+        return self.page.find(">", start) + 1 or -1
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order, with the numbers of their ancestors."""
+    """The text blocks of a page in order, with the cues of their elements."""
     out: list[Block] = []
-    stack: list[tuple[str, int, str | None]] = []
-    open_tags: Counter = Counter()  # of the stack, and its cues
-    open_cues: Counter = Counter()
+    stack: list[tuple[str, int, Mark | None]] = []
+    open_tags: Counter = Counter()  # of the stack
     near: list[int] = []  # numbers of the open block elements
     parts: list[str] = []
-    linked = serial = 0
+    tags = Tags(page)
+    top: Mark | None = None
+    linked = serial = total = 0
+    depth_then = lowest = 0  # of the last block, and since then
     last = page.rfind(">") + 1  # no tag ends after it
     tail = UNFINISHED.search(page, last)
     at, size = 0, tail.start() if tail else len(page)
@@ -133,23 +197,29 @@ def blocks_of(page: str) -> list[Block]:
             linked += len(text)
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, total, depth_then, lowest
         if parts:
             text = " ".join(html_text.unescape("".join(parts)).split())
             if text:
-                cues = frozenset(c for c, n in open_cues.items() if n)
                 tag = next((t for t, _, _ in reversed(stack) if t not in INLINE), "")
-                out.append(Block(text, tuple(near[-MAX_PATH:]), cues, tag, min(linked, len(text))))
+                gap = depth_then + len(near) - 2 * min(lowest, len(near))
+                out.append(Block(text, gap, tuple(near[-2:-4:-1]), top, tag, min(linked, len(text))))
+                depth_then = lowest = len(near)
+                total += len(text)
             parts.clear()
         linked = 0
 
     def close(to: int) -> None:
-        for tag, _, cue in stack[to:]:
+        nonlocal top, lowest
+        for tag, _, mark in reversed(stack[to:]):
             open_tags[tag] -= 1
-            open_cues[cue] -= cue is not None
+            if mark is not None:
+                mark.size = total - mark.begin
+                top = mark.parent
             if tag not in INLINE:
                 near.pop()
         del stack[to:]
+        lowest = min(lowest, len(near))
 
     while at < size:
         m = TOKEN.search(page, at, size) if at < last else None
@@ -163,11 +233,14 @@ def blocks_of(page: str) -> list[Block]:
             if m[0].startswith("<![CDATA["):
                 add(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
-        tag = m[2].lower()
+        if (end := tags.end(at)) < 0:
+            add(page[m.start() : size])
+            break
+        tag, attributes, at = m[2].lower(), page[at : end - 1], end
         if tag in RAW and not m[1]:
-            if not m[3].endswith("/") or tag not in ("svg", "math"):
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+            if not attributes.endswith("/") or tag not in ("svg", "math"):
+                found = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                at = found.end() if found else size
             continue
         if tag == "br":
             add(" ")
@@ -188,13 +261,18 @@ def blocks_of(page: str) -> list[Block]:
             if not inline and (to := implied_end(tag, stack, open_tags)) is not None:
                 close(to)
             serial += 1
-            cue = element_cue(tag, m[3])
-            stack.append((tag, serial, cue))
+            kind, words = element_cue(tag, attributes)
+            mark = None
+            if kind or words:
+                top = mark = Mark(top, kind, words, total)
+            stack.append((tag, serial, mark))
             open_tags[tag] += 1
-            open_cues[cue] += cue is not None
             if not inline:
                 near.append(serial)
     flush()
+    close(0)
+    for block in out:
+        block.kinds, block.words = settle(block.mark, WRAPPER_SHARE * total)
     return out
 
 
@@ -225,27 +303,34 @@ def shape(block: Block) -> tuple[str, ...]:
     return (
         f"length{min(int(math.log2(words + 1)), 7)}",
         f"links{0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.7 else 3}",
-        f"ends{min(len(SENTENCE_END.findall(block.text[:4000])), 3)}",
+        f"ends{sum(1 for _ in islice(SENTENCE_END.finditer(block.text), 3))}",
         f"tag_{block.tag if block.tag in ('p', 'li', 'td', 'div', 'pre', 'blockquote') or block.tag in HEADINGS else 'other'}",
     )
 
 
-def structure(block: Block, has_article: bool) -> float:
-    """Log-odds from the ancestors; negative cues outweigh positive ones.
+def certain(block: Block) -> bool | None:
+    """Whether an element alone makes the block content, or boilerplate."""
+    if "boiler" in block.kinds:
+        return False
+    if block.kinds == {"article"} and not block.words & (BOILER_WORDS | COMMENT_WORDS):
+        return True
+    return None
+
+
+def structure(block: Block, has_article: bool, weights: dict[str, float]) -> float:
+    """Log-odds from the elements around a block and their words.
 
     ``has_article``: the page has text in an article element, so text outside is
     less likely to be content, whatever the names of its classes.
     """
-    cues = block.cues
-    if "boiler" in cues or "comment" in cues:
-        return -STRONG
-    if "header" in cues:
-        return STRONG if cues & {"article", "content"} and block.tag in HEADINGS else -STRONG
-    if "article" in cues:
-        return STRONG
-    if has_article:
-        return -FAIR
-    return STRONG if "content" in cues else 0.0
+    kinds, words = block.kinds, [weights[w] for w in block.words]
+    odds = min([0.0, *words]) + max([0.0, *words])
+    comment = bool(block.words & COMMENT_WORDS)
+    inside = "article" in kinds and not comment
+    odds += (ELEMENT if "boiler" in kinds else 0.0) + (FORM if "form" in kinds else 0.0) + (ARTICLE if inside else 0.0)
+    if "header" in kinds:
+        odds += HEADING if block.tag in HEADINGS and (inside or block.words & CONTENT_WORDS) else HEADER
+    return odds + (BESIDE if has_article and not inside else 0.0)
 
 
 #: Shape weights before any page was seen, as (content, boilerplate) blocks.
@@ -257,33 +342,33 @@ PRIOR = {
 }
 
 
-def learn_shapes(df: DataFrame, html_col: str, fit_pages: int = FIT_PAGES) -> dict[str, float]:
-    """Log-odds per shape feature, from certain blocks of a bounded sample of pages."""
+def learn(df: DataFrame, html_col: str, fit_pages: int = FIT_PAGES) -> dict[str, float]:
+    """Log-odds per shape feature and cue word, from certain blocks of a bounded sample of pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for value in batch.column(0):
                 for b in blocks_of(value.as_py() or ""):
-                    side = structure(b, False)
-                    if abs(side) >= STRONG:
-                        seen.update((f, side > 0) for f in shape(b))
+                    if (side := certain(b)) is not None:
+                        seen.update((f, side) for f in (*shape(b), *b.words))
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in seen], pa.string()), pa.array([c for _, c in seen], pa.bool_()), pa.array(list(seen.values()), pa.int64())], names=["feature", "content", "n"])
 
     sample = bounded_sample(df, html_col, fit_pages, FIT_BYTES)
     pages = df.sparkSession.createDataFrame([(x,) for x in sample], "_html string")
     rows = pages.mapInArrow(run, "feature string, content boolean, n long").groupBy("feature", "content").agg(F.sum("n").alias("n")).collect()
-    counts = {f: [float(a), float(b)] for f, (a, b) in PRIOR.items()}
+    counts = {f: [float(a), float(b)] for f, (a, b) in (PRIOR | WORD_PRIOR).items()}
     for r in rows:
         counts[r["feature"]][0 if r["content"] else 1] += r["n"]
-    # kinds of features, so that each feature's odds are relative to its kind's
-    kind = lambda f: f.rstrip("0123456789") if not f.startswith("tag_") else "tag"
+    # kinds of features, so that each shape's odds are relative to its kind's
+    kind = lambda f: "tag" if f.startswith("tag_") else f.rstrip("0123456789")
     total: dict[str, list[float]] = {}
-    for f, (a, b) in counts.items():
+    for f in PRIOR:
         t = total.setdefault(kind(f), [0.0, 0.0])
-        t[0] += a
-        t[1] += b
-    return {f: math.log(a / total[kind(f)][0]) - math.log(b / total[kind(f)][1]) for f, (a, b) in counts.items()}
+        t[0] += counts[f][0]
+        t[1] += counts[f][1]
+    odds = {f: math.log(counts[f][0] / total[kind(f)][0]) - math.log(counts[f][1] / total[kind(f)][1]) for f in PRIOR}
+    return odds | {w: min(max(math.log(counts[w][0] / counts[w][1]), -WORD_LIMIT), WORD_LIMIT) for w in WORD_PRIOR}
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
@@ -291,15 +376,12 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     out, last_in = [], {}
     for i, b in enumerate(blocks):
         if i:
-            p, q = blocks[i - 1].path, b.path
-            common = len(set(p).intersection(q))
-            out.append((i - 1, i, ADJACENT / (1 + len(p) + len(q) - 2 * common)))
-        for up in (2, 3):
-            if len(b.path) >= up:
-                container = (up, b.path[-up])
-                if (j := last_in.get(container)) is not None and j < i - 1:
-                    out.append((j, i, SIBLING / up))
-                last_in[container] = i
+            out.append((i - 1, i, ADJACENT / (1 + b.gap)))
+        for up, holder in enumerate(b.holders, 2):
+            container = (up, holder)
+            if (j := last_in.get(container)) is not None and j < i - 1:
+                out.append((j, i, SIBLING / up))
+            last_in[container] = i
     return out
 
 
@@ -392,11 +474,11 @@ def min_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool
 
 
 def block_odds(blocks: list[Block], weights: dict[str, float]) -> list[float]:
-    has_article = any("article" in b.cues and structure(b, True) > 0 for b in blocks)
+    has_article = any(certain(b) for b in blocks)
     out = []
     for b in blocks:
         form = sum(weights.get(f, 0.0) for f in shape(b))
-        out.append(structure(b, has_article) + min(max(form, -SHAPE_LIMIT), SHAPE_LIMIT))
+        out.append(structure(b, has_article, weights) + min(max(form, -SHAPE_LIMIT), SHAPE_LIMIT))
     return out
 
 
@@ -408,7 +490,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 def extract_main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(id, url, text, n_chars long)`` for every page."""
-    weights = df.sparkSession.sparkContext.broadcast(learn_shapes(df, html_col))
+    weights = df.sparkSession.sparkContext.broadcast(learn(df, html_col))
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -127,6 +127,63 @@ def test_html_blocks_and_cut(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def paragraphs(n, tag="p"):
+    return "".join(f"<{tag}>Paragraph {i} tells a little more about the subject, which is a long story. It has a second sentence as well.</{tag}>" for i in range(n))
+
+
+def prior_weights():
+    """The weights before any page is seen."""
+    odds = {w: max(min(mincut_html.math.log(a / b), mincut_html.WORD_LIMIT), -mincut_html.WORD_LIMIT) for w, (a, b) in mincut_html.WORD_PRIOR.items()}
+    return odds | {f: mincut_html.math.log(a / b) for f, (a, b) in mincut_html.PRIOR.items()}
+
+
+def test_class_words_do_not_veto_an_article():
+    weights, nav, foot = prior_weights(), "<nav><a href=/>Home</a> <a href=/b>News</a></nav>", "<footer>Rights reserved</footer>"
+    pages = [
+        f'{nav}<article><section class="market share">{paragraphs(3)}</section></article>{foot}',
+        f'{nav}<article><h1>Title</h1>{paragraphs(2)}<div class="head-injury">{paragraphs(2)}</div></article>{foot}',
+        f'<div class="menu"><a href=/>Home</a></div><div id="content"><div class="social-history">{paragraphs(3)}</div></div>{foot}',
+        f'<form id="aspnetForm"><div class="nav"><a href=/>Home</a></div>{paragraphs(3)}<div class="footer">Rights reserved</div></form>',
+        f'<article><p data-state="{"x" * 5000} > 3 then sidebar text">Paragraph 0 is here, and it is long enough to read. Twice.</p>{paragraphs(2)}</article>',
+        f'<div class="share-price">{paragraphs(3)}</div><div class="share"><a href=/s>Share</a></div>',
+    ]
+    for page in pages:
+        text = mincut_html.main_text(f"<html><body>{page}</body></html>", weights)
+        assert text.count("second sentence") == page.count("second sentence") and "Paragraph 0" in text
+        assert not any(x in text for x in ("Home", "Rights", "sidebar", "Share")), text
+
+
+def test_the_cut_changes_labels():
+    """A short line between paragraphs stays with them; a list of links goes."""
+    weights = prior_weights()
+    page = f"<body><div>{paragraphs(2)}<div>So it went</div>{paragraphs(2)}</div><ul>" + "<li><a href=/x>Item to click</a></li>" * 4 + "</ul></body>"
+    blocks = mincut_html.blocks_of(page)
+    odds = mincut_html.block_odds(blocks, weights)
+    labels = mincut_html.min_cut(odds, mincut_html.edges_of(blocks))
+    assert any((o > 0) != keep for o, keep in zip(odds, labels, strict=True))
+    text = mincut_html.main_text(page, weights)
+    assert "So it went" in text and text.count("second sentence") == 4 and "click" not in text
+
+
+def test_html_odd_pages(spark):
+    schema = "page_id long, url string, html string, text string, _html string, n_chars string"
+    page = f"<article>{paragraphs(2)}</article><div class=ad>Buy this now</div>"
+    rows = [(1, "u", page, "x", "x", "x")] * 2 + [(None, None, page, "x", "x", "x"), (2, "v", f"<article>{paragraphs(20_000)}</article>", None, None, None)]
+    got = mincut_html.extract_main_text(spark.createDataFrame(rows, schema)).collect()
+    assert len(got) == 4 and all(r["text"].startswith("Paragraph 0") and "Buy" not in r["text"] for r in got)
+    assert max(r["n_chars"] for r in got) == len(paragraphs(20_000, "p").replace("<p>", "").replace("</p>", " ")) - 1
+    assert mincut_html.extract_main_text(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_html_takes_linear_time():
+    import time
+
+    for page in ('<x a=">"' * 100_000, "<div class=ad>" * 20_000 + "x", '<a b="' * 100_000 + ">", "<p>a</p>" * 50_000, "<a b='" * 50_000 + '<i c="' * 50_000):
+        started = time.perf_counter()
+        mincut_html.main_text(page, prior_weights())
+        assert time.perf_counter() - started < 20
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.floats(-3, 3), min_size=1, max_size=9), st.data())
 def test_min_cut_is_minimal(odds, data):
