@@ -39,6 +39,12 @@ DEFAULT_TIMESTAMP_FORMATS = (
 )
 
 
+#: The same with the day first in slashed dates.
+DAY_FIRST_FORMATS = tuple(f.replace("M/d/yyyy", "d/M/yyyy") for f in DEFAULT_TIMESTAMP_FORMATS)
+#: A slashed date that ends with its year; its first two numbers tell the order if one is above 12.
+SLASHED_RE = r"^(\d{1,2})/(\d{1,2})/\d{4}(?!\d)"
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

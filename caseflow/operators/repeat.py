@@ -31,12 +31,17 @@ _BUCKET = "_time_bucket"
 DEFAULT_BUCKET_SECONDS = 3600
 
 
+def in_reading_order(contacts: DataFrame) -> DataFrame:
+    """By customer and time; contacts of one instant by id, a missing one last."""
+    return contacts.orderBy("customer_id", "created_at", F.asc_nulls_last("ticket_id"))
+
+
 def repeat_contacts(df: DataFrame, window_days: float = 7.0, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Columns: ticket_id, customer_id, created_at, category, order_id,
     prior_contact_at, days_since_prior_contact, repeat_contact_7d.
 
     Rows without customer or creation time are left out (F2).  The output is
-    not sorted; order by (customer_id, created_at, ticket_id) when presenting.
+    not sorted; see :func:`in_reading_order`.
     """
     seconds = F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col("created_at"))
     x = (

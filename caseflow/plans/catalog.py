@@ -17,8 +17,10 @@ from caseflow.fixed import ENRICHMENT_COLUMNS, EVIDENCE_TICKET_COLUMNS, TICKET_C
 from caseflow.functions.columns import clean_text
 from caseflow.operators import themes as th
 from caseflow.operators.goal import baseline_split, business_goal
-from caseflow.operators.normalize import normalize_tickets, unparsed_timestamps
+from caseflow.operators.normalize import date_orders, normalize_tickets, unparsed_timestamps
+from caseflow.operators.position import with_position
 from caseflow.operators.quality import canonical_by_source, raw_by_source
+from caseflow.operators.repeat import in_reading_order
 from caseflow.plans import snapshot
 from caseflow.plans.pipeline import PipelineResult, from_driver_tables, from_edge_tables
 from caseflow.session import stage
@@ -67,6 +69,14 @@ def _timestamp_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unparsed_timestamps(fixtures.spelled_tickets(spark, sf_dir))
 
 
+def _date_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return date_orders(fixtures.ordered_date_tickets(spark, sf_dir))
+
+
+def _date_order_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize_tickets(fixtures.ordered_date_tickets(spark, sf_dir)).select("ticket_id", "created_at", "first_response_at", "resolved_at")
+
+
 def document_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX4 tickets with the P6 text clean applied."""
     d = fixtures.document_tickets(spark, sf_dir)
@@ -130,6 +140,14 @@ def _evidence_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.evidence_parts(_evidence(spark, sf_dir, None))
 
 
+def _evidence_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(snapshot.evidence_values(_evidence(spark, sf_dir, None)))
+
+
+def _order_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_position(th.complaint_themes(document_tickets(spark, sf_dir)).select("theme_id", "ticket_count"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     board = [*BOARD, "ticket_id", "sla_breach", "csat_score"]
     return {
@@ -160,17 +178,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "text_clean": _text_clean,
         "ticket_normalisation": _ticket_normalisation,
         "timestamp_parsing": _timestamp_parsing,
+        "date_orders": _date_orders,
+        "date_order_parsing": _date_order_parsing,
         "edge_canonical": _edge(lambda r: r.tickets.select(*ENRICHED_COLUMNS[:21])),
         "edge_repeat": _edge(lambda r: r.repeat_contacts, REPEAT),
         "edge_leaderboard": _edge(lambda r: r.leaderboard, board),
         "edge_quality": _edge(lambda r: r.quality),
         "edge_goal": _edge(lambda r: r.business_goal, [*OPPORTUNITY, *WEEKLY]),
         "edge_sample": _edge(lambda r: snapshot.ticket_sample(r.tickets, 12)),
+        "order_weekly": _on(lambda r: with_position(r.weekly_metrics.select("week_start"))),
+        "order_channel": _on(lambda r: with_position(r.channel_metrics.select("channel", "tickets"))),
+        "order_category": _on(lambda r: with_position(r.category_metrics.select("category", "tickets"))),
+        "order_repeat": _on(lambda r: with_position(in_reading_order(r.repeat_contacts).select("customer_id", "created_at", "ticket_id")), REPEAT),
+        "order_opportunities": _on(lambda r: with_position(r.opportunities.select("opportunity")), OPPORTUNITY),
+        "order_leaderboard": _on(lambda r: with_position(r.leaderboard.select("resolution_week_start", "tickets_closed", "agent_id")), board),
+        "order_themes": _order_themes,
         "theme_vocabulary": _theme_vocabulary,
         "theme_tfidf": _theme_tfidf,
         "theme_summary": _theme_summary,
         "complaint_themes": _complaint_themes,
         "theme_watchlist": _theme_watchlist,
         "evidence_parts": _evidence_parts,
+        "evidence_values": _evidence_values,
         "evidence_pack": _evidence_pack,
     }

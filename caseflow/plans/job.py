@@ -15,7 +15,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from caseflow.functions.columns import DEFAULT_TIMESTAMP_FORMATS, week_start
+from caseflow.functions.columns import week_start
 from caseflow.operators.goal import goal_as_dict
 from caseflow.operators.quality import quality_as_dict
 from caseflow.operators.themes import complaint_themes
@@ -46,7 +46,7 @@ def repeat_contacts_by_week(result: PipelineResult):
 
 
 def run(
-    spark: SparkSession, data_dir: str, policy_path: str | None, output_dir: str, fmt: str = "parquet", timestamp_formats: tuple[str, ...] = DEFAULT_TIMESTAMP_FORMATS
+    spark: SparkSession, data_dir: str, policy_path: str | None, output_dir: str, fmt: str = "parquet", timestamp_formats: tuple[str, ...] | None = None
 ) -> dict:
     policy = Policy.from_file(policy_path, spark) if policy_path else Policy.default()
     try:
@@ -59,6 +59,7 @@ def run(
         write_table(repeat_contacts_by_week(result), f"{out}/repeat_contacts_proxy", fmt, ["week_start"], ["customer_id", "created_at", "ticket_id"])
         quality, goal = reports(result)
         quality["timestamp_parsing"] = {r["column"]: {"values": r["values"], "unparsed": r["unparsed"]} for r in result.unparsed.collect()}
+        quality["timestamp_date_order"] = {r["column"]: r["date_order"] for r in result.date_orders.collect()}
         write_json_report(spark, quality, f"{out}/data_quality.json")
         write_json_report(spark, goal, f"{out}/business_goal.json")
     finally:
@@ -76,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--timestamp-format", action="append", help="a Spark datetime pattern, tried after the ISO spellings; may be repeated")
     args = parser.parse_args(argv)
     spark = get_spark(args.master)
-    formats = tuple(args.timestamp_format or DEFAULT_TIMESTAMP_FORMATS)
+    formats = tuple(args.timestamp_format) if args.timestamp_format else None
     summary = run(spark, args.data_dir, args.policy, args.output_dir, args.format, formats)
     print(json.dumps(summary, indent=2, default=str, ensure_ascii=False))
 

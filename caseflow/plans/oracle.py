@@ -8,8 +8,9 @@ BIGINT, like the Spark side.
 
 from __future__ import annotations
 
+from caseflow.plans.evidence_oracle import evidence_values_sql
 from caseflow.plans.theme_oracle import complaint_themes_sql
-from caseflow.fixed import DEFAULT_POLICY, ENGLISH_STOP_WORDS, ENRICHMENT_COLUMNS, EVIDENCE_LIMITS, THEME_LABEL_SEP, TICKET_COLUMNS, TIER1_TEAMS
+from caseflow.fixed import DEFAULT_POLICY, ENGLISH_STOP_WORDS, ENRICHMENT_COLUMNS, EVIDENCE_LIMITS, EVIDENCE_TICKET_COLUMNS, THEME_LABEL_SEP, TICKET_COLUMNS, TIER1_TEAMS
 
 
 def _q(s: str) -> str:
@@ -211,6 +212,11 @@ SPELLED = f"""
 spelled AS (
   SELECT 'T' || o_orderkey AS ticket_id, o_orderkey % 12 AS way, {_dmin('o_orderdate', '(o_orderkey * 37) % 1440')} AS instant FROM orders)"""
 
+DATE_ORDERS = f"""
+dated AS (
+  SELECT 'T' || o_orderkey AS ticket_id, o_orderkey AS k, {_dmin('o_orderdate', '(o_orderkey * 37) % 1440')} AS meant,
+    {_dmin("date_trunc('month', o_orderdate)", '(o_orderkey % 12) * 1440 + (o_orderkey * 37) % 1440')} AS low FROM orders)"""
+
 THEME_WEIGHTS = """
 n_docs AS (SELECT count(*) AS n FROM usable),
 idf AS (SELECT term, ln(CAST(1 + n AS DOUBLE) / (1 + document_frequency)) + 1 AS idf FROM vocab, n_docs),
@@ -493,6 +499,16 @@ ORDER BY avg_csat ASC NULLS LAST, ticket_count DESC, theme_id LIMIT 20"""
     q["ticket_normalisation"] = f"WITH {SPELLED}\nSELECT ticket_id, CASE WHEN way < 10 THEN {_whole_minutes('instant')} END AS created_at FROM spelled"
     q["timestamp_parsing"] = f"""WITH {SPELLED}
 SELECT 'created_at' AS "column", CAST(count(*) FILTER (WHERE way <> 11) AS BIGINT) AS "values", CAST(count(*) FILTER (WHERE way = 10) AS BIGINT) AS unparsed FROM spelled"""
+    # the day-first column elects its order; of the few month-first values those stay that read as day first, too
+    swapped = "make_timestamp(year(meant), day(meant), month(meant), hour(meant), minute(meant), 0)"
+    q["date_order_parsing"] = f"""WITH {DATE_ORDERS}
+SELECT ticket_id, CASE WHEN k % 50 <> 1 THEN {_whole_minutes('meant')} WHEN day(meant) <= 12 THEN {swapped} END AS created_at,
+  {_whole_minutes('low')} AS first_response_at, {_whole_minutes('meant')} AS resolved_at FROM dated"""
+    q["date_orders"] = f"""WITH {DATE_ORDERS}
+SELECT 'created_at' AS "column", count(*) AS slashed, count(*) FILTER (WHERE k % 50 <> 1 AND day(meant) > 12) AS day_first,
+  count(*) FILTER (WHERE k % 50 = 1 AND day(meant) > 12) AS month_first, 'day first' AS date_order FROM dated
+UNION ALL SELECT 'first_response_at', count(*), 0, 0, 'ambiguous' FROM dated
+UNION ALL SELECT 'resolved_at', count(*), 0, count(*) FILTER (WHERE day(meant) > 12), 'month first' FROM dated"""
     for name, body, doubles in (
         ("edge_canonical", "SELECT * FROM canonical", ["transfers", "csat_score", "refund_amount_inr"]),
         ("edge_repeat", "SELECT * FROM repeat", ["days_since_prior_contact"]),
@@ -510,4 +526,22 @@ SELECT 'created_at' AS "column", CAST(count(*) FILTER (WHERE way <> 11) AS BIGIN
         )
     )
     q["evidence_parts"] = _rounded(parts, [])
+    q["evidence_values"] = evidence_values_sql(PIPELINE, {
+        "weekly_metrics": ("SELECT * FROM weekly", "week_start"),
+        "opportunities": ("SELECT * FROM opportunities", "modeled_exposure_inr DESC, opportunity"),
+        "channel_metrics": (_channel_like("channel"), "tickets DESC, channel ASC NULLS FIRST"),
+        "category_metrics": (_channel_like("category"), "tickets DESC, category ASC NULLS FIRST"),
+        "tier1_leaderboard_latest_weeks": ("SELECT * FROM leaderboard", "resolution_week_start DESC, tickets_closed DESC, agent_id ASC NULLS FIRST, name ASC NULLS FIRST, effective_team ASC NULLS FIRST"),
+        "ticket_sample": (f"SELECT {', '.join(EVIDENCE_TICKET_COLUMNS)} FROM enriched", "ticket_id ASC NULLS LAST"),
+    }, _QUALITY_BODY, GOAL_BODY)
+    for name, body, keys, order in (
+        ("weekly", "SELECT * FROM weekly", "week_start", "week_start"),
+        ("channel", _channel_like("channel"), "channel, tickets", "tickets DESC, channel ASC NULLS FIRST"),
+        ("category", _channel_like("category"), "category, tickets", "tickets DESC, category ASC NULLS FIRST"),
+        ("repeat", "SELECT * FROM repeat", "customer_id, created_at, ticket_id", "customer_id, created_at, ticket_id ASC NULLS LAST"),
+        ("opportunities", "SELECT * FROM opportunities", "opportunity", "modeled_exposure_inr DESC, opportunity"),
+        ("leaderboard", "SELECT * FROM leaderboard", "resolution_week_start, tickets_closed, agent_id", "resolution_week_start, tickets_closed DESC, agent_id ASC NULLS FIRST"),
+    ):
+        q[f"order_{name}"] = _rounded(f"SELECT {keys}, row_number() OVER (ORDER BY {order}) - 1 AS position FROM ({body})", [])
+    q["order_themes"] = f"SELECT theme_id, ticket_count, row_number() OVER (ORDER BY ticket_count DESC, theme_id) - 1 AS position FROM ({q['complaint_themes']})"
     return q

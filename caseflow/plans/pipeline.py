@@ -14,13 +14,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseflow.functions.columns import DEFAULT_TIMESTAMP_FORMATS
 from caseflow.operators.dedupe import canonical_tickets, duplicate_counters
 from caseflow.operators.enrich import apply_policy_metrics
 from caseflow.operators.goal import business_goal
 from caseflow.operators.leaderboard import tier1_leaderboard
 from caseflow.operators.metrics import category_metrics, channel_metrics, weekly_metrics
-from caseflow.operators.normalize import normalize_tickets, unparsed_timestamps
+from caseflow.operators.normalize import date_orders, elected_formats, normalize_tickets, unparsed_timestamps
 from caseflow.operators.opportunity import opportunities
 from caseflow.operators.quality import quality_report
 from caseflow.operators.repeat import repeat_contacts
@@ -32,13 +31,15 @@ from caseflow.sources.tables import read_table, read_tickets
 class PipelineResult:
     """Lazy outputs of one pipeline run; each output is planned on first use."""
 
-    def __init__(self, raw_tickets: DataFrame, agents, policy: Policy, reuse=None, timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS):
+    def __init__(self, raw_tickets: DataFrame, agents, policy: Policy, reuse=None, timestamp_formats: Sequence[str] | None = None):
         """``agents``: the roster, ``None``, or a zero-argument callable giving
         either (read only if the leaderboard is used)."""
         self.policy = policy
         self._agents = agents
-        self.raw = normalize_tickets(raw_tickets, timestamp_formats)
-        self._unparsed = lambda: unparsed_timestamps(raw_tickets, timestamp_formats)
+        formats = elected_formats(raw_tickets, timestamp_formats)
+        self.raw = normalize_tickets(raw_tickets, formats)
+        self._unparsed = lambda: unparsed_timestamps(raw_tickets, formats)
+        self._orders = lambda: date_orders(raw_tickets)
         tickets = apply_policy_metrics(canonical_tickets(self.raw), policy)
         self.tickets = reuse(tickets) if reuse is not None else tickets
 
@@ -46,6 +47,10 @@ class PipelineResult:
     def unparsed(self) -> DataFrame:
         return self._unparsed()
 
+    @cached_property
+    def date_orders(self) -> DataFrame:
+        return self._orders()
+
     @cached_property
     def counters(self) -> DataFrame:
         return duplicate_counters(self.raw)
@@ -90,13 +95,13 @@ def build(
     agents,
     policy: Policy | dict | None = None,
     reuse: Callable[[DataFrame], DataFrame] | None = None,
-    timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS,
+    timestamp_formats: Sequence[str] | None = None,
 ) -> PipelineResult:
     return PipelineResult(raw_tickets, agents, as_policy(policy), reuse, timestamp_formats)
 
 
 def run_pipeline(
-    spark: SparkSession, data_dir: str, policy: Policy | dict | None = None, reuse=None, timestamp_formats: Sequence[str] = DEFAULT_TIMESTAMP_FORMATS
+    spark: SparkSession, data_dir: str, policy: Policy | dict | None = None, reuse=None, timestamp_formats: Sequence[str] | None = None
 ) -> PipelineResult:
     """From a folder holding tickets/agents as CSV or parquet."""
     tickets = read_tickets(spark, data_dir)

@@ -168,3 +168,34 @@ def evidence_parts(pack: DataFrame) -> DataFrame:
             for n in names
         ]))
     )
+
+
+#: Objects and arrays inside each other in the evidence document.
+EVIDENCE_DEPTH = 6
+
+
+def evidence_values(pack: DataFrame) -> DataFrame:
+    """Every value of the document as a row ``path, kind, text, number``, nulls included; empty lists and objects have none.
+
+    The kinds are ``string``, ``boolean`` (both in ``text``), ``number`` and ``null``.
+    """
+    spark = pack.sparkSession
+    level = pack.select(F.lit("").alias("path"), F.parse_json("evidence").alias("v"))
+    leaves = []
+    for _ in range(EVIDENCE_DEPTH):
+        shape = F.schema_of_variant("v")
+        nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
+        leaves.append(level.where(~nested))
+        level = spark.sql(
+            "SELECT CASE WHEN x.key IS NULL THEN concat(path, '[', x.pos, ']') WHEN path = '' THEN x.key ELSE concat(path, '.', x.key) END AS path, x.value AS v "
+            "FROM {level}, LATERAL variant_explode(v) x",
+            level=level.where(nested),
+        )
+    values = leaves[0]
+    for more in leaves[1:]:
+        values = values.unionByName(more)
+    shape = F.schema_of_variant("v")
+    kind = F.when(shape == "STRING", "string").when(shape == "BOOLEAN", "boolean").when(shape == "VOID", "null").otherwise("number")
+    return values.select("path", kind.alias("kind"), F.expr("try_variant_get(v, '$', 'string')").alias("text"), F.expr("try_variant_get(v, '$', 'double')").alias("number")).select(
+        "path", "kind", F.when(F.col("kind").isin("string", "boolean"), F.col("text")).alias("text"), F.when(F.col("kind") == "number", F.col("number")).alias("number")
+    )

@@ -207,3 +207,15 @@ def spelled_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).select(
         _prefixed("T", k).alias("ticket_id"), F.element_at(F.array(*spellings), (k % len(spellings) + 1).cast("int")).alias("created_at")
     )
+
+
+def ordered_date_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` dates as slashed text: day first, month first, days up to 12 only (which tell no order), and a few of the other order."""
+    k = F.col("o_orderkey")
+    at = _add_minutes(F.col("o_orderdate"), ((k * 37) % 1440).cast("int"))
+    low = _add_minutes(F.trunc("o_orderdate", "month").cast("timestamp_ntz"), ((k % 12) * 1440 + (k * 37) % 1440).cast("int"))
+    day, month = (lambda c: F.date_format(c, "dd/MM/yyyy HH:mm")), (lambda c: F.date_format(c, "MM/dd/yyyy HH:mm"))
+    return _spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).select(
+        _prefixed("T", k).alias("ticket_id"), F.when(k % 50 == 1, month(at)).otherwise(day(at)).alias("created_at"),
+        month(low).alias("first_response_at"), month(at).alias("resolved_at"),
+    )
