@@ -13,6 +13,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caseflow.sources import files
+
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, sort_by: list[str] | None = None
@@ -37,10 +39,4 @@ def write_table(
 
 def write_json_report(spark: SparkSession, report: dict[str, Any], path: str) -> None:
     """One JSON document (``default=str``, non-ASCII kept)."""
-    text = json.dumps(report, indent=2, default=str, ensure_ascii=False)
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
+    files.write_text(spark, path, json.dumps(report, indent=2, default=str, ensure_ascii=False))
