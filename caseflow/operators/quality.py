@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.fixed import NULL_KEY_LABEL
@@ -46,8 +46,16 @@ MAP_METRICS = ["source_system_counts", "resolved_before_created_by_source", "can
 
 
 
-def _src():
-    return F.coalesce(F.col("source_system"), F.lit(NULL_KEY_LABEL)).alias("source")
+CANONICAL_COUNT_NAMES = ["n", *[c for _, c in _CANONICAL_SUMS + _CANONICAL_FLAGS]]
+CANONICAL_FLAG_COLUMNS = ["resolved_before_created", "first_response_before_created", "resolved_before_first_response", "temporal_anomaly"]
+
+
+def source_name() -> Column:
+    return F.coalesce(F.col("source_system"), F.lit(NULL_KEY_LABEL))
+
+
+def _src() -> Column:
+    return source_name().alias("source")
 
 
 def raw_by_source(raw: DataFrame) -> DataFrame:
@@ -60,22 +68,20 @@ def raw_by_source(raw: DataFrame) -> DataFrame:
     )
 
 
+def canonical_counts() -> list[Column]:
+    """A5, A6, A8 as aggregates, named by ``CANONICAL_COUNT_NAMES``."""
+    missing = [F.count_if(F.col(c).isNull()) for c in ("resolved_at", "agent_id", "created_at")]
+    counts = [F.count(F.lit(1)), *missing, *[F.count_if(c) for c in CANONICAL_FLAG_COLUMNS]]
+    return [c.cast("long").alias(name) for c, name in zip(counts, CANONICAL_COUNT_NAMES, strict=True)]
+
+
 def canonical_by_source(tickets: DataFrame) -> DataFrame:
     """A5, A6, A8 on enriched canonical tickets, per source."""
-    return tickets.groupBy(_src()).agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
-        F.count_if(F.col("resolved_at").isNull()).cast("long").alias("n_missing_resolved"),
-        F.count_if(F.col("agent_id").isNull()).cast("long").alias("n_missing_agent"),
-        F.count_if(F.col("created_at").isNull()).cast("long").alias("n_invalid_created"),
-        F.count_if("resolved_before_created").cast("long").alias("c_rbc"),
-        F.count_if("first_response_before_created").cast("long").alias("c_frbc"),
-        F.count_if("resolved_before_first_response").cast("long").alias("c_rbfr"),
-        F.count_if("temporal_anomaly").cast("long").alias("c_anom"),
-    )
+    return tickets.groupBy(_src()).agg(*canonical_counts())
 
 
-def quality_report(raw: DataFrame, tickets: DataFrame, counters: DataFrame) -> DataFrame:
-    """A8b as ``(metric string, key string, value double)``."""
+def quality_report(raw: DataFrame, tickets: DataFrame | None, counters: DataFrame, by_source: DataFrame | None = None) -> DataFrame:
+    """A8b as ``(metric string, key string, value double)``; ``by_source`` stands for the canonical tickets where it is known."""
     none = F.lit(None).cast("string")
 
     def item(metric: str, key, value):
@@ -85,7 +91,7 @@ def quality_report(raw: DataFrame, tickets: DataFrame, counters: DataFrame) -> D
         """The few rows per source and their total (``_total``), from one reading of ``df``."""
         return df.rollup("source").agg(*[F.sum(c).alias(c) for c in sums], (F.grouping("source") == 1).alias("_total"))
 
-    cs = totals_and_sources(canonical_by_source(tickets), ["n", *[c for _, c in _CANONICAL_SUMS + _CANONICAL_FLAGS]])
+    cs = totals_and_sources(canonical_by_source(tickets) if by_source is None else by_source, CANONICAL_COUNT_NAMES)
     rs = totals_and_sources(raw_by_source(raw), [c for _, c in _RAW_SUMS])
     rate = F.bround(F.try_divide(F.col("c_anom") * 100.0, F.col("n")), 2)
     canonical = F.when(

@@ -19,6 +19,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caseflow.operators.metrics import all_groups
 from caseflow.plans.pipeline import PipelineResult, run_pipeline
 from caseflow.session import ensure_checkpoint_dir, stage
 from caseflow.sources import files
@@ -93,6 +94,7 @@ def cached_outputs(
     def result() -> PipelineResult:
         if not built:
             built.append(run_pipeline(spark, data_dir, policy, reuse=stage, timestamp_formats=timestamp_formats))
+            built[0].groups = stage(all_groups(built[0].tickets))
         return built[0]
 
     out = {name: cache.table(key, name, lambda get=get: get(result())) for name, get in OUTPUTS.items()}

@@ -17,6 +17,7 @@ from caseflow.fixed import ENRICHMENT_COLUMNS, EVIDENCE_TICKET_COLUMNS, TICKET_C
 from caseflow.functions.columns import clean_text
 from caseflow.operators import themes as th
 from caseflow.operators.goal import baseline_split, business_goal
+from caseflow.operators.metrics import GROUP_INPUTS, all_groups
 from caseflow.operators.normalize import date_orders, normalize_tickets, unparsed_timestamps
 from caseflow.operators.position import with_position
 from caseflow.operators.quality import canonical_by_source, raw_by_source
@@ -43,7 +44,6 @@ REPEAT = ["ticket_id", "customer_id", "created_at", "category", "order_id"]
 OPPORTUNITY = [*REPEAT, "sla_breach", "sla_penalty_exposure_inr", "transfers"]
 WEEKLY = ["week_start", "csat_score", "contact_cost_inr", "transfer_cost_inr"]
 BOARD = ["resolution_week_start", "agent_id", "assigned_team", "completed_ticket", "handle_time_hours"]
-GROUPS = ["channel", "source_system", "temporal_anomaly", "resolved_at", "resolved_before_created", "first_response_before_created", "resolved_before_first_response"]
 
 
 def _on(getter: Callable[[PipelineResult], DataFrame], columns: list[str] | None = None, source=from_driver_tables) -> Callable[[SparkSession, str], DataFrame]:
@@ -123,8 +123,9 @@ def _theme_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _evidence(spark: SparkSession, sf_dir: str, themes: DataFrame | None) -> DataFrame:
-    columns = [*OPPORTUNITY, *WEEKLY, *BOARD, *GROUPS, *EVIDENCE_TICKET_COLUMNS]
+    columns = [*OPPORTUNITY, *WEEKLY, *BOARD, *GROUP_INPUTS, *EVIDENCE_TICKET_COLUMNS]
     r = from_driver_tables(spark, sf_dir, reuse=lambda t: stage(t.select(*dict.fromkeys(columns))))
+    r.groups = stage(all_groups(r.tickets))
     # the small tables that several parts read
     weekly, opportunity = stage(r.weekly_metrics), stage(r.opportunities)
     return snapshot.evidence_pack(
@@ -186,6 +187,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "edge_quality": _edge(lambda r: r.quality),
         "edge_goal": _edge(lambda r: r.business_goal, [*OPPORTUNITY, *WEEKLY]),
         "edge_sample": _edge(lambda r: snapshot.ticket_sample(r.tickets, 12)),
+        "group_metrics": _on(lambda r: all_groups(r.tickets)),
         "order_weekly": _on(lambda r: with_position(r.weekly_metrics.select("week_start"))),
         "order_channel": _on(lambda r: with_position(r.channel_metrics.select("channel", "tickets"))),
         "order_category": _on(lambda r: with_position(r.category_metrics.select("category", "tickets"))),

@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from caseflow.functions.columns import week_start
 from caseflow.operators.goal import goal_as_dict
+from caseflow.operators.metrics import all_groups
 from caseflow.operators.quality import quality_as_dict
 from caseflow.operators.themes import complaint_themes
 from caseflow.plans.pipeline import PipelineResult, run_pipeline
@@ -59,6 +60,7 @@ def run(
     policy = Policy.from_file(policy_path, spark) if policy_path else Policy.default()
     try:
         result = run_pipeline(spark, data_dir, policy, reuse=stage, timestamp_formats=timestamp_formats)
+        result.groups = stage(all_groups(result.tickets))  # one reading for four outputs
         themes = complaint_themes(result.tickets)
         publication = Publication(spark, output_dir) if versioned else None
         out = publication.path if publication else output_dir.rstrip("/")

@@ -543,5 +543,15 @@ UNION ALL SELECT 'resolved_at', count(*), 0, count(*) FILTER (WHERE day(meant) >
         ("leaderboard", "SELECT * FROM leaderboard", "resolution_week_start, tickets_closed, agent_id", "resolution_week_start, tickets_closed DESC, agent_id ASC NULLS FIRST"),
     ):
         q[f"order_{name}"] = _rounded(f"SELECT {keys}, row_number() OVER (ORDER BY {order}) - 1 AS position FROM ({body})", [])
+    ways = (("week", "week_start", "CAST(NULL AS VARCHAR)"), ("channel", "CAST(NULL AS TIMESTAMP)", "channel"), ("category", "CAST(NULL AS TIMESTAMP)", "category"),
+            ("source", "CAST(NULL AS TIMESTAMP)", "coalesce(source_system, '<NA>')"))
+    q["group_metrics"] = _rounded(" UNION ALL ".join(
+        f"""SELECT '{kind}' AS kind, {week} AS week, {key} AS key, count(ticket_id) AS tickets, {'count(DISTINCT customer_id)' if kind == 'week' else '0'} AS unique_customers,
+  count(*) FILTER (WHERE sla_breach) AS sla_breaches, avg(csat_score) AS avg_csat, sum(coalesce(transfers, 0)) AS transfer_events, sum(contact_cost_inr) AS contact_cost_inr,
+  sum(sla_penalty_exposure_inr) AS sla_penalty_exposure_inr, sum(transfer_cost_inr) AS transfer_cost_inr, count(*) AS n, count(*) FILTER (WHERE resolved_at IS NULL) AS n_missing_resolved,
+  count(*) FILTER (WHERE agent_id IS NULL) AS n_missing_agent, count(*) FILTER (WHERE created_at IS NULL) AS n_invalid_created, count(*) FILTER (WHERE resolved_before_created) AS c_rbc,
+  count(*) FILTER (WHERE first_response_before_created) AS c_frbc, count(*) FILTER (WHERE resolved_before_first_response) AS c_rbfr, count(*) FILTER (WHERE temporal_anomaly) AS c_anom
+FROM enriched {"WHERE week_start IS NOT NULL" if kind == "week" else ""} GROUP BY ALL""" for kind, week, key in ways
+    ), ["avg_csat", "transfer_events", "contact_cost_inr", "sla_penalty_exposure_inr", "transfer_cost_inr"])
     q["order_themes"] = f"SELECT theme_id, ticket_count, row_number() OVER (ORDER BY ticket_count DESC, theme_id) - 1 AS position FROM ({q['complaint_themes']})"
     return q

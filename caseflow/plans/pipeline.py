@@ -18,7 +18,7 @@ from caseflow.operators.dedupe import canonical_tickets, duplicate_counters
 from caseflow.operators.enrich import apply_policy_metrics
 from caseflow.operators.goal import business_goal
 from caseflow.operators.leaderboard import tier1_leaderboard
-from caseflow.operators.metrics import category_metrics, channel_metrics, weekly_metrics
+from caseflow.operators.metrics import category_metrics, channel_metrics, group_of, sources_of, weekly_metrics, weekly_of
 from caseflow.operators.normalize import date_orders, elected_formats, normalize_tickets, unparsed_timestamps
 from caseflow.operators.opportunity import opportunities
 from caseflow.operators.quality import quality_report
@@ -33,7 +33,10 @@ class PipelineResult:
 
     def __init__(self, raw_tickets: DataFrame, agents, policy: Policy, reuse=None, timestamp_formats: Sequence[str] | None = None):
         """``agents``: the roster, ``None``, or a zero-argument callable giving
-        either (read only if the leaderboard is used)."""
+        either (read only if the leaderboard is used).  ``groups`` may be set to a staged
+        :func:`all_groups` of the tickets; weekly, channel, category and quality tables
+        then come from it instead of reading the tickets each."""
+        self.groups: DataFrame | None = None
         self.policy = policy
         self._agents = agents
         formats = elected_formats(raw_tickets, timestamp_formats)
@@ -58,11 +61,11 @@ class PipelineResult:
     # Canonical tickets carry one row per id, so distinct id counts are plain counts.
     @cached_property
     def quality(self) -> DataFrame:
-        return quality_report(self.raw, self.tickets, self.counters)
+        return quality_report(self.raw, self.tickets, self.counters, sources_of(self.groups) if self.groups is not None else None)
 
     @cached_property
     def weekly_metrics(self) -> DataFrame:
-        return weekly_metrics(self.tickets, ids_unique=True)
+        return weekly_metrics(self.tickets, ids_unique=True) if self.groups is None else weekly_of(self.groups)
 
     @cached_property
     def leaderboard(self) -> DataFrame:
@@ -79,11 +82,11 @@ class PipelineResult:
 
     @cached_property
     def channel_metrics(self) -> DataFrame:
-        return channel_metrics(self.tickets, self.policy, ids_unique=True)
+        return channel_metrics(self.tickets, self.policy, ids_unique=True) if self.groups is None else group_of(self.groups, "channel", self.policy)
 
     @cached_property
     def category_metrics(self) -> DataFrame:
-        return category_metrics(self.tickets, self.policy, ids_unique=True)
+        return category_metrics(self.tickets, self.policy, ids_unique=True) if self.groups is None else group_of(self.groups, "category", self.policy)
 
     @cached_property
     def business_goal(self) -> DataFrame:
