@@ -4,15 +4,20 @@ The model is a class bigram: ``P(w | history) = P(class(w) | class before) *
 P(w | class(w))``.  Classes come from exchange clustering, which moves one unit at a
 time to the class that gives the training text the largest likelihood.  Units are
 the ``TOP_WORDS`` most frequent words and ``SUFFIXES`` groups of all other words by
-their last three bytes, so every word of any corpus has a class and the bigram
+their last three bytes, so the bigram
 table that is clustered has a fixed bound, ``(TOP_WORDS + SUFFIXES + 1) ** 2``.
+Every other word of the broadcast tier, at most ``TIER_WORDS``, then gets a class of its own
+contexts: Spark counts the classes before and after it, and it goes where the likelihood
+of its bigrams and of itself in the class is largest.  Only words outside the tier, the rarest
+and unseen ones, keep the class of their suffix group.
 Emission is per word, from counts of all training words:
 ``(c + 0.5) / (N_class + 0.5 * (V_class + 1))``; the last 1 is the class's unknown
-word.  Transitions are smoothed towards the class frequencies.
+word.  Transitions are counted over the final classes and smoothed towards the class frequencies.
 
 Plan: (A) words of the training rows are counted in the tasks and summed by Spark
 (this table grows with the corpus and stays distributed); (B) unit bigrams are
-counted in fixed arrays; (C) all rows are scored.  A word's count is looked up in two
+counted in fixed arrays; (C) tier words meet their neighbours' classes, in rows that Spark
+sums by word; (D) class bigrams are counted in fixed arrays; (E) all rows are scored.  A word's count is looked up in two
 tiers: words that occur often, at most ``TIER_WORDS`` short ones, are broadcast; the
 others leave the task as (row, word, number) and meet the word table in a join.
 The base score needs the same sums, so it costs nothing more.
@@ -96,21 +101,32 @@ def frequent_words(words: DataFrame) -> list[tuple[bytes, int]]:
 
 
 class Units:
-    """Words to units and, for the broadcast tier, to counts."""
+    """Words to units, to classes where they are known and, for the broadcast tier, to counts."""
 
-    def __init__(self, frequent: list[tuple[bytes, int]]):
+    def __init__(self, frequent: list[tuple[bytes, int]], of: np.ndarray | None = None, own: np.ndarray | None = None):
+        """``of``: class of every unit; ``own``: class of every word of the tier."""
         self.index = {w: i for i, (w, _) in enumerate(frequent)}
         self.count = np.array([n for _, n in frequent] or [0], np.int64)
         self.unit = np.array([i if i < TOP_WORDS else suffix_unit(w) for i, (w, _) in enumerate(frequent)] or [0], np.int32)
+        self.of = of
+        self.own = own if own is not None or of is None else of[self.unit]
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(index in the tier or -1, unit) of every word."""
+        return self._look_up(words, self.unit, None)
+
+    def classes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(index in the tier or -1, class) of every word."""
+        return self._look_up(words, self.own, self.of)
+
+    def _look_up(self, words: list[bytes], of_tier: np.ndarray, of_unit: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         get = self.index.get
         at = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-        units = self.unit[at]
+        found = of_tier[at]
         for i in np.flatnonzero(at < 0):
-            units[i] = suffix_unit(words[i])
-        return at, units
+            unit = suffix_unit(words[i])
+            found[i] = unit if of_unit is None else of_unit[unit]
+        return at, found
 
 
 def suffix_unit(word: bytes) -> int:
@@ -197,16 +213,84 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return of
 
 
-def class_sizes(words: DataFrame, frequent, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def count_neighbours(train: DataFrame, shared) -> DataFrame:
+    """``(word int, side int, n long)``: how often a tier word outside the top has each class before it (side 0 to ``CLASSES``) and after it (from ``CLASSES + 1``)."""
+    sides = 2 * (CLASSES + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units(*shared.value)
+        held, n = [], 0
+
+        def flush() -> pa.RecordBatch:
+            codes, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(codes // sides, pa.int32()), pa.array(codes % sides, pa.int32()), pa.array(counts, pa.int64())], names=["word", "side", "n"])
+
+        for batch in batches:
+            for value in batch.column(0):
+                at, c = units.classes(words_of(value.as_py()))
+                path = np.concatenate([[CLASSES], c, [CLASSES]])
+                rare = np.flatnonzero(at >= TOP_WORDS)
+                word = at[rare].astype(np.int64) * sides
+                held += [word + path[rare], word + path[rare + 2] + CLASSES + 1]
+                n += 2 * len(rare)
+                if n >= FLUSH_PAIRS:
+                    yield flush()
+                    n = 0
+        if held:
+            yield flush()
+
+    return train.mapInArrow(run, "word int, side int, n long").groupBy("word", "side").agg(F.sum("n").alias("n"))
+
+
+def classes_of_words(neighbours: DataFrame, step: np.ndarray, tokens: np.ndarray) -> DataFrame:
+    """``(word int, class int)``: the class with the largest log-likelihood of the word's bigrams and emissions; ties to the lower one."""
+    to, size = step[:, :CLASSES], np.log10(np.maximum(tokens[:CLASSES], 1.0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides, n = (batch.column(c) for c in ("sides", "ns"))
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(sides.offsets.to_numpy()))
+            table = np.zeros((batch.num_rows, 2 * (CLASSES + 1)))
+            table[rows, sides.flatten().to_numpy()] = n.flatten().to_numpy()
+            before, after = table[:, : CLASSES + 1], table[:, CLASSES + 1 :]
+            gain = before @ to + after @ step[:CLASSES].T - before.sum(axis=1, keepdims=True) * size
+            best = (gain >= gain.max(axis=1, keepdims=True) - 1e-9).argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(best, pa.int32())], names=["word", "class"])
+
+    lists = neighbours.groupBy("word").agg(F.collect_list(F.struct("side", "n")).alias("l"))  # at most one entry a side
+    return lists.select("word", F.col("l.side").alias("sides"), F.col("l.n").alias("ns")).mapInArrow(run, "word int, class int")
+
+
+def count_class_pairs(train: DataFrame, shared) -> np.ndarray:
+    """Counts of class after class over the training rows; the edge is the last class."""
+    size = (CLASSES + 1) ** 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units(*shared.value)
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                path = np.concatenate([[CLASSES], units.classes(words_of(value.as_py()))[1], [CLASSES]])
+                total += np.bincount(path[:-1] * (CLASSES + 1) + path[1:], minlength=size)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total)], names=["pair", "n"])
+
+    table = np.zeros(size)
+    for r in train.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        table[r["pair"]] = r["n"]
+    return table.reshape(CLASSES + 1, CLASSES + 1)
+
+
+def class_sizes(words: DataFrame, shared) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and distinct words of each class, over the whole word table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(frequent.value)
+        units = Units(*shared.value)
         n, v = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
         for batch in batches:
-            _, u = units(batch.column(0).to_pylist())
-            np.add.at(n, of[u], batch.column(1).to_numpy())
-            np.add.at(v, of[u], 1)
+            _, c = units.classes(batch.column(0).to_pylist())
+            np.add.at(n, c, batch.column(1).to_numpy())
+            np.add.at(v, c, 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 1), pa.int32()), pa.array(n), pa.array(v)], names=["c", "n", "v"])
 
     sums = words.select("word", "n").mapInArrow(run, "c int, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
@@ -216,11 +300,15 @@ def class_sizes(words: DataFrame, frequent, of: np.ndarray) -> tuple[np.ndarray,
     return tokens, kinds
 
 
-def transitions(pairs: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """log10 P(class | class before), smoothed towards the class frequencies."""
+def class_table(pairs: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Counts of class after class from those of unit after unit."""
     member = np.zeros((len(of), CLASSES + 1))
     member[np.arange(len(of)), of] = 1.0
-    table = member.T @ pairs @ member
+    return member.T @ pairs @ member
+
+
+def transitions(table: np.ndarray) -> np.ndarray:
+    """log10 P(class | class before), smoothed towards the class frequencies."""
     share = (table.sum(axis=0) + 1.0) / (table.sum() + CLASSES + 1)
     return np.log10((table + ALPHA * share) / (table.sum(axis=1, keepdims=True) + ALPHA))
 
@@ -228,19 +316,20 @@ def transitions(pairs: np.ndarray, of: np.ndarray) -> np.ndarray:
 MISS = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))
 
 
-def score_rows(rows: DataFrame, frequent, unit_scores) -> DataFrame:
+def score_rows(rows: DataFrame, frequent, class_scores) -> DataFrame:
     """Local parts of the scores, and the words that the broadcast tier doesn't hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(frequent.value)
-        of, step, emit, n_train = unit_scores.value
+        tier, of, own = frequent.value
+        units = Units(tier, of, own)
+        step, emit, n_train = class_scores.value
         log_count = np.log10(units.count + 0.5)
         for batch in batches:
             n_tokens, n_known, known_log, class_log, missing = [], [], [], [], []
             for value in batch.column(3):
                 words = words_of(value.as_py())
-                at, u = units(words)
-                path = np.concatenate([[CLASSES], of[u], [CLASSES]])
+                at, c = units.classes(words)
+                path = np.concatenate([[CLASSES], c, [CLASSES]])
                 hits = at[at >= 0]
                 misses = Counter(words[i] for i in np.flatnonzero(at < 0))
                 n_tokens.append(len(words) + 1)
@@ -275,10 +364,17 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     del found
     pairs = pairs.reshape(UNITS + 1, UNITS + 1)
     of = exchange(pairs)
-    tokens, kinds = class_sizes(words, frequent, of)
-    shared = spark.sparkContext.broadcast((of, transitions(pairs, of), np.log10(tokens + 0.5 * (kinds + 1)), n_train))
-
-    scored = stage(score_rows(rows, frequent, shared))
+    table = class_table(pairs, of)
+    # classes of the tier's other words, from their own contexts
+    first = spark.sparkContext.broadcast((tier, of))
+    own = of[Units(tier).unit]
+    for r in classes_of_words(count_neighbours(train, first), transitions(table), table.sum(axis=0)).toLocalIterator():
+        own[r["word"]] = r["class"]
+    classed = spark.sparkContext.broadcast((tier, of, own))
+    tokens, kinds = class_sizes(words, classed)
+    shared = spark.sparkContext.broadcast((transitions(count_class_pairs(train, classed)), np.log10(tokens + 0.5 * (kinds + 1)), n_train))
+
+    scored = stage(score_rows(rows, classed, shared))
     missing = scored.select("_row", F.inline("_missing"))
     looked_up = missing.join(words, "word", "left").groupBy("_row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("_log2"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("_known2")

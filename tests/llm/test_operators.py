@@ -104,7 +104,7 @@ def test_lm_base_score_and_held_out_gain(spark, odd, repeated, empty):
     assert brown_lm.lm_scores(repeated).count() == repeated.count()
 
 
-def test_lm_probabilities_sum_to_one_and_beat_the_base(spark):
+def test_lm_scores_beat_the_base(spark):
     rng = random.Random(1)
     a, b = [[f"{x}{i}" for i in range(40)] for x in "ab"]
     docs = [(i, " ".join(rng.choice((a, b)[(i + k) % 2]) for k in range(60)), "en", "s") for i in range(300)]
@@ -112,6 +112,64 @@ def test_lm_probabilities_sum_to_one_and_beat_the_base(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 0.2 * sum(r["n_tokens"] for r in rows)
 
 
+def test_lm_probabilities_sum_to_one(spark):
+    """Over the classes after any class, and over the words of a class with its unknown word."""
+    rng = random.Random(14)
+    words = [f"{rng.choice('abcdefgh')}{i}" for i in range(1500)]
+    texts = [" ".join(rng.choice(words) for _ in range(120)).encode() for _ in range(60)]
+    train = spark.createDataFrame([(bytearray(t),) for t in texts], "_text binary")
+    counted = brown_lm.count_words(train)
+    tier = [(bytes(w), n) for w, n in brown_lm.frequent_words(counted)]
+    assert len(tier) > brown_lm.TOP_WORDS
+    np = brown_lm.np
+    of = np.append(np.random.default_rng(1).integers(0, brown_lm.CLASSES, brown_lm.UNITS), brown_lm.CLASSES)
+    own = np.random.default_rng(2).integers(0, brown_lm.CLASSES, len(tier)).astype(np.int64)
+    classed = spark.sparkContext.broadcast((tier, of, own))
+    table = brown_lm.count_class_pairs(train, classed)
+    assert table.sum() == sum(len(t.split()) + 1 for t in texts)
+    assert (10 ** brown_lm.transitions(table)).sum(axis=1) == pytest.approx(1.0)
+    tokens, kinds = brown_lm.class_sizes(counted, classed)
+    mass = np.full(brown_lm.CLASSES + 1, 0.5)
+    units = brown_lm.Units(tier, of, own)
+    for r in counted.collect():
+        mass[units.classes([bytes(r["word"])])[1][0]] += r["n"] + 0.5
+    assert mass == pytest.approx(tokens + 0.5 * (kinds + 1))
+
+
+def test_lm_classes_of_words_by_their_contexts(spark):
+    np, k = brown_lm.np, brown_lm.CLASSES
+    rng = np.random.default_rng(3)
+    step, tokens = np.log10(rng.dirichlet(np.ones(k + 1), k + 1)), rng.integers(1, 1000, k + 1).astype(float)
+    counts = rng.integers(0, 4, (30, 2 * (k + 1)))
+    rows = [(w, s, int(counts[w, s])) for w in range(30) for s in range(2 * (k + 1)) if counts[w, s]]
+    got = {r["word"]: r["class"] for r in brown_lm.classes_of_words(spark.createDataFrame(rows, "word int, side int, n long"), step, tokens).collect()}
+    for w in range(30):
+        def gain(c, w=w):
+            before = sum(int(counts[w, b]) * (step[b, c] - np.log10(tokens[c])) for b in range(k + 1))
+            return before + sum(int(counts[w, k + 1 + a]) * step[c, a] for a in range(k + 1))
+
+        assert got[w] == max(range(k), key=gain)
+
+
+def test_lm_counts_neighbours(spark):
+    rng = random.Random(15)
+    words = [f"w{i}" for i in range(1300)]
+    text = " ".join(words * 2 + [rng.choice(words) for _ in range(4000)]).encode()
+    tier = sorted(((w.encode(), text.split().count(w.encode())) for w in words), key=lambda p: (-p[1], p[0]))
+    np = brown_lm.np
+    of = np.append(np.arange(brown_lm.UNITS) % brown_lm.CLASSES, brown_lm.CLASSES)
+    shared = spark.sparkContext.broadcast((tier, of))
+    got = {(r["word"], r["side"]): r["n"] for r in brown_lm.count_neighbours(spark.createDataFrame([(bytearray(text),)], "_text binary"), shared).collect()}
+    index = {w: i for i, (w, _) in enumerate(tier)}
+    path = [brown_lm.CLASSES, *brown_lm.Units(tier, of).classes(text.split())[1].tolist(), brown_lm.CLASSES]
+    want = {}
+    for i, w in enumerate(text.split()):
+        if index[w] >= brown_lm.TOP_WORDS:
+            for side in (path[i], path[i + 2] + brown_lm.CLASSES + 1):
+                want[index[w], side] = want.get((index[w], side), 0) + 1
+    assert got == want
+
+
 def test_html_blocks_and_cut(spark):
     page = """<!doctype html><html><head><title>t &amp; u</title><style>p{}</style></head><body class="has-sidebar">
       <header><a href=/>Home</a></header><nav><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></nav>
