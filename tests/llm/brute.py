@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -114,3 +115,17 @@ def warc(pages):
         again = len(data) >= 100 and first[data] != p
         out[p] = (len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[data] if again else None)
     return out
+
+
+def earliest_deadline_first(blocks, weights):
+    """Slots of each stream's blocks: windows of all blocks from the fluid schedule, then the released block due first."""
+    w = [Fraction(x) for x in weights]
+    passed = lambda v: sum(min(Fraction(b), x * v) for b, x in zip(blocks, w, strict=True))
+    waiting = [(math.ceil(passed((j + 1) / w[i])), i, j, math.floor(passed(j / w[i]))) for i in range(len(blocks)) for j in range(blocks[i])]
+    slots = [[] for _ in blocks]
+    for t in range(sum(blocks)):
+        first = min(x for x in waiting if x[3] <= t)
+        assert first[2] == len(slots[first[1]]) and t < first[0]
+        slots[first[1]].append(t)
+        waiting.remove(first)
+    return slots
