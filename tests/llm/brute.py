@@ -129,3 +129,36 @@ def earliest_deadline_first(blocks, weights):
         slots[first[1]].append(t)
         waiting.remove(first)
     return slots
+
+
+def kneser_ney(texts, letters, symbols, order=4):
+    """Log-perplexity per text under interpolated modified Kneser-Ney of its characters' symbols; ASCII texts of one language."""
+    found = Counter(c for t in texts.values() for c in t.lower() if c.isalpha())
+    own = {c: i for i, (c, _) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:letters])}
+    other = lambda c: "digit" if c.isdigit() else "blank" if c.isspace() else "stop" if c in ".,;:!?'\"-()" else "mark"
+    read = {d: ["blank"] * (order - 1) + [own.get(c, other(c)) for c in t.lower()] for d, t in texts.items()}
+    counts = {order: Counter(tuple(s[i : i + order]) for s in read.values() for i in range(len(s) - order + 1))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    cuts, totals, kinds = {}, {}, {}
+    for n, held in counts.items():
+        n1, n2, n3, n4 = (sum(c == k for c in held.values()) for k in (1, 2, 3, 4))
+        d = [0.5, 0.75, 0.9]
+        if min(n1, n2, n3, n4):
+            y = n1 / (n1 + 2 * n2)
+            d = [min(max(x, 0.05), k - 0.05) for k, x in enumerate((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3), 1)]
+        cuts[n], totals[n], kinds[n] = d, Counter(), Counter()
+        for g, c in held.items():
+            totals[n][g[:-1]] += c
+            kinds[n][g[:-1]] += d[min(c, 3) - 1]
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / symbols
+        total, c = totals[n][gram[:-1]], counts[n][gram]
+        if not total:
+            return p(gram[1:])
+        return (max(c - cuts[n][min(c, 3) - 1], 0) if c else 0) / total + kinds[n][gram[:-1]] / total * p(gram[1:])
+
+    return {d: -sum(math.log(p(tuple(s[i : i + order]))) for i in range(len(s) - order + 1)) / (len(s) - order + 1) for d, s in read.items()}

@@ -499,6 +499,60 @@ def test_upper_band_rejects_noise_and_keeps_quotes_and_keys(spark):
     assert kn_quality.UPPER_IQRS == kn_quality.LOWER_IQRS
 
 
+def test_bands_tell_noise_in_any_script(spark):
+    rng = random.Random(31)
+    russian = "река камень свет сад двигатель бумага окно утро тихий стол серебро клён город дорога книга вечер письмо".split()
+    chinese = ["".join(chr(0x4E00 + int(rng.paretovariate(0.6)) * 7 % 900) for _ in range(rng.randrange(2, 5))) for _ in range(150)]
+    astral = [chr(0x20000 + i) * 2 for i in range(40)]
+
+    def speak(words, n=100):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    def noise(text, first, count):
+        return "".join(chr(first + rng.randrange(count)) if c != " " else c for c in text)
+
+    rows = [(i, speak(russian).capitalize(), "ru", "s") for i in range(200)] + [(1000 + i, speak(chinese), "zh", "s") for i in range(200)]
+    rows += [(2000 + i, speak(astral), "x", "s") for i in range(20)]
+    rows += [(3000 + i, noise(speak(russian), 0x430, 32), "ru", "s") for i in range(3)] + [(3100 + i, noise(speak(chinese), 0x4E00, 20000), "zh", "s") for i in range(3)]
+    got = {r["doc_id"]: r for r in kn_quality.quality_rules(frame(spark, rows)).collect()}
+    assert {d for d, r in got.items() if not r["kept"]} == {d for d in got if d >= 3000}
+    assert all(got[d]["window_ppl"] > got[d]["band_high"] and not got[d]["base_failed"] for d in got if d >= 3000)
+
+
+def test_every_language_has_its_band(spark, monkeypatch):
+    monkeypatch.setattr(kn_quality, "OPEN_MODELS", 3)
+    rng = random.Random(32)
+    rows = []
+    for k in range(40):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[k % 13 :]) for _ in range(rng.randrange(2, 8))) for _ in range(20 + 5 * k)]
+        rows += [(100 * k + i, " ".join(rng.choice(words) for _ in range(70)), f"l{k}" if k else None, "s") for i in range(12)]
+    got = kn_quality.quality_rules(frame(spark, rows)).collect()
+    assert len({r["lang"] for r in got}) == 40 and len({(r["band_low"], r["band_high"]) for r in got}) == 40
+    monkeypatch.setattr(kn_quality, "MAX_LANGUAGES", 10)
+    few = kn_quality.quality_rules(frame(spark, rows)).collect()
+    assert len(few) == 480 and len({(r["band_low"], r["band_high"]) for r in few}) == 40
+
+
+def test_quartiles_are_exact(spark):
+    rng = random.Random(33)
+    values = [(rng.choice("ab"), rng.randrange(4000) / 1024, rng.randrange(4000) / 1024, False) for _ in range(777)]
+    bands = {r["lang"]: r for r in kn_quality.bands_of(spark.createDataFrame(values, "lang string, log_ppl double, window_ppl double, base_failed boolean"), 2.0, 3.0).collect()}
+    for name in "ab":
+        own, windows = (sorted(v[c] for v in values if v[0] == name) for c in (1, 2))
+        at = lambda x, q: x[-(-len(x) * q // 4) - 1]
+        assert bands[name]["band_low"] == pytest.approx(at(own, 1) - 2 * (at(own, 3) - at(own, 1)))
+        assert bands[name]["band_high"] == pytest.approx(at(windows, 3) + 3 * (at(windows, 3) - at(windows, 1)))
+
+
+def test_verdict_equals_a_plain_kneser_ney(spark):
+    """Log-perplexities and bands from counts in dictionaries, symbol by symbol."""
+    rng = random.Random(34)
+    rows = [(i, prose(rng, 60 + i), "en", "s") for i in range(40)] + [(50, "a b " * 3 + prose(rng, 50), "en", "s")]
+    got = {r["doc_id"]: r["log_ppl"] for r in kn_quality.quality_rules(frame(spark, rows)).collect()}
+    want = brute.kneser_ney({d: t for d, t, *_ in rows}, kn_quality.LETTERS, kn_quality.SYMBOLS)
+    assert got == {d: pytest.approx(p, abs=1e-4) for d, p in want.items()}
+
+
 def test_kneser_ney_sums_to_one_and_survives_storage():
     codes = kn_quality.np.concatenate([kn_quality.ngram_codes(prose(random.Random(i), 400).encode()) for i in range(5)])
     keys, counts = kn_quality.np.unique(codes, return_counts=True)
