@@ -15,7 +15,8 @@ Emission is per word, from counts of all training words:
 word.  Transitions are counted over the final classes and smoothed towards the class frequencies.
 
 Plan: (A) words of the training rows are counted in the tasks and summed by Spark
-(this table grows with the corpus and stays distributed); (B) unit bigrams are
+(this table grows with the corpus and stays distributed); all texts are looked up in the
+tier once and staged as codes, which the later steps read; (B) unit bigrams are
 counted in fixed arrays; (C) tier words meet their neighbours' classes, in rows that Spark
 sums by word; (D) class bigrams are counted in fixed arrays; (E) all rows are scored.  A word's count is looked up in two
 tiers: words that occur often, at most ``TIER_WORDS`` short ones, are broadcast; the
@@ -100,50 +101,79 @@ def frequent_words(words: DataFrame) -> list[tuple[bytes, int]]:
     return sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
-class Units:
-    """Words to units, to classes where they are known and, for the broadcast tier, to counts."""
+def suffix_unit(word: bytes) -> int:
+    return TOP_WORDS + zlib.crc32(word[-3:]) % SUFFIXES
 
-    def __init__(self, frequent: list[tuple[bytes, int]], of: np.ndarray | None = None, own: np.ndarray | None = None):
-        """``of``: class of every unit; ``own``: class of every word of the tier."""
-        self.index = {w: i for i, (w, _) in enumerate(frequent)}
-        self.count = np.array([n for _, n in frequent] or [0], np.int64)
-        self.unit = np.array([i if i < TOP_WORDS else suffix_unit(w) for i, (w, _) in enumerate(frequent)] or [0], np.int32)
-        self.of = of
-        self.own = own if own is not None or of is None else of[self.unit]
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(index in the tier or -1, unit) of every word."""
-        return self._look_up(words, self.unit, None)
+def units_of(frequent: list[tuple[bytes, int]]) -> np.ndarray:
+    """The unit of every word of the tier."""
+    return np.array([i if i < TOP_WORDS else suffix_unit(w) for i, (w, _) in enumerate(frequent)], np.int32)
 
-    def classes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(index in the tier or -1, class) of every word."""
-        return self._look_up(words, self.own, self.of)
 
-    def _look_up(self, words: list[bytes], of_tier: np.ndarray, of_unit: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+class Coder:
+    """Words as codes: the index in the broadcast tier, or ``-1 - s`` for a word of suffix group s outside it."""
+
+    def __init__(self, frequent: list[tuple[bytes, int]]):
+        self.index = {w: i for i, (w, _) in enumerate(frequent)}
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         get = self.index.get
         at = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-        found = of_tier[at]
         for i in np.flatnonzero(at < 0):
-            unit = suffix_unit(words[i])
-            found[i] = unit if of_unit is None else of_unit[unit]
-        return at, found
+            at[i] = TOP_WORDS - 1 - suffix_unit(words[i])
+        return at
 
 
-def suffix_unit(word: bytes) -> int:
-    return TOP_WORDS + zlib.crc32(word[-3:]) % SUFFIXES
+def by_code(of_tier: np.ndarray, of_units: np.ndarray) -> np.ndarray:
+    """Table that holds at ``code + SUFFIXES`` the unit or class of a coded word."""
+    return np.concatenate([of_units[TOP_WORDS:UNITS][::-1], of_tier]).astype(np.int32)
+
+
+MISS = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))
+
+
+def code_rows(rows: DataFrame, frequent) -> DataFrame:
+    """Every text as codes, with the words outside the tier and their numbers in the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(frequent.value)
+        for batch in batches:
+            n_tokens, codes, missing = [], [], []
+            for value in batch.column(3):
+                words = words_of(value.as_py())
+                at = coder(words)
+                misses = Counter(words[i] for i in np.flatnonzero(at < 0))
+                n_tokens.append(len(words) + 1)
+                codes.append(at.tobytes())
+                missing.append([{"word": w, "k": k} for w, k in misses.items()])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(3)), pa.array(n_tokens, pa.int64()), pa.array(codes, pa.binary()), pa.array(missing, MISS)],
+                names=["_row", "doc_id", "held_out", "n_tokens", "_codes", "_missing"],
+            )
+
+    return rows.mapInArrow(run, "_row long, doc_id long, held_out boolean, n_tokens long, _codes binary, _missing array<struct<word binary, k int>>")
+
+
+def codes_in(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_py(), np.int32)
+
 
+def path_of(codes: np.ndarray, table: np.ndarray, edge: int) -> np.ndarray:
+    """Units or classes of a coded text between two edges."""
+    path = np.full(len(codes) + 2, edge, np.int64)
+    path[1:-1] = table[codes + SUFFIXES]
+    return path
 
-def count_pairs(train: DataFrame, frequent) -> DataFrame:
-    """``(pair int, n long)``: unit bigrams of the training rows, pair = before * (UNITS + 1) + unit."""
+
+def count_pairs(train: DataFrame, shared) -> DataFrame:
+    """``(pair int, n long)``: unit bigrams of the training rows ``(_codes)``, pair = before * (UNITS + 1) + unit."""
     size = (UNITS + 1) ** 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(frequent.value)
         total, held, n = np.zeros(size, np.int64), [], 0
         for batch in batches:
             for value in batch.column(0):
-                _, u = units(words_of(value.as_py()))
-                path = np.concatenate([[EDGE], u, [EDGE]])
+                path = path_of(codes_in(value), shared.value, EDGE)
                 held.append(path[:-1] * (UNITS + 1) + path[1:])
                 n += len(path) - 1
                 if n >= FLUSH_PAIRS:
@@ -218,7 +248,6 @@ def count_neighbours(train: DataFrame, shared) -> DataFrame:
     sides = 2 * (CLASSES + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(*shared.value)
         held, n = [], 0
 
         def flush() -> pa.RecordBatch:
@@ -228,8 +257,8 @@ def count_neighbours(train: DataFrame, shared) -> DataFrame:
 
         for batch in batches:
             for value in batch.column(0):
-                at, c = units.classes(words_of(value.as_py()))
-                path = np.concatenate([[CLASSES], c, [CLASSES]])
+                at = codes_in(value)
+                path = path_of(at, shared.value, CLASSES)
                 rare = np.flatnonzero(at >= TOP_WORDS)
                 word = at[rare].astype(np.int64) * sides
                 held += [word + path[rare], word + path[rare + 2] + CLASSES + 1]
@@ -267,11 +296,10 @@ def count_class_pairs(train: DataFrame, shared) -> np.ndarray:
     size = (CLASSES + 1) ** 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(*shared.value)
         total = np.zeros(size, np.int64)
         for batch in batches:
             for value in batch.column(0):
-                path = np.concatenate([[CLASSES], units.classes(words_of(value.as_py()))[1], [CLASSES]])
+                path = path_of(codes_in(value), shared.value, CLASSES)
                 total += np.bincount(path[:-1] * (CLASSES + 1) + path[1:], minlength=size)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total)], names=["pair", "n"])
 
@@ -281,14 +309,14 @@ def count_class_pairs(train: DataFrame, shared) -> np.ndarray:
     return table.reshape(CLASSES + 1, CLASSES + 1)
 
 
-def class_sizes(words: DataFrame, shared) -> tuple[np.ndarray, np.ndarray]:
+def class_sizes(words: DataFrame, frequent, shared) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and distinct words of each class, over the whole word table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(*shared.value)
+        coder = Coder(frequent.value)
         n, v = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
         for batch in batches:
-            _, c = units.classes(batch.column(0).to_pylist())
+            c = shared.value[coder(batch.column(0).to_pylist()) + SUFFIXES]
             np.add.at(n, c, batch.column(1).to_numpy())
             np.add.at(v, c, 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 1), pa.int32()), pa.array(n), pa.array(v)], names=["c", "n", "v"])
@@ -313,36 +341,28 @@ def transitions(table: np.ndarray) -> np.ndarray:
     return np.log10((table + ALPHA * share) / (table.sum(axis=1, keepdims=True) + ALPHA))
 
 
-MISS = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))
-
-
-def score_rows(rows: DataFrame, frequent, class_scores) -> DataFrame:
-    """Local parts of the scores, and the words that the broadcast tier doesn't hold."""
+def score_rows(coded: DataFrame, shared) -> DataFrame:
+    """Local parts of the scores: what the tier and the classes say."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tier, of, own = frequent.value
-        units = Units(tier, of, own)
-        step, emit, n_train = class_scores.value
-        log_count = np.log10(units.count + 0.5)
+        classes, counts, step, emit, n_train = shared.value
+        log_count = np.log10(counts + 0.5)
         for batch in batches:
-            n_tokens, n_known, known_log, class_log, missing = [], [], [], [], []
-            for value in batch.column(3):
-                words = words_of(value.as_py())
-                at, c = units.classes(words)
-                path = np.concatenate([[CLASSES], c, [CLASSES]])
-                hits = at[at >= 0]
-                misses = Counter(words[i] for i in np.flatnonzero(at < 0))
-                n_tokens.append(len(words) + 1)
+            n_known, known_log, class_log = [], [], []
+            for value in batch.column(4):
+                codes = codes_in(value)
+                path = path_of(codes, classes, CLASSES)
+                hits = codes[codes >= 0]
                 n_known.append(len(hits) + (n_train > 0))
                 known_log.append(float(log_count[hits].sum()))
                 class_log.append(float(step[path[:-1], path[1:]].sum() - emit[path[1:-1]].sum()))
-                missing.append([{"word": w, "k": k} for w, k in misses.items()])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(known_log, pa.float64()), pa.array(class_log, pa.float64()), pa.array(missing, MISS)],
-                names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_log", "_class", "_missing"],
+                [*(batch.column(i) for i in range(4)), pa.array(n_known, pa.int64()), pa.array(known_log, pa.float64()), pa.array(class_log, pa.float64())],
+                names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_log", "_class"],
             )
 
-    return rows.mapInArrow(run, "_row long, doc_id long, held_out boolean, n_tokens long, _known long, _log double, _class double, _missing array<struct<word binary, k int>>")
+    rows = coded.select("_row", "doc_id", "held_out", "n_tokens", "_codes")
+    return rows.mapInArrow(run, "_row long, doc_id long, held_out boolean, n_tokens long, _known long, _log double, _class double")
 
 
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -357,7 +377,10 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     tier = frequent_words(words)
     frequent = spark.sparkContext.broadcast(tier)
-    found = count_pairs(train, frequent).toArrow()
+    coded = stage(code_rows(rows, frequent))
+    train = coded.where(~F.col("held_out")).select("_codes")
+    unit, share = units_of(tier), spark.sparkContext.broadcast
+    found = count_pairs(train, share(by_code(unit, np.arange(UNITS + 1)))).toArrow()
     pairs = np.zeros((UNITS + 1) ** 2)
     for batch in found.to_batches():
         pairs[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
@@ -366,20 +389,20 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     of = exchange(pairs)
     table = class_table(pairs, of)
     # classes of the tier's other words, from their own contexts
-    first = spark.sparkContext.broadcast((tier, of))
-    own = of[Units(tier).unit]
+    own = of[unit]
+    first = share(by_code(own, of))
     for r in classes_of_words(count_neighbours(train, first), transitions(table), table.sum(axis=0)).toLocalIterator():
         own[r["word"]] = r["class"]
-    classed = spark.sparkContext.broadcast((tier, of, own))
-    tokens, kinds = class_sizes(words, classed)
-    shared = spark.sparkContext.broadcast((transitions(count_class_pairs(train, classed)), np.log10(tokens + 0.5 * (kinds + 1)), n_train))
+    classed = share(by_code(own, of))
+    tokens, kinds = class_sizes(words, frequent, classed)
+    counts = np.array([n for _, n in tier] or [0], np.int64)
+    scored = score_rows(coded, share((classed.value, counts, transitions(count_class_pairs(train, classed)), np.log10(tokens + 0.5 * (kinds + 1)), n_train)))
 
-    scored = stage(score_rows(rows, classed, shared))
-    missing = scored.select("_row", F.inline("_missing"))
+    missing = coded.select("_row", F.inline("_missing"))
     looked_up = missing.join(words, "word", "left").groupBy("_row").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("_log2"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("_known2")
     )
-    joined = scored.drop("_missing").join(looked_up, "_row", "left")
+    joined = scored.join(looked_up, "_row", "left")
     words_log = F.col("_log") + F.coalesce("_log2", F.lit(0.0))
     per_token = math.log10(n_all + 0.5 * (n_kinds + 1))
     return joined.select(

@@ -112,6 +112,11 @@ def test_lm_scores_beat_the_base(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 0.2 * sum(r["n_tokens"] for r in rows)
 
 
+def coded(spark, texts, tier):
+    rows = spark.createDataFrame([(i, i, False, bytearray(t)) for i, t in enumerate(texts)], "_row long, doc_id long, held_out boolean, _text binary")
+    return brown_lm.code_rows(rows, spark.sparkContext.broadcast(tier)).select("_codes")
+
+
 def test_lm_probabilities_sum_to_one(spark):
     """Over the classes after any class, and over the words of a class with its unknown word."""
     rng = random.Random(14)
@@ -124,15 +129,16 @@ def test_lm_probabilities_sum_to_one(spark):
     np = brown_lm.np
     of = np.append(np.random.default_rng(1).integers(0, brown_lm.CLASSES, brown_lm.UNITS), brown_lm.CLASSES)
     own = np.random.default_rng(2).integers(0, brown_lm.CLASSES, len(tier)).astype(np.int64)
-    classed = spark.sparkContext.broadcast((tier, of, own))
-    table = brown_lm.count_class_pairs(train, classed)
+    classes = brown_lm.by_code(own, of)
+    classed = spark.sparkContext.broadcast(classes)
+    table = brown_lm.count_class_pairs(coded(spark, texts, tier), classed)
     assert table.sum() == sum(len(t.split()) + 1 for t in texts)
     assert (10 ** brown_lm.transitions(table)).sum(axis=1) == pytest.approx(1.0)
-    tokens, kinds = brown_lm.class_sizes(counted, classed)
+    tokens, kinds = brown_lm.class_sizes(counted, spark.sparkContext.broadcast(tier), classed)
     mass = np.full(brown_lm.CLASSES + 1, 0.5)
-    units = brown_lm.Units(tier, of, own)
+    coder = brown_lm.Coder(tier)
     for r in counted.collect():
-        mass[units.classes([bytes(r["word"])])[1][0]] += r["n"] + 0.5
+        mass[classes[coder([bytes(r["word"])])[0] + brown_lm.SUFFIXES]] += r["n"] + 0.5
     assert mass == pytest.approx(tokens + 0.5 * (kinds + 1))
 
 
@@ -158,10 +164,10 @@ def test_lm_counts_neighbours(spark):
     tier = sorted(((w.encode(), text.split().count(w.encode())) for w in words), key=lambda p: (-p[1], p[0]))
     np = brown_lm.np
     of = np.append(np.arange(brown_lm.UNITS) % brown_lm.CLASSES, brown_lm.CLASSES)
-    shared = spark.sparkContext.broadcast((tier, of))
-    got = {(r["word"], r["side"]): r["n"] for r in brown_lm.count_neighbours(spark.createDataFrame([(bytearray(text),)], "_text binary"), shared).collect()}
+    classes = brown_lm.by_code(of[brown_lm.units_of(tier)], of)
+    got = {(r["word"], r["side"]): r["n"] for r in brown_lm.count_neighbours(coded(spark, [text], tier), spark.sparkContext.broadcast(classes)).collect()}
     index = {w: i for i, (w, _) in enumerate(tier)}
-    path = [brown_lm.CLASSES, *brown_lm.Units(tier, of).classes(text.split())[1].tolist(), brown_lm.CLASSES]
+    path = [brown_lm.CLASSES, *classes[brown_lm.Coder(tier)(text.split()) + brown_lm.SUFFIXES].tolist(), brown_lm.CLASSES]
     want = {}
     for i, w in enumerate(text.split()):
         if index[w] >= brown_lm.TOP_WORDS:
