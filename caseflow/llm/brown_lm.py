@@ -52,6 +52,7 @@ SWEEPS = 12
 ALPHA = 8.0  # weight of the class frequencies in a transition
 FLUSH_WORDS, FLUSH_BYTES = 400_000, 16_000_000
 FLUSH_PAIRS = 2_000_000
+CODED_ROWS = 1000
 
 
 def is_held_out(id_col: str) -> F.Column:
@@ -129,25 +130,25 @@ def by_code(of_tier: np.ndarray, of_units: np.ndarray) -> np.ndarray:
     return np.concatenate([of_units[TOP_WORDS:UNITS][::-1], of_tier]).astype(np.int32)
 
 
-MISS = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))
-
-
 def code_rows(rows: DataFrame, frequent) -> DataFrame:
     """Every text as codes, with the words outside the tier and their numbers in the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(frequent.value)
-        for batch in batches:
-            n_tokens, codes, missing = [], [], []
+        for batch in (whole.slice(lo, CODED_ROWS) for whole in batches for lo in range(0, whole.num_rows, CODED_ROWS)):
+            n_tokens, codes, ends, outside, numbers = [], [], [0], [], []
             for value in batch.column(3):
                 words = words_of(value.as_py())
                 at = coder(words)
                 misses = Counter(words[i] for i in np.flatnonzero(at < 0))
                 n_tokens.append(len(words) + 1)
                 codes.append(at.tobytes())
-                missing.append([{"word": w, "k": k} for w, k in misses.items()])
+                outside += misses
+                numbers += misses.values()
+                ends.append(len(outside))
+            pairs = pa.StructArray.from_arrays([pa.array(outside, pa.binary()), pa.array(numbers, pa.int32())], names=["word", "k"])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), pa.array(n_tokens, pa.int64()), pa.array(codes, pa.binary()), pa.array(missing, MISS)],
+                [*(batch.column(i) for i in range(3)), pa.array(n_tokens, pa.int64()), pa.array(codes, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
                 names=["_row", "doc_id", "held_out", "n_tokens", "_codes", "_missing"],
             )
 
