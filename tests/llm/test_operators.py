@@ -396,6 +396,23 @@ def test_mixing_of_many_sources_and_of_larger_blocks(spark, monkeypatch):
     assert sorted(r["position"] for r in got) == list(range(6000)) and len({r["stream"] for r in got}) == 51
 
 
+def test_sources_beyond_the_own_streams_keep_their_weights(spark, monkeypatch):
+    """Of equal sources in one group, each has had its share of the group at any time, give or take a block."""
+    monkeypatch.setattr(pfair_mix, "MAX_STREAMS", 12)
+    sizes = {f"s{i:02d}": 400 if i < 12 else 100 for i in range(18)}
+    rows = spark.createDataFrame([(1000 * k + i, s) for k, (s, n) in enumerate(sizes.items()) for i in range(n)], "doc_id long, source string")
+    got = sorted(pfair_mix.mix_sources(rows, block_rows=1).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in got] == list(range(sum(sizes.values()))) and len({r["stream"] for r in got}) == 13
+    late = [r["source"] for r in got if r["stream"] == 12]
+    had = dict.fromkeys(set(late), 0)
+    for t, source in enumerate(late, 1):
+        had[source] += 1
+        assert all(abs(n - t / 6) < 1 + 1e-9 for n in had.values())
+    monkeypatch.setattr(pfair_mix, "MAX_STREAMS", 4)  # 14 others in four groups
+    got = pfair_mix.mix_sources(rows, block_rows=3).collect()
+    assert sorted(r["position"] for r in got) == list(range(sum(sizes.values()))) and {r["stream"] for r in got} == set(range(5))
+
+
 def test_warc_round_trip(spark, tmp_path):
     tricky = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 4
     rows = [(1, "u", "x" * 200), (2, "v\r\nX: y%0A", "x" * 200), (3, None, "short"), (4, "w", "short"), (5, "w", None), (6, "w", ""), (7, "ü", tricky), (9, "z", tricky), (8, "z", "é" * 50)]
