@@ -21,12 +21,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from caseflow.fixed import ENGLISH_STOP_WORDS, MISSING_ID, THEME_LABEL_SEP, THEME_OTHER
 from caseflow.functions.columns import strip_ws
@@ -38,6 +37,8 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 BUCKETS, HEAVY_PER_TERM = 2**18, 4
 #: Tokens of one block of texts while vectors are built.
 BLOCK_TOKENS = 500_000
+#: Steps of the weights that are summed per cluster, and clusters that a task holds sums of.
+MEAN_SCALE, HELD_CLUSTERS = 2**36, 256
 
 THEME_SCHEMA = T.StructType(
     [
@@ -183,25 +184,30 @@ def _bucket(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
 
 
-def bucket_totals(terms: DataFrame) -> tuple[np.ndarray, int]:
-    """Occurrences of the terms of each of the ``BUCKETS`` hash buckets, and the number of documents."""
+def bucket_totals(terms: DataFrame, joint: DataFrame | None = None) -> tuple[np.ndarray, int]:
+    """Occurrences of the terms of each of the ``BUCKETS`` hash buckets, and the number of rows of ``terms``."""
     marked = F.concat(F.array(F.lit(-1).cast("long")), F.transform("terms", _bucket))
-    counted = terms.select(F.explode(marked).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("total")).toArrow()
+    rows = terms.select(F.explode(marked).alias("bucket"), F.lit(1).cast("long").alias("n"))
+    if joint is not None:
+        rows = rows.unionByName(joint.select(_bucket(F.col("term")).alias("bucket"), F.col("tf").alias("n")))
+    counted = rows.groupBy("bucket").agg(F.sum("n").alias("total")).toArrow()
     totals = np.zeros(BUCKETS + 1, dtype=np.int64)
     totals[counted.column("bucket").to_numpy()] = counted.column("total").to_numpy()
     return totals[:-1], int(totals[-1])
 
 
-def count_terms(terms: DataFrame, buckets: np.ndarray) -> DataFrame:
+def count_terms(terms: DataFrame, buckets: np.ndarray, joint: DataFrame | None = None) -> DataFrame:
     """``term, document_frequency, corpus_frequency`` of the terms whose bucket is in ``buckets``."""
     tagged = lambda arr, all_, doc: F.transform(arr, lambda t: F.struct(t.alias("term"), F.lit(all_).alias("all"), F.lit(doc).alias("doc")))
     rows = terms.select(F.explode(F.concat(tagged(F.col("terms"), 1, 0), tagged(F.array_distinct("terms"), 0, 1))).alias("t")).select("t.*")
+    if joint is not None:
+        rows = rows.unionByName(joint.select("term", F.col("tf").alias("all"), F.lit(1).alias("doc")))
     wanted = terms.sparkSession.createDataFrame(pa.table({"bucket": pa.array(buckets, pa.int64())}))
     named = rows.withColumn("bucket", _bucket(F.col("term"))).join(F.broadcast(wanted), "bucket", "left_semi")
     return named.groupBy("term").agg(F.sum("doc").alias("document_frequency"), F.sum("all").alias("corpus_frequency"))
 
 
-def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000) -> tuple[list, int]:
+def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000, joint: DataFrame | None = None, n_joint: int = 0) -> tuple[list, int]:
     """M5 on the driver: the kept terms as rows ``(term, document_frequency, corpus_frequency, idf)`` by term, and the number of documents.
 
     A bucket's total is at least the count of each of its terms.  The terms of the
@@ -209,14 +215,16 @@ def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000
     bound of the vocabulary's last one, so a term outside can only enter from a bucket
     whose total reaches it.  If there are such buckets, they are counted too.  The
     shuffles carry bucket totals and the terms of heavy buckets, not every term.
+    ``joint``: counts ``(term, tf)`` of ``n_joint`` further documents, one row per document and term.
     """
-    totals, n_docs = bucket_totals(terms)
+    totals, n_docs = bucket_totals(terms, joint)
+    n_docs += n_joint
     by_weight = np.argsort(-totals, kind="stable")
     by_weight = by_weight[totals[by_weight] > 0]
     taken, others = np.split(by_weight, [HEAVY_PER_TERM * max_features])
 
     def top(buckets: np.ndarray) -> list:
-        kept = count_terms(terms, buckets).where(F.col("document_frequency") >= min_df)
+        kept = count_terms(terms, buckets, joint).where(F.col("document_frequency") >= min_df)
         return kept.orderBy(F.desc("corpus_frequency"), "term").limit(max_features).collect()
 
     rows = top(taken)
@@ -228,25 +236,31 @@ def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000
     return sorted((r["term"], r["document_frequency"], r["corpus_frequency"], idf(r["document_frequency"])) for r in rows), n_docs
 
 
-def _vectoriser(words: list[str], idf: list[float], carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _vector_parts(batches: Iterator[pa.RecordBatch], vocab: list) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some texts at a time: their rows, and the :func:`_vectors` of their tokens."""
+    known, weight = pa.array([r[0] for r in vocab], pa.string()), np.array([r[-1] for r in vocab])
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column("tokens")).to_numpy(zero_copy_only=False)
+        ends, low = np.cumsum(sizes), 0
+        while low < batch.num_rows:
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BLOCK_TOKENS, "right")))
+            part = batch.slice(low, high - low)
+            yield part, *_vectors(part.column("tokens"), sizes[low:high], known, weight)
+            low = high
+
+
+def _vectoriser(vocab: list, carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weight = pa.array(words, pa.string()), np.array(idf)
-        for batch in batches:
-            sizes = pc.list_value_length(batch.column("tokens")).to_numpy(zero_copy_only=False)
-            ends, low = np.cumsum(sizes), 0
-            while low < batch.num_rows:
-                high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BLOCK_TOKENS, "right")))
-                part = batch.slice(low, high - low)
-                idx, w, starts = _vectors(part.column("tokens"), sizes[low:high], known, weight)
-                lists = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x, pa.int32())) for x in (idx, w)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carry), *lists], names=[*carry, "idx", "w"])
-                low = high
+        for part, idx, w, starts in _vector_parts(batches, vocab):
+            w = np.rint(w * SCALE).astype(np.int64)
+            lists = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x, pa.int32())) for x in (idx, w)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carry), *lists], names=[*carry, "idx", "w"])
 
     return run
 
 
 def _vectors(tokens: pa.ListArray, sizes: np.ndarray, known: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Term numbers and whole-number weights of some texts, flat, and where each text starts."""
+    """Term numbers and L2-normalised weights of some texts, flat, and where each text starts."""
     flat = tokens.flatten()
     doc = np.repeat(np.arange(len(sizes)), sizes)
     pairs = pc.binary_join_element_wise(flat[:-1], flat[1:], " ") if len(flat) > 1 else flat[:0]
@@ -259,15 +273,14 @@ def _vectors(tokens: pa.ListArray, sizes: np.ndarray, known: pa.Array, idf: np.n
     w = tf * idf[idx]
     norm = np.sqrt(np.bincount(doc, weights=w * w, minlength=len(sizes)))
     starts = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(sizes)))])
-    return idx, np.rint(w / norm[doc] * SCALE).astype(np.int64), starts
+    return idx, w / norm[doc], starts
 
 
 def theme_points(tokens: DataFrame, vocab: list) -> DataFrame:
     """M6 for the K-Means: ``idx array<int>``, the numbers of a text's terms in ``vocab`` (term, ..., idf), and ``w array<int>``, its L2-normalised weights times ``SCALE``."""
     carry = [c for c in tokens.columns if c != "tokens"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema.fields if f.name != "tokens")
-    run = _vectoriser([r[0] for r in vocab], [r[-1] for r in vocab], carry)
-    return tokens.mapInArrow(run, f"{schema}, idx array<int>, w array<int>")
+    return tokens.mapInArrow(_vectoriser(vocab, carry), f"{schema}, idx array<int>, w array<int>")
 
 
 def tfidf_features(terms: DataFrame, vocab_rows: list) -> DataFrame:
@@ -283,10 +296,34 @@ def tfidf_features(terms: DataFrame, vocab_rows: list) -> DataFrame:
     return Normalizer(p=2.0, inputCol="_tfidf", outputCol="features").transform(weighted).drop("_tf", "_tfidf")
 
 
-def cluster_means(assigned: DataFrame) -> DataFrame:
-    """A20 from vectors: ``cluster, idx, weight``, the mean TF-IDF of each term in each cluster."""
-    means = assigned.groupBy("cluster").agg(Summarizer.mean(F.col("features")).alias("_mean"))
-    return means.select("cluster", F.posexplode(vector_to_array("_mean")).alias("idx", "weight"))
+def cluster_means(tokens: DataFrame, vocab: list) -> DataFrame:
+    """A20 from the tokens of texts ``(cluster int, tokens)``: ``cluster, idx, weight``, sums that rank a cluster's terms as their means do.
+
+    A task adds up its texts' TF-IDF weights as whole numbers of 1 / ``MEAN_SCALE`` and sends
+    one row per cluster and term, so equal means stay equal in any order of texts.
+    """
+    schema = "cluster int, idx int, weight long"
+
+    def rows(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for cluster, sums in held.items():
+            seen = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array([cluster] * len(seen), pa.int32()), pa.array(seen, pa.int32()), pa.array(sums[seen], pa.int64())], names=["cluster", "idx", "weight"])
+        held.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for part, idx, w, starts in _vector_parts(batches, vocab):
+            own = np.repeat(part.column("cluster").to_numpy(zero_copy_only=False), np.diff(starts))
+            w = np.rint(w * MEAN_SCALE).astype(np.int64)
+            for cluster in np.unique(own):
+                mine = own == cluster
+                np.add.at(held.setdefault(int(cluster), np.zeros(len(vocab), dtype=np.int64)), idx[mine], w[mine])
+                if len(held) >= HELD_CLUSTERS:
+                    yield from rows(held)
+        yield from rows(held)
+
+    parts = tokens.select("cluster", "tokens").mapInArrow(run, schema)
+    return parts.groupBy("cluster", "idx").agg(F.sum(F.col("weight").cast("decimal(20,0)")).alias("weight"))
 
 
 def cluster_sums(assigned: DataFrame) -> DataFrame:
@@ -378,19 +415,35 @@ def complaint_themes(
     return summarize_clusters(assigned, cluster_sums(assigned), vocab_index)
 
 
+def _weigher(vocab: list, id_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array([r[0] for r in vocab], pa.string())
+        for part, idx, w, starts in _vector_parts(batches, vocab):
+            ids = part.column("ticket_id").take(pa.array(np.repeat(np.arange(part.num_rows), np.diff(starts))))
+            yield pa.RecordBatch.from_arrays([ids.cast(id_type), known.take(pa.array(idx)), pa.array(w, pa.float64())], names=["ticket_id", "term", "weight"])
+
+    return run
+
+
 def theme_tfidf(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
-    """M6 in long form: ``ticket_id, term, weight``, the L2-normalised TF-IDF weights of every usable text."""
-    terms = add_terms(theme_text(df.select("ticket_id", "customer_message", "agent_notes"), min_chars))
-    # one pass over the texts: the terms of each, and a NULL term that counts the usable texts
-    marked = F.when(F.col("usable"), F.concat(F.array(F.lit(None).cast("string")), F.col("terms")))
-    rows = terms.select("ticket_id", F.explode(marked).alias("term"))
-    counts = stage(rows.groupBy("ticket_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    n_docs = counts.where("term is null").agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
-    stats = counts.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("document_frequency"), F.sum("tf").alias("corpus_frequency"))
-    idf = with_idf(_top_terms(stats, min_df, max_features, keep_marker=False), n_docs).select("term", "idf")
-    weighted = counts.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    """M6 in long form: ``ticket_id, term, weight``, the L2-normalised TF-IDF weights of every usable text.
+
+    Texts are weighed where their tokens lie.  Only texts that share a ticket id, which
+    count as one, are put together by a shuffle of their terms.
+    """
+    tokens = staged_tokens(df, ["ticket_id"], min_chars)
+    shared = stage(tokens.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("ticket_id").alias("_id")))
+    same = tokens["ticket_id"].eqNullSafe(shared["_id"])
+    terms = with_bigrams(tokens.join(shared, same, "left_semi")).select("ticket_id", F.explode("terms").alias("term"))
+    joint = stage(terms.groupBy("ticket_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    single = tokens.join(shared, same, "left_anti")
+    vocab, _ = heavy_vocabulary(with_bigrams(single).select("terms"), min_df, max_features, joint, shared.count())
+    id_type = tokens.schema["ticket_id"].dataType
+    weighed = single.mapInArrow(_weigher(vocab, to_arrow_type(id_type)), f"ticket_id {id_type.simpleString()}, term string, weight double")
+    idf = tokens.sparkSession.createDataFrame([(r[0], r[-1]) for r in vocab], "term string, idf double")
+    weighted = joint.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("ticket_id")))
-    return weighted.select("ticket_id", "term", (F.col("w") / norm).alias("weight"))
+    return weighed.unionByName(weighted.select("ticket_id", "term", (F.col("w") / norm).alias("weight")))
 
 
 def theme_summary(df: DataFrame, cluster: str, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
@@ -399,14 +452,13 @@ def theme_summary(df: DataFrame, cluster: str, min_df: int = 2, max_features: in
     Clusters are numbered by the order of their names, from 0.
     """
     tokens = staged_tokens(df, list(dict.fromkeys([*TICKET_COLUMNS, cluster])), min_chars)
-    terms = with_bigrams(tokens)
-    kept, _ = heavy_vocabulary(terms.select("terms"), min_df, max_features)
+    kept, _ = heavy_vocabulary(with_bigrams(tokens.select("tokens")), min_df, max_features)
     index = df.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(kept)], "idx int, term string")
     names = df.select(F.col(cluster).alias("_name")).distinct()
-    numbered = names.withColumn("cluster", F.row_number().over(Window.orderBy("_name")) - 1)
-    features = tfidf_features(terms, [{"term": r[0], "idf": r[-1]} for r in kept]).drop("terms")
-    assigned = stage(features.join(numbered, features[cluster].eqNullSafe(numbered["_name"])))
-    return summarize_clusters(assigned, cluster_means(assigned), index)
+    # staged, so that its measured size decides how it is joined and the texts are not moved for a few names
+    numbered = stage(names.withColumn("cluster", F.row_number().over(Window.orderBy("_name")) - 1))
+    assigned = tokens.join(numbered, tokens[cluster].eqNullSafe(numbered["_name"]))
+    return summarize_clusters(assigned.drop("tokens"), cluster_means(assigned, kept), index)
 
 
 def theme_vocabulary(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:

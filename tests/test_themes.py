@@ -101,3 +101,43 @@ def test_nine_usable_texts_among_short_ones_gives_empty_table(spark):
     more = df.union(spark.createDataFrame([("T9", "my parcel number 9 arrived broken", "", "Returns", 3.0, False, 0.0)], df.schema))
     out = th.complaint_themes(more, n_init=1).collect()
     assert sum(r["ticket_count"] for r in out) == 10
+
+
+def staged_frames(monkeypatch):
+    """The frames that the themes stage from now on."""
+    held, stage = [], th.stage
+    monkeypatch.setattr(th, "stage", lambda df: held.append(stage(df)) or held[-1])
+    return held
+
+
+def test_weights_of_texts_that_share_a_ticket_and_nothing_staged_by_term(spark, monkeypatch):
+    texts = [("A", "late parcel arrived late broken parcel"), ("B", "parcel arrived broken refund wanted"), ("B", "refund refund wanted parcel late"), (None, "late refund arrived broken"), (None, "parcel parcel wanted broken"), ("C", "late parcel refund arrived")]
+    df = spark.createDataFrame([(i, t, "") for i, t in texts], "ticket_id string, customer_message string, agent_notes string")
+    got = {(r["ticket_id"], r["term"]): r["weight"] for r in th.theme_tfidf(df).collect()}
+    tf = {}
+    for ticket, text in texts:
+        words = text.split()
+        for term in words + [" ".join(p) for p in zip(words, words[1:])]:
+            of = tf.setdefault(ticket, {})
+            of[term] = of.get(term, 0) + 1
+    df_of = {t: sum(t in of for of in tf.values()) for of in tf.values() for t in of}
+    want = {}
+    for ticket, of in tf.items():
+        raw = {t: n * (math.log((1 + len(tf)) / (1 + df_of[t])) + 1) for t, n in of.items() if df_of[t] >= 2}
+        want |= {(ticket, t): x / math.sqrt(sum(y * y for y in raw.values())) for t, x in raw.items()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    held = staged_frames(monkeypatch)
+    single = df.where("ticket_id in ('A', 'C')")
+    assert th.theme_tfidf(single).count() > 0
+    assert sum(f.count() for f in held) <= 2 * single.count()  # before: one row per text and term
+
+
+def test_summary_of_clusters_moves_and_stages_no_vectors(spark, monkeypatch):
+    held = staged_frames(monkeypatch)
+    docs = document_tickets(spark, SF_SMALL)
+    got = {r["category"]: r["top_terms"].split(", ") for r in th.theme_summary(docs, "category").collect()}
+    assert not any("vector" in t or t.startswith("array<int") for f in held for _, t in f.dtypes)
+    weights = th.theme_tfidf(docs).join(docs.select("ticket_id", "category"), "ticket_id").groupBy("category", "term").agg(F.round(F.sum("weight"), 9).alias("w")).collect()
+    for category, terms in got.items():
+        best = sorted(((r["w"], r["term"]) for r in weights if r["category"] == category), reverse=True)[:8]
+        assert terms == [t for _, t in best]
