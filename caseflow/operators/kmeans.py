@@ -15,9 +15,13 @@ tasks or starts: any engine that follows the rules below gets the same clusters.
   points stays.  A start ends when no centre moved by more than ``tol``, or after
   ``max_iter`` steps; the start of least cost wins, ties to the smaller number.
 
-Points are staged as blocks of plain buffers.  Each step is one reading of them for all starts that have not ended: the stacked
-centres (starts x k x terms, bounded by the parameters) are broadcast, a task keeps one sum
-per start and centre, and one row of each goes through a shuffle by (start, centre).
+Points are staged as blocks of plain buffers, and a step is one reading of them for all
+starts that have not ended: the stacked centres (starts x k x terms, bounded by the
+parameters) are broadcast, a task keeps one sum per start and centre, and one row of each
+goes through a shuffle by (start, centre).  At ``MARKED`` steps the blocks are staged again
+with every point's distances.  A centre that has moved by m since then is at most m nearer or
+farther, so later steps measure only the points whose centre these bounds leave open, and
+add up only those that changed it; the result is that of measuring all.
 """
 
 from __future__ import annotations
@@ -37,8 +41,13 @@ from caseflow.session import stage
 
 SCALE = 2**20
 BLOCK = 200_000  # weights of one block of points
+#: Steps before which the distances are staged; the first centres move too far to be of use.
+MARKED = frozenset(3 * 2**i - 1 for i in range(16))
+MARGIN = 1.0  # above the rounding of a staged distance
+BLOCK_SCHEMA = "idx binary, w binary, sizes binary"
+MARK_SCHEMA = f"{BLOCK_SCHEMA}, near binary, own binary"
 SEED_SCHEMA = "start int, race double, id string, idx array<int>, w array<int>"
-SUM_SCHEMA = "start int, cluster int, n long, cost decimal(38,0), sums binary"
+SUM_SCHEMA = "start int, cluster int, n long, sums binary"
 
 
 class Points:
@@ -60,8 +69,17 @@ class Points:
     def of_blocks(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[Points]:
         for batch in batches:
             for row in zip(*(batch.column(c) for c in ("idx", "w", "sizes")), strict=True):
-                idx, w, sizes = (np.frombuffer(x.as_buffer(), dtype=np.int32) for x in row)
-                yield cls(idx, w, sizes.astype(np.int64))
+                yield cls.of_buffers(*row)
+
+    @classmethod
+    def of_buffers(cls, *row: pa.Scalar) -> Points:
+        idx, w, sizes = (np.frombuffer(x.as_buffer(), dtype=np.int32) for x in row)
+        return cls(idx, w, sizes.astype(np.int64))
+
+    def take(self, places: np.ndarray) -> Points:
+        sizes = self.sizes[places]
+        at = np.arange(sizes.sum()) + np.repeat(self.starts[places] - (np.cumsum(sizes) - sizes), sizes)
+        return Points(self.idx[at], self.w[at], sizes)
 
     def _by_point(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(len(self.sizes))
@@ -143,32 +161,82 @@ def first_centres(points: DataFrame, k: int, terms: int, n_init: int, seed: int
     return chosen
 
 
-def _summer(centres: np.ndarray, starts: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A task's sums of the points of every centre of ``centres(starts, k, terms)``."""
+def _marker(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks with each point's distances ``near`` to ``centres(starts, k, terms)`` and its own centres ``own``."""
     m, k, terms = centres.shape
     packed = centres.astype(np.int32).reshape(m * k, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, counts, costs = np.zeros((m, k * terms)), np.zeros((m, k), dtype=np.int64), [[0] * k for _ in range(m)]
         stacked = packed.astype(np.float64)
-        for points in Points.of_blocks(batches):
-            near = points.distances(stacked).reshape(-1, m, k)
-            own = near.argmin(axis=2)
-            for s in range(m):
-                cluster = own[:, s]
-                counts[s] += np.bincount(cluster, minlength=k)
-                far = (near[np.arange(len(cluster)), s, cluster] + points.norms).astype(np.int64)
-                for c in range(k):
-                    costs[s][c] += int(far[cluster == c].sum())
-                sums[s] += np.bincount(np.repeat(cluster, points.sizes) * terms + points.idx, weights=points.w, minlength=k * terms)
-        rows = [(s, c) for s in range(m) for c in range(k) if counts[s, c]]
+        for batch in batches:
+            marks = []
+            for row in zip(*(batch.column(c) for c in ("idx", "w", "sizes")), strict=True):
+                points = Points.of_buffers(*row)
+                near = points.distances(stacked)
+                own = near.reshape(-1, m, k).argmin(axis=2)
+                marks.append((np.sqrt(near + points.norms[:, None]).astype(np.float32).tobytes(), own.astype(np.int32).tobytes()))
+            columns = zip(*marks, strict=True) if marks else [()] * 2
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("idx", "w", "sizes")), *(pa.array(c, pa.binary()) for c in columns)], names=["idx", "w", "sizes", "near", "own"])
+
+    return run
+
+
+def _own(points: Points, near: np.ndarray, was: np.ndarray, centres: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The points' centres now: of ``centres(starts, k, terms)``, each moved by ``moves(starts, k)`` since ``near`` and ``was``."""
+    own, at = was.copy(), np.arange(len(was))
+    for s in range(len(centres)):
+        least, most = near[:, s] - moves[s] - MARGIN, near[at, s, was[:, s]] + moves[s][was[:, s]] + MARGIN
+        least[at, was[:, s]] = np.inf
+        if len(open_ := np.flatnonzero(least.min(axis=1) <= most)):
+            own[open_, s] = points.take(open_).distances(centres[s]).argmin(axis=1)
+    return own
+
+
+def _summer(centres: np.ndarray, starts: list[int], marked: list[int] | None = None, moves: np.ndarray | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's sums of the points of every centre of ``centres(starts, k, terms)``.
+
+    ``marked``: the starts that the blocks hold marks of.  With ``moves``, the sums are what
+    changed since the marks, else those of all points.
+    """
+    m, k, terms = centres.shape
+    packed = centres.astype(np.int32).reshape(m * k, terms)
+    places = [marked.index(s) for s in starts] if marked else []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, counts, seen = np.zeros((m, k * terms)), np.zeros((m, k), dtype=np.int64), np.zeros((m, k), dtype=bool)
+        stacked = packed.astype(np.float64)
+
+        def add(points: Points, s: int, cluster: np.ndarray, sign: int) -> None:
+            n = np.bincount(cluster, minlength=k)
+            counts[s] += sign * n
+            seen[s] |= n > 0
+            sums[s] += sign * np.bincount(np.repeat(cluster, points.sizes) * terms + points.idx, weights=points.w, minlength=k * terms)
+
+        for batch in batches:
+            columns = ("idx", "w", "sizes", "near", "own") if marked else ("idx", "w", "sizes")
+            for row in zip(*(batch.column(c) for c in columns), strict=True):
+                points = Points.of_buffers(*row[:3])
+                if not marked:
+                    own = points.distances(stacked).reshape(-1, m, k).argmin(axis=2)
+                else:
+                    own = was = np.frombuffer(row[4].as_buffer(), dtype=np.int32).reshape(-1, len(marked))[:, places]
+                    if moves is not None:
+                        near = np.frombuffer(row[3].as_buffer(), dtype=np.float32).reshape(-1, len(marked), k)[:, places]
+                        own = _own(points, near, was, stacked.reshape(m, k, terms), moves)
+                for s in range(m):
+                    if moves is None:
+                        add(points, s, own[:, s], 1)
+                    elif len(changed := np.flatnonzero(own[:, s] != was[:, s])):
+                        part = points.take(changed)
+                        add(part, s, own[changed, s], 1)
+                        add(part, s, was[changed, s], -1)
+        rows = [(s, c) for s in range(m) for c in range(k) if seen[s, c]]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([starts[s] for s, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.int32()), pa.array([int(counts[s, c]) for s, c in rows], pa.int64()),
-                pa.array([Decimal(costs[s][c]) for s, c in rows], pa.decimal128(38, 0)),
                 pa.array([sums[s, c * terms : (c + 1) * terms].astype(np.int64).tobytes() for s, c in rows], pa.binary()),
             ],
-            names=["start", "cluster", "n", "cost", "sums"],
+            names=["start", "cluster", "n", "sums"],
         )
 
     return run
@@ -176,41 +244,64 @@ def _summer(centres: np.ndarray, starts: list[int]) -> Callable[[Iterator[pa.Rec
 
 def _add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The tasks' sums of one start and centre, added one by one."""
-    total, n, cost = None, 0, 0
+    total, n = None, 0
     for batch in batches:
         n += pc.sum(batch.column("n")).as_py()
-        cost += sum(int(c) for c in batch.column("cost").to_pylist())
         for part in batch.column("sums"):
             values = np.frombuffer(part.as_buffer(), dtype=np.int64)
             total = values.copy() if total is None else total + values
     start, cluster = (k.as_py() for k in key)
-    columns = [pa.array([start], pa.int32()), pa.array([cluster], pa.int32()), pa.array([n], pa.int64()), pa.array([Decimal(cost)], pa.decimal128(38, 0)), pa.array([total.tobytes()], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, names=["start", "cluster", "n", "cost", "sums"])
+    columns = [pa.array([start], pa.int32()), pa.array([cluster], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, names=["start", "cluster", "n", "sums"])
+
+
+def _coster(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's cost of every start of ``centres(starts, k, terms)``."""
+    m, k, terms = centres.shape
+    packed = centres.astype(np.int32).reshape(m * k, terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        costs, stacked = [0] * m, packed.astype(np.float64)
+        for points in Points.of_blocks(batches):
+            far = points.distances(stacked).reshape(-1, m, k).min(axis=2) + points.norms[:, None]
+            costs = [c + int(f) for c, f in zip(costs, far.astype(np.int64).sum(axis=0), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(m), pa.int32()), pa.array([Decimal(c) for c in costs], pa.decimal128(38, 0))], names=["start", "cost"])
+
+    return run
 
 
 def lloyd(points: DataFrame, centres: np.ndarray, max_iter: int = 300, tol: float = 1e-4) -> tuple[np.ndarray, list[int]]:
     """Final centres ``(starts, k, terms)`` from ``centres``, and the cost of each start at them."""
-    rows = stage(points.select("idx", "w").mapInArrow(_pack, "idx binary, w binary, sizes binary"))
+    rows = blocks = stage(points.select("idx", "w").mapInArrow(_pack, BLOCK_SCHEMA))
     centres = centres.copy()
-    active, costs = list(range(len(centres))), [0] * len(centres)
+    active, marked, at_marks = list(range(len(centres))), None, centres
+    sums, sizes = np.zeros(centres.shape, dtype=np.int64), np.zeros(centres.shape[:2], dtype=np.int64)
     limit = math.floor((tol * SCALE) ** 2)
     for step in range(max_iter + 1):
-        found = rows.mapInArrow(_summer(centres[active], active), SUM_SCHEMA).groupBy("start", "cluster").applyInArrow(_add_up, SUM_SCHEMA).collect()
-        moved = centres.copy()
-        for s in active:
-            costs[s] = 0
+        if fresh := step in MARKED:
+            rows = stage(blocks.mapInArrow(_marker(centres[active]), MARK_SCHEMA))
+            marked, at_marks = active, centres.copy()
+        whole = fresh or not marked
+        moves = None if whole else np.sqrt(((centres[active] - at_marks[active]) ** 2).sum(axis=2))
+        found = rows.mapInArrow(_summer(centres[active], active, marked, moves), SUM_SCHEMA).groupBy("start", "cluster").applyInArrow(_add_up, SUM_SCHEMA).collect()
+        new_sums, new_sizes = (np.zeros_like(sums), np.zeros_like(sizes)) if whole else (sums.copy(), sizes.copy())
         for r in found:
-            costs[r["start"]] += int(r["cost"])
-            sums = np.frombuffer(r["sums"], dtype=np.int64)
-            moved[r["start"], r["cluster"]] = (2 * sums + r["n"]) // (2 * r["n"])
-        # the cost belongs to the centres that were read, so a start that ends keeps those
+            new_sums[r["start"], r["cluster"]] += np.frombuffer(r["sums"], dtype=np.int64)
+            new_sizes[r["start"], r["cluster"]] += r["n"]
+        if whole:
+            sums, sizes = new_sums, new_sizes
+        n = np.maximum(new_sizes, 1)[:, :, None]
+        moved = np.where(new_sizes[:, :, None] > 0, (2 * new_sums + n) // (2 * n), centres)
+        # a start that ends keeps the centres that were read
         still = [s for s in active if ((moved[s] - centres[s]) ** 2).sum(axis=1).max() > limit]
         if not still or step == max_iter:
             break
         for s in still:
             centres[s] = moved[s]
         active = still
-    return centres, costs
+    costs = blocks.mapInArrow(_coster(centres), "start int, cost decimal(38,0)").groupBy("start").agg(F.sum("cost").cast("decimal(38,0)").alias("cost")).collect()
+    costs = {r["start"]: int(r["cost"]) for r in costs}
+    return centres, [costs.get(s, 0) for s in range(len(centres))]
 
 
 def _labeller(centres: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

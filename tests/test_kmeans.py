@@ -83,6 +83,32 @@ def test_all_starts_equal_a_plain_loop(spark, monkeypatch, block):
     assert got == {(name, tuple(idx)): c for (name, idx, _), c in zip(rows, own)}
 
 
+@pytest.mark.parametrize("steps", [{0}, {1, 2}, {2, 4}])
+def test_bounds_from_staged_distances_change_nothing(spark, monkeypatch, steps):
+    """Later steps measure only points that the bounds leave open, with the result of measuring all."""
+    rows, terms, k = vectors(300, 25, 5), 25, 4
+    points = spark.createDataFrame(rows, "id string, idx array<int>, w array<int>").repartition(3)
+    seeds = km.first_centres(points, k, terms, 2, seed=3)
+    monkeypatch.setattr(km, "MARKED", frozenset())
+    all_centres, all_costs = km.lloyd(points, seeds)
+    monkeypatch.setattr(km, "MARKED", frozenset(steps))
+    centres, costs = km.lloyd(points, seeds)
+    assert (centres == all_centres).all() and costs == all_costs
+
+
+def test_only_points_near_a_bound_are_measured_again(monkeypatch):
+    """Two far groups and centres that moved a little: one point between them is open, and it changes its centre."""
+    w = np.array([1000.0, 1100.0, 1480.0, 2000.0])
+    points = km.Points(np.zeros(4, np.int64), w, np.ones(4, np.int64))
+    before, now = np.array([[[1000.0], [2000.0]]]), np.array([[[990.0], [1930.0]]])
+    far = np.abs(w[:, None] - before[0, :, 0]).astype(np.float32)[:, None, :]
+    measured = []
+    distances = km.Points.distances
+    monkeypatch.setattr(km.Points, "distances", lambda self, c: measured.extend(self.w) or distances(self, c))
+    own = km._own(points, far, far.argmin(axis=2), now, np.abs(now - before).sum(axis=2))
+    assert own[:, 0].tolist() == [0, 0, 1, 1] and measured == [1480.0]
+
+
 def test_fewer_different_points_than_clusters(spark):
     points = spark.createDataFrame([("a", [0], [5]), ("b", [0], [5]), ("c", [], [])], "id string, idx array<int>, w array<int>")
     best = km.best_start(points, 4, 2, 2)
