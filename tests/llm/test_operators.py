@@ -556,6 +556,26 @@ def test_every_language_has_its_band(spark, monkeypatch):
     assert len(few) == 480 and len({(r["band_low"], r["band_high"]) for r in few}) == 40
 
 
+def test_languages_beyond_the_broadcast_ones_have_their_models(spark, monkeypatch):
+    """Shuffled models give what broadcast ones do: quotes, texts without letters, repeated rows, several copies of a model."""
+    rng = random.Random(35)
+    speech = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[k::6] if k < 6 else "абвгдежзийклмнопрст") for _ in range(rng.randrange(2, 8))) for _ in range(30 + 3 * k)] for k in range(7)]
+    speak = lambda k, n=70: " ".join(rng.choice(speech[k]) for _ in range(n))
+    rows = [(100 * k + i, speak(k), f"l{k}" if k != 5 else None, "s") for k in range(7) for i in range(14 - k)]
+    rows += [(1000 + 10 * a + b, f"{speak(a)} {speak(b, 60)} {speak((a + b) % 7, 20)}", f"l{a}", "s") for a in (0, 1, 4, 6) for b in range(7)]
+    rows += [(2000 + i, " ".join(str(rng.randrange(10**6)) for _ in range(60)), "digits", "s") for i in range(3)]
+    rows += [(3000, None, "empty", "s"), (3001, "", "l6", "s"), (None, speak(6, 3000), "l6", "s"), (3002, "a", "tiny", "s"), rows[-5], rows[-5], rows[60], rows[60]]
+    plain = lambda: sorted((str(r["doc_id"]), r["_key"], r["lang"], r["log_ppl"] or 0.0, r["window_ppl"] or 0.0, r["n_words"], r["base_failed"], r["kept"]) for r in kn_quality.quality_rules(frame(spark, rows)).collect())
+    broadcast = plain()
+    assert len(broadcast) == len(rows)
+    for limit, deal in ((2, 16_000_000), (1, 3000)):
+        monkeypatch.setattr(kn_quality, "MAX_LANGUAGES", limit)
+        monkeypatch.setattr(kn_quality, "DEAL_BYTES", deal)
+        monkeypatch.setattr(kn_quality, "VOTE_TABLE", 3)
+        for got, want in zip(plain(), broadcast, strict=True):
+            assert got[:3] + got[5:] == want[:3] + want[5:] and got[3:5] == pytest.approx(want[3:5], abs=1e-5)
+
+
 def test_quartiles_are_exact(spark):
     rng = random.Random(33)
     values = [(rng.choice("ab"), rng.randrange(4000) / 1024, rng.randrange(4000) / 1024, False) for _ in range(777)]
