@@ -651,3 +651,33 @@ def test_common_subsequence(a, b):
         for j, y in enumerate(b):
             rows[i + 1][j + 1] = rows[i][j] + 1 if x == y else max(rows[i][j + 1], rows[i + 1][j])
     assert latent_decontam.lcs(a, b) == rows[-1][-1]
+
+
+def test_sums_of_the_latent_space_reach_the_driver_in_small_parts(spark, monkeypatch):
+    """The driver's JVM passes on small Arrow parts and keeps no broadcast of a step that is over."""
+    import numpy as np
+    from pyspark.core.broadcast import Broadcast
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng = np.random.default_rng(7)
+    a = rng.standard_normal((40, 1500)) * (rng.random((40, 1500)) < 0.02)
+    sparse = [([int(t) for t in np.flatnonzero(row)], [float(row[t]) for t in np.flatnonzero(row)]) for row in a.astype(np.float32)]
+    rows = spark.createDataFrame(sparse, "terms array<int>, weights array<float>").repartition(3)
+    q = rng.standard_normal((1500, 200))
+    arrived, gone = [], []
+    to_arrow, destroy = DataFrame.toArrow, Broadcast.destroy
+
+    def seen(df):
+        arrived.append(to_arrow(df))
+        return arrived[-1]
+
+    monkeypatch.setattr(DataFrame, "toArrow", seen)
+    monkeypatch.setattr(DataFrame, "collect", lambda df: pytest.fail("sums are collected as rows"))
+    monkeypatch.setattr(Broadcast, "destroy", lambda b, *args: (gone.append(b), destroy(b, *args)))
+    found = latent_decontam.gram_times(rows, q)
+    dense = a.astype(np.float32).astype(np.float64)
+    np.testing.assert_allclose(found, dense.T @ (dense @ q), rtol=1e-5, atol=1e-5)
+    parts = [len(p.as_py()) for p in arrived[0]["part"]]
+    assert sum(parts) == q.nbytes and max(parts) <= latent_decontam.SUM_BYTES
+    assert len(gone) == 1
+    assert not latent_decontam.gram_times(rows.limit(0), q).any()
