@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import public_tokenizers
@@ -653,6 +654,35 @@ def test_common_subsequence(a, b):
     assert latent_decontam.lcs(a, b) == rows[-1][-1]
 
 
+def test_latent_space_is_fitted_on_all_windows_of_all_documents(spark, monkeypatch):
+    """The space holds every window, so a cosine in it is the plain one of TF-IDF vectors, also with few windows' weight and sums in strips."""
+    import numpy as np
+
+    monkeypatch.setattr(latent_decontam, "FIT_WINDOWS", 4)
+    monkeypatch.setattr(latent_decontam, "HELD_CELLS", 30_000, raising=False)
+    rng = random.Random(36)
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.sample(words, 40))) for i in range(10)]
+    # parts of the items in other words, and words of all items strewn in between
+    noise = lambda n: [rng.choice(words) if rng.random() < 0.08 else f"z{rng.randrange(10**6)}" for _ in range(n)]
+    docs = [(i, " ".join(noise(50) + t.split()[: rng.randrange(28, 41)] + noise(45)), "en", "s") for i, t in items for _ in range(2)]
+    docs += [(100 + i, " ".join(noise(90)), "en", "s") for i in range(40)]
+    found = latent_decontam.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i, _ in items} and len(found) == len(docs[:20])
+    seen = {w: sum(w in d[1].split() for d in docs) for w in words}
+    rare = [w for _, t in items for w in t.split() if seen[w] <= 0.1 * len(docs)]
+    idf = {w: math.log((1 + len(docs)) / (1 + seen[w])) + 1 for w in rare}
+    vector = lambda text: np.array([text.count(w) * idf[w] for w in sorted(idf)])
+    for r in found:
+        item = vector(items[r["item_id"]][1].split())
+        plain = []
+        for d in docs[:20]:
+            if d[0] == r["doc_id"]:
+                v = vector(d[1].split()[r["first_word"] : r["first_word"] + 64])
+                plain.append(v @ item / np.linalg.norm(v) / np.linalg.norm(item))
+        assert min(abs(r["cosine"] - c) for c in plain) < 1e-4
+
+
 def test_sums_of_the_latent_space_reach_the_driver_in_small_parts(spark, monkeypatch):
     """The driver's JVM passes on small Arrow parts and keeps no broadcast of a step that is over."""
     import numpy as np
