@@ -414,6 +414,35 @@ def test_sources_beyond_the_own_streams_keep_their_weights(spark, monkeypatch):
     assert sorted(r["position"] for r in got) == list(range(sum(sizes.values()))) and {r["stream"] for r in got} == set(range(5))
 
 
+def test_every_source_is_scheduled_by_its_own_blocks(spark, monkeypatch):
+    """Few numbered streams and runs held at once change no slot: each block is where a plain EDF of all sources puts it."""
+    monkeypatch.setattr(pfair_mix, "MAX_STREAMS", 3)
+    monkeypatch.setattr(pfair_mix, "MAX_BLOCKS", 10)
+    monkeypatch.setattr(pfair_mix, "RUN_BLOCKS", 2, raising=False)
+    sizes = {f"s{i:02d}": n for i, n in enumerate([40, 17, 17, 9, 9, 9, 8, 8, 3, 3, 3, 3, 3, 2, 1, 1, 1, 1])}
+    rows = spark.createDataFrame([(1000 * k + i, s) for k, (s, n) in enumerate(sizes.items()) for i in range(n)], "doc_id long, source string")
+    blocks = [-(-n // 2) for n in sizes.values()]
+    want = brute.earliest_deadline_first(blocks, [math.floor(n**pfair_mix.ALPHA * 2**20) for n in sizes.values()])
+    got = pfair_mix.mix_sources(rows.repartition(3), block_rows=2).collect()
+    assert sorted(r["position"] for r in got) == list(range(sum(sizes.values()))) and {r["stream"] for r in got} == set(range(4))
+    assert {(r["source"], r["block"], r["slot"]) for r in got} == {(s, j, slot) for s, held in zip(sizes, want, strict=True) for j, slot in enumerate(held)}
+    by_position = sorted(got, key=lambda r: r["position"])
+    assert [r["slot"] for r in by_position] == sorted(r["slot"] for r in got)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 20), st.integers(1, 9), st.integers(1, 5)), min_size=1, max_size=5))
+def test_classes_are_scheduled_like_their_streams(classes):
+    each = [(n, w) for n, w, m in classes for _ in range(m)]
+    first = [sum(m for *_, m in classes[:i]) for i in range(len(classes))]
+    slots = [[] for _ in each]
+    runs = [(first[i] + k + x, j) for i, j, k, n in pfair_mix.edf_runs(*zip(*classes, strict=True)) for x in range(n)]
+    for t, (i, j) in enumerate(runs):
+        assert j == len(slots[i])
+        slots[i].append(t)
+    assert slots == brute.earliest_deadline_first([n for n, _ in each], [w for _, w in each])
+
+
 def test_warc_round_trip(spark, tmp_path):
     tricky = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 4
     rows = [(1, "u", "x" * 200), (2, "v\r\nX: y%0A", "x" * 200), (3, None, "short"), (4, "w", "short"), (5, "w", None), (6, "w", ""), (7, "ü", tricky), (9, "z", tricky), (8, "z", "é" * 50)]
