@@ -43,6 +43,7 @@ SCALE = 2**20
 BLOCK = 200_000  # weights of one block of points
 #: Steps before which the distances are staged; the first centres move too far to be of use.
 MARKED = frozenset(3 * 2**i - 1 for i in range(16))
+WIDE = 16  # centres from which points are multiplied one by one
 MARGIN = 1.0  # above the rounding of a staged distance
 BLOCK_SCHEMA = "idx binary, w binary, sizes binary"
 MARK_SCHEMA = f"{BLOCK_SCHEMA}, near binary, own binary"
@@ -89,10 +90,16 @@ class Points:
 
     def distances(self, centres: np.ndarray) -> np.ndarray:
         """``|c|^2 - 2 x.c`` of every point and row of ``centres(m, terms)``, exact."""
-        out = np.empty((len(self.sizes), len(centres)))
-        for j, c in enumerate(centres):
-            out[:, j] = (c * c).sum() - 2 * self._by_point(c[self.idx] * self.w)
-        return out
+        out = np.zeros((len(self.sizes), len(centres)))
+        if len(centres) < WIDE:
+            for j, c in enumerate(centres):
+                out[:, j] = self._by_point(c[self.idx] * self.w)
+        else:
+            columns, starts, ends = np.ascontiguousarray(centres.T), self.starts.tolist(), (self.starts + self.sizes).tolist()
+            for i in self.filled.tolist():
+                part = slice(starts[i], ends[i])
+                np.matmul(self.w[part], columns[self.idx[part]], out=out[i])
+        return (centres * centres).sum(axis=1) - 2 * out
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

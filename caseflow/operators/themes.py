@@ -15,6 +15,7 @@ to the driver (to build the vectors); documents never are.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -180,31 +181,113 @@ def vocabulary_idf(terms: DataFrame, min_df: int = 2, max_features: int = 5000)
     return _vocabulary_idf_counted(terms, min_df, max_features).drop("n_docs")
 
 
-def _bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
+#: Factors of the hashes of a term's first and second word.
+_FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _word_hashes(terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first words of ``terms`` and of the second ones, 0 where there is none."""
+    words = [t.partition(" ") for t in terms.to_pylist()]
+    return tuple(np.fromiter((zlib.crc32(w[i].encode()) for w in words), np.uint64, len(words)) for i in (0, 2))
+
+
+def _bucket(first: np.ndarray, second: np.ndarray, n: int) -> np.ndarray:
+    return ((first * _FIRST + second * _SECOND) >> np.uint64(24)) % np.uint64(n)
+
+
+def _terms_of(lists: pa.ListArray, sizes: np.ndarray, paired: bool, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Every term of some texts: its text, its number, its bucket of ``n``, and the words of the numbers.
+
+    Numbers from the number of words on are bigrams (``paired``: of neighbours in one text).
+    """
+    flat = lists.flatten().dictionary_encode()
+    words, codes = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    first, second = _word_hashes(words)
+    bucket = _bucket(first, second, n)[codes]
+    if not paired:
+        return doc, codes, bucket, words
+    joined = np.flatnonzero(doc[:-1] == doc[1:])
+    a, b = codes[joined], codes[joined + 1]
+    numbers, buckets = len(words) * (1 + a) + b, _bucket(first[a], first[b], n)
+    return np.concatenate([doc, doc[joined]]), np.concatenate([codes, numbers]), np.concatenate([bucket, buckets]), words
+
+
+def _names(numbers: np.ndarray, words: pa.Array) -> pa.Array:
+    """The terms of the numbers that :func:`_terms_of` gave."""
+    single, (a, b) = numbers < len(words), np.divmod(numbers - len(words), max(len(words), 1))
+    ones = words.take(pa.array(np.where(single, numbers, a)))
+    twos = pc.binary_join_element_wise(ones, words.take(pa.array(np.where(single, 0, b))), " ")
+    return pc.if_else(pa.array(single), ones, twos)
+
+
+def _term_column(terms: DataFrame) -> str:
+    """``terms`` holds lists of terms, ``tokens`` the words that are terms with their bigrams."""
+    return "tokens" if "tokens" in terms.columns else "terms"
 
 
 def bucket_totals(terms: DataFrame, joint: DataFrame | None = None) -> tuple[np.ndarray, int]:
-    """Occurrences of the terms of each of the ``BUCKETS`` hash buckets, and the number of rows of ``terms``."""
-    marked = F.concat(F.array(F.lit(-1).cast("long")), F.transform("terms", _bucket))
-    rows = terms.select(F.explode(marked).alias("bucket"), F.lit(1).cast("long").alias("n"))
+    """Occurrences of the terms of each of the ``BUCKETS`` hash buckets, and the number of rows of ``terms``.
+
+    A task counts in one array, so neither terms nor their occurrences leave it.
+    """
+    n, column = BUCKETS, _term_column(terms)
+
+    def sent(totals: np.ndarray) -> pa.RecordBatch:
+        seen = np.flatnonzero(totals)
+        return pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(totals[seen], pa.int64())], names=["bucket", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(n + 1, dtype=np.int64)
+        for part, sizes in _text_parts(batches, column):
+            totals[:-1] += np.bincount(_terms_of(part.column(column), sizes, column == "tokens", n)[2].astype(np.int64), minlength=n)
+            totals[-1] += part.num_rows
+        yield sent(totals)
+
+    def run_joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(n + 1, dtype=np.int64)
+        for batch in batches:
+            np.add.at(totals, _bucket(*_word_hashes(batch.column("term")), n).astype(np.int64), batch.column("tf").to_numpy(zero_copy_only=False))
+        yield sent(totals)
+
+    rows = terms.select(column).mapInArrow(run, "bucket long, n long")
     if joint is not None:
-        rows = rows.unionByName(joint.select(_bucket(F.col("term")).alias("bucket"), F.col("tf").alias("n")))
+        rows = rows.unionByName(joint.select("term", "tf").mapInArrow(run_joint, "bucket long, n long"))
     counted = rows.groupBy("bucket").agg(F.sum("n").alias("total")).toArrow()
-    totals = np.zeros(BUCKETS + 1, dtype=np.int64)
+    totals = np.zeros(n + 1, dtype=np.int64)
     totals[counted.column("bucket").to_numpy()] = counted.column("total").to_numpy()
     return totals[:-1], int(totals[-1])
 
 
 def count_terms(terms: DataFrame, buckets: np.ndarray, joint: DataFrame | None = None) -> DataFrame:
-    """``term, document_frequency, corpus_frequency`` of the terms whose bucket is in ``buckets``."""
-    tagged = lambda arr, all_, doc: F.transform(arr, lambda t: F.struct(t.alias("term"), F.lit(all_).alias("all"), F.lit(doc).alias("doc")))
-    rows = terms.select(F.explode(F.concat(tagged(F.col("terms"), 1, 0), tagged(F.array_distinct("terms"), 0, 1))).alias("t")).select("t.*")
+    """``term, document_frequency, corpus_frequency`` of the terms whose bucket is in ``buckets``.
+
+    Only these terms become strings and leave the task, one row for each and some texts.
+    """
+    n, column = BUCKETS, _term_column(terms)
+    wanted = np.zeros(n, dtype=bool)
+    wanted[buckets] = True
+    schema = "term string, doc long, all long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sizes in _text_parts(batches, column):
+            doc, numbers, bucket, words = _terms_of(part.column(column), sizes, column == "tokens", n)
+            heavy = wanted[bucket]
+            kept, own = np.unique(numbers[heavy], return_inverse=True)
+            by_text = np.unique(doc[heavy] * max(len(kept), 1) + own) % max(len(kept), 1)
+            counts = (np.bincount(x, minlength=len(kept)) for x in (by_text, own))
+            yield pa.RecordBatch.from_arrays([_names(kept, words), *(pa.array(c, pa.int64()) for c in counts)], names=["term", "doc", "all"])
+
+    def run_joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heavy = pa.array(wanted[_bucket(*_word_hashes(batch.column("term")), n)])
+            kept = batch.filter(heavy)
+            yield pa.RecordBatch.from_arrays([kept.column("term"), pa.array(np.ones(kept.num_rows), pa.int64()), kept.column("tf")], names=["term", "doc", "all"])
+
+    rows = terms.select(column).mapInArrow(run, schema)
     if joint is not None:
-        rows = rows.unionByName(joint.select("term", F.col("tf").alias("all"), F.lit(1).alias("doc")))
-    wanted = terms.sparkSession.createDataFrame(pa.table({"bucket": pa.array(buckets, pa.int64())}))
-    named = rows.withColumn("bucket", _bucket(F.col("term"))).join(F.broadcast(wanted), "bucket", "left_semi")
-    return named.groupBy("term").agg(F.sum("doc").alias("document_frequency"), F.sum("all").alias("corpus_frequency"))
+        rows = rows.unionByName(joint.select("term", "tf").mapInArrow(run_joint, schema))
+    return rows.groupBy("term").agg(F.sum("doc").alias("document_frequency"), F.sum("all").alias("corpus_frequency"))
 
 
 def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000, joint: DataFrame | None = None, n_joint: int = 0) -> tuple[list, int]:
@@ -215,7 +298,8 @@ def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000
     bound of the vocabulary's last one, so a term outside can only enter from a bucket
     whose total reaches it.  If there are such buckets, they are counted too.  The
     shuffles carry bucket totals and the terms of heavy buckets, not every term.
-    ``joint``: counts ``(term, tf)`` of ``n_joint`` further documents, one row per document and term.
+    ``terms``: lists of ``terms``, or of ``tokens``, whose bigrams are terms too.  ``joint``: counts
+    ``(term, tf)`` of ``n_joint`` further documents, one row per document and term.
     """
     totals, n_docs = bucket_totals(terms, joint)
     n_docs += n_joint
@@ -236,19 +320,24 @@ def heavy_vocabulary(terms: DataFrame, min_df: int = 2, max_features: int = 5000
     return sorted((r["term"], r["document_frequency"], r["corpus_frequency"], idf(r["document_frequency"])) for r in rows), n_docs
 
 
-def _vector_parts(batches: Iterator[pa.RecordBatch], vocab: list) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    """Some texts at a time: their rows, and the :func:`_vectors` of their tokens."""
-    known, weight = pa.array([r[0] for r in vocab], pa.string()), np.array([r[-1] for r in vocab])
+def _text_parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Some texts at a time, and how many words of ``column`` each has."""
     for batch in batches:
-        sizes = pc.list_value_length(batch.column("tokens")).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, low = np.cumsum(sizes), 0
         while low < batch.num_rows:
             high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BLOCK_TOKENS, "right")))
-            part = batch.slice(low, high - low)
-            yield part, *_vectors(part.column("tokens"), sizes[low:high], known, weight)
+            yield batch.slice(low, high - low), sizes[low:high]
             low = high
 
 
+def _vector_parts(batches: Iterator[pa.RecordBatch], vocab: list) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some texts at a time: their rows, and the :func:`_vectors` of their tokens."""
+    known, weight = pa.array([r[0] for r in vocab], pa.string()), np.array([r[-1] for r in vocab])
+    for part, sizes in _text_parts(batches, "tokens"):
+        yield part, *_vectors(part.column("tokens"), sizes, known, weight)
+
+
 def _vectoriser(vocab: list, carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, idx, w, starts in _vector_parts(batches, vocab):
@@ -404,7 +493,7 @@ def complaint_themes(
     """
     spark, reuse = df.sparkSession, reuse or stage
     tokens = staged_tokens(df, TICKET_COLUMNS, min_chars, reuse)
-    vocab, n_docs = heavy_vocabulary(with_bigrams(tokens.select("tokens")), min_df, max_features)
+    vocab, n_docs = heavy_vocabulary(tokens.select("tokens"), min_df, max_features)
     # M1: fewer than 10 usable texts (or no vocabulary) -> empty table
     if not vocab or n_docs < 10:
         return spark.createDataFrame([], THEME_SCHEMA)
@@ -437,7 +526,7 @@ def theme_tfidf(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_ch
     terms = with_bigrams(tokens.join(shared, same, "left_semi")).select("ticket_id", F.explode("terms").alias("term"))
     joint = stage(terms.groupBy("ticket_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     single = tokens.join(shared, same, "left_anti")
-    vocab, _ = heavy_vocabulary(with_bigrams(single).select("terms"), min_df, max_features, joint, shared.count())
+    vocab, _ = heavy_vocabulary(single.select("tokens"), min_df, max_features, joint, shared.count())
     id_type = tokens.schema["ticket_id"].dataType
     weighed = single.mapInArrow(_weigher(vocab, to_arrow_type(id_type)), f"ticket_id {id_type.simpleString()}, term string, weight double")
     idf = tokens.sparkSession.createDataFrame([(r[0], r[-1]) for r in vocab], "term string, idf double")
@@ -452,7 +541,7 @@ def theme_summary(df: DataFrame, cluster: str, min_df: int = 2, max_features: in
     Clusters are numbered by the order of their names, from 0.
     """
     tokens = staged_tokens(df, list(dict.fromkeys([*TICKET_COLUMNS, cluster])), min_chars)
-    kept, _ = heavy_vocabulary(with_bigrams(tokens.select("tokens")), min_df, max_features)
+    kept, _ = heavy_vocabulary(tokens.select("tokens"), min_df, max_features)
     index = df.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(kept)], "idx int, term string")
     names = df.select(F.col(cluster).alias("_name")).distinct()
     # staged, so that its measured size decides how it is joined and the texts are not moved for a few names
@@ -463,5 +552,5 @@ def theme_summary(df: DataFrame, cluster: str, min_df: int = 2, max_features: in
 
 def theme_vocabulary(df: DataFrame, min_df: int = 2, max_features: int = 5000, min_chars: int = 15) -> DataFrame:
     """M2-M5 as a table: ``term, document_frequency, corpus_frequency, idf``."""
-    kept, _ = heavy_vocabulary(with_bigrams(staged_tokens(df, [], min_chars)), min_df, max_features)
+    kept, _ = heavy_vocabulary(staged_tokens(df, [], min_chars), min_df, max_features)
     return df.sparkSession.createDataFrame(kept, "term string, document_frequency long, corpus_frequency long, idf double")
