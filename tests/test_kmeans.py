@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from caseflow.operators import kmeans as km
 from caseflow.operators import themes as th
@@ -131,3 +132,21 @@ def test_bounded_vocabulary_equals_full_counts(spark, monkeypatch, buckets, heav
     assert [r[:3] for r in kept] == full and n_docs == th.usable_texts(df).count()
     assert len(th.heavy_vocabulary(terms, 2, 100_000)[0]) == th.vocabulary(terms, 2, 100_000).count()
     assert th.heavy_vocabulary(terms.limit(0), 2, 10) == ([], 0)
+
+
+def test_vocabulary_is_counted_in_the_tasks_from_words(spark, monkeypatch):
+    """Words with their bigrams give what lists of all terms give, also beside counts that were put together before."""
+    monkeypatch.setattr(th, "BUCKETS", 50)
+    monkeypatch.setattr(th, "HEAVY_PER_TERM", 1)
+    monkeypatch.setattr(th, "BLOCK_TOKENS", 30)
+    rng = random.Random(11)
+    texts = [[rng.choice(["aa", "bb", "cc", "dä", "日本", "ee", "ff"]) for _ in range(rng.randrange(12))] for _ in range(60)] + [[]]
+    tokens = spark.createDataFrame([(t,) for t in texts], "tokens array<string>").repartition(3)
+    plan = th.bucket_totals(tokens)[0]
+    assert plan.sum() == sum(max(2 * len(t) - 1, 0) for t in texts)
+    want = {(r["term"], r["document_frequency"], r["corpus_frequency"]) for r in th.vocabulary(th.with_bigrams(tokens), 2, 12).collect()}
+    kept, n_docs = th.heavy_vocabulary(tokens, 2, 12)
+    assert {r[:3] for r in kept} == want and n_docs == len(texts)
+    single, joint = tokens.limit(0), th.with_bigrams(tokens.withColumn("id", F.monotonically_increasing_id())).select("id", F.explode("terms").alias("term"))
+    joint = joint.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    assert {r[:3] for r in th.heavy_vocabulary(single, 2, 12, joint, len(texts))[0]} == want
